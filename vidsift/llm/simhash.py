@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import Scratch, components, partitions
 
@@ -61,7 +62,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", out: str = "fp", shing
         for b in batches:
             yield b.append_column(out, pa.array(_fingerprints(b.column(text), shingle), pa.int64()))
 
-    return docs.mapInArrow(add, docs.schema.add(out, "long"))
+    return docs.mapInArrow(add, StructType([*docs.schema.fields, StructField(out, LongType())]))
 
 
 def links(scratch: Scratch, fps: DataFrame, max_bits: int = 3) -> DataFrame:
