@@ -20,6 +20,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ MAGIC = b"VSTOKEN1"
 HEAD = struct.Struct("<8sIIQQQ")
 BLOCK = 4096
 SHARD_IDS = 1_000_000
-KEPT_WORDS = 600_000
+KEPT_WORDS = 3_000_000
 
 
 def bits_for(vocabulary: int) -> int:
@@ -92,7 +93,7 @@ class WordEncoder:
     """Encodes texts with a tokenizers file whose pieces never cross ASCII white space.
 
     White space only separates words for such a file, so a text's ids are its words' ids in turn; the library encodes
-    each different word, and words seen before are looked up in a table of bounded size.
+    each different word, and words seen before are looked up by a 128-bit hash in arrays of bounded size.
     """
 
     known: dict[str, "WordEncoder"] = {}
@@ -105,7 +106,11 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.seen: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.starts, self.lens, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint32)
 
     @classmethod
     def of(cls, path: str) -> "WordEncoder":
@@ -114,31 +119,48 @@ class WordEncoder:
             cls.known[path] = cls(path)
         return cls.known[path]
 
+    def _find(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """Place of each word in the arrays, -1 for a word not seen."""
+        if not len(self.keys):
+            return np.full(len(key), -1)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.keys[at] == key) & (self.checks[at] == check), at, -1)
+
+    def _learn(self, listed: list[bytes], key: np.ndarray, check: np.ndarray) -> None:
+        got = []
+        for a in range(0, len(listed), 20_000):
+            part = [w.decode() for w in listed[a : a + 20_000]]
+            got += [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+        lens = np.fromiter(map(len, got), np.int32, len(got))
+        starts = len(self.ids) + np.cumsum(lens, dtype=np.int64) - lens
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(got), np.uint32)])
+        order = np.argsort(key, kind="stable")
+        to = np.searchsorted(self.keys, key[order])
+        self.keys, self.checks = np.insert(self.keys, to, key[order]), np.insert(self.checks, to, check[order])
+        self.starts, self.lens = np.insert(self.starts, to, starts[order]), np.insert(self.lens, to, lens[order])
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each text, all ids in turn)."""
         first, codes, dictionary = words(texts)
-        listed = dictionary.to_pylist()
-        new = [w for w in listed if w not in self.seen]
-        if new:
-            if len(self.seen) + len(new) > KEPT_WORDS:
-                self.seen.clear()
-                new = listed
-            for a in range(0, len(new), 20_000):
-                part = new[a : a + 20_000]
-                got = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-                flat = np.fromiter(chain.from_iterable(got), "<u4").tobytes()
-                at = 0
-                for w, ids in zip(part, got, strict=True):
-                    self.seen[w] = flat[at : (at := at + 4 * len(ids))]
-        kept = [self.seen[w] for w in listed]
-        table = np.frombuffer(b"".join(kept), "<u4")
-        lens = np.fromiter(map(len, kept), np.int64, len(kept)) // 4
-        starts = np.cumsum(lens) - lens
+        listed = dictionary.cast(pa.large_binary()).to_pylist()
+        digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, listed)), "<u8").reshape(-1, 2)
+        key, check = np.ascontiguousarray(digests[:, 0]), np.ascontiguousarray(digests[:, 1])
+        at = self._find(key, check)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            if len(self.keys) + len(new) > KEPT_WORDS:
+                self.forget()
+                new = np.arange(len(listed))
+            self._learn([listed[i] for i in new.tolist()], key[new], check[new])
+            at = self._find(key, check)
+            if (at < 0).any():
+                raise RuntimeError("two different words share half of a 128-bit hash")
+        lens, starts = self.lens[at].astype(np.int64), self.starts[at]
         n = lens[codes]
         ends = np.cumsum(n)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[codes] - (ends - n), n)
+        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[codes] - (ends - n), n)
         total = np.concatenate([[0], ends])[first]
-        return np.diff(total), table[at]
+        return np.diff(total), self.ids[place]
 
 
 def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, doc_id: str = "doc_id", text: str = "text", mode: str = "errorifexists") -> None:
