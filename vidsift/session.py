@@ -7,6 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 ROOT = str(Path(__file__).resolve().parent.parent)
 
 
@@ -34,6 +35,8 @@ def ship(spark: SparkSession) -> SparkSession:
     have = env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
     if ROOT not in have:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *[x for x in have if x]])
+    if spark.conf.get(ARROW_ROWS, "10000") == "10000":
+        spark.conf.set(ARROW_ROWS, "2000")  # rows here hold whole texts
     return spark
 
 
