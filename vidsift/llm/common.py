@@ -126,17 +126,20 @@ def words(texts: pa.Array, split: Callable = pc.ascii_split_whitespace) -> tuple
 
 
 def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Sum of values[offsets[i]:offsets[i+1]] for each i, empty ones too."""
-    total = np.concatenate([[0], np.cumsum(values, dtype=np.float64 if values.dtype.kind == "f" else np.int64)])
-    return total[offsets[1:]] - total[offsets[:-1]]
+    """Sum of values[offsets[i]:offsets[i+1]] for each i, empty ones too; the offsets span all values."""
+    out = np.zeros(len(offsets) - 1, np.float64 if values.dtype.kind == "f" else np.int64)
+    full = np.flatnonzero(np.diff(offsets))
+    if len(full):
+        out[full] = np.add.reduceat(values.view(np.uint8) if values.dtype == bool else values, offsets[:-1][full], dtype=out.dtype)
+    return out
 
 
-def text_batches(batches, limit: int = 8_000_000):
-    """Record batches cut so that none holds more than about ``limit`` bytes of the column ``text``."""
+def text_batches(batches, limit: int = 2_000_000, text: str = "text"):
+    """Record batches cut so that none holds more than about ``limit`` bytes of the text column, or one row."""
     for b in batches:
         if b.num_rows == 0:
             continue
-        size = np.cumsum(pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(zero_copy_only=False))
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         cuts = np.unique(np.searchsorted(size, np.arange(limit, size[-1] + limit, limit)) + 1)
         start = 0
         for end in np.minimum(cuts, b.num_rows):

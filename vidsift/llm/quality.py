@@ -11,7 +11,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,8 +122,7 @@ def keep_good(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of docs that score 0.5 or more, unchanged."""
 
     def rows(batches):
-        for b in batches:
-            if b.num_rows:
-                yield b.filter(pa.array(model.score(features(strings(b.column(text)))) >= 0.5))
+        for b in text_batches(batches, text=text):
+            yield b.filter(pa.array(model.score(features(strings(b.column(text)))) >= 0.5))
 
     return docs.mapInArrow(rows, docs.schema)

@@ -77,8 +77,8 @@ def links(scratch: Scratch, fps: DataFrame, max_bits: int = 3) -> DataFrame:
         schema = pa.schema([("pid", pa.int32()), ("fps", pa.binary()), ("masks", pa.binary())])
         for b in batches:
             every = b.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            for at in range(0, len(every), 4096):
-                got = every[at : at + 4096]
+            for at in range(0, len(every), 1024):
+                got = every[at : at + 1024]
                 odd = np.bitwise_count(got) & 1 == 1
                 f = np.concatenate([np.repeat(got[~odd], SINGLE), np.repeat(got[odd], len(MASKS))])
                 m = np.concatenate([np.tile(np.arange(SINGLE, dtype=np.uint16), int((~odd).sum())), np.tile(np.arange(len(MASKS), dtype=np.uint16), int(odd.sum()))])
@@ -112,7 +112,7 @@ def links(scratch: Scratch, fps: DataFrame, max_bits: int = 3) -> DataFrame:
             pairs = np.unique(np.stack([a[good], x[good]], axis=1), axis=0)
             yield pa.record_batch([pa.array(np.ascontiguousarray(pairs[:, i]).view(np.int64), pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    sent = fps.mapInArrow(emit, "pid int, fps binary, masks binary")
+    sent = fps.repartition(parts).mapInArrow(emit, "pid int, fps binary, masks binary")
     return sent.repartition(parts, "pid").mapInArrow(meet, "a long, b long").distinct()
 
 
