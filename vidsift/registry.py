@@ -20,3 +20,6 @@ def query(sql: str | None = None):
         return f
 
     return add
+
+
+from .plans import aggregates, joins, windows  # noqa: E402, F401
