@@ -17,8 +17,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: fingerprints of five-word shingles within three bits."""
-    return simhash.drop_near_copies(docs, shingle=5)
+    """One document of each group of near copies stays: SimHash candidates of 0.8 or more over five-word shingles."""
+    return simhash.drop_near_copies(docs, shingle=5, similarity=0.8)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -257,7 +257,7 @@ def simhash_of(text, k):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
 
 
-def classes(fps):
+def classes(fps, bits=3):
     root = {f: f for f in fps}
 
     def find(f):
@@ -268,7 +268,7 @@ def classes(fps):
     every = list(root)
     for i, a in enumerate(every):
         for b in every[:i]:
-            if (a ^ b).bit_count() <= 3:
+            if (a ^ b).bit_count() <= bits:
                 root[find(a)] = find(b)
     return {f: find(f) for f in every}
 
@@ -286,9 +286,7 @@ def test_simhash(spark, docs, odd, none):
             least[r] = d if least[r] is None else min(d, least[r])
     want = sorted((str(d), f"{f:016x}", str(least[root[f]])) for d, f in fp)
     assert sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in got) == want
-    kept = simhash.drop_near_copies(docs, shingle=3).collect()
-    assert len(kept) == len(set(root.values())) and {str(r.doc_id) for r in kept} == {str(x) for x in least.values()} | ({"None"} if None in least.values() else set())
-    assert simhash.near_duplicates(none).count() == 0 and simhash.drop_near_copies(none).count() == 0
+    assert simhash.near_duplicates(none).count() == 0
 
 
 def test_ball_links(spark):
@@ -305,14 +303,51 @@ def test_ball_links(spark):
                 f ^= 1 << b
             fps.add(f)
     signed = lambda f: f - 2**64 if f >= 2**63 else f
-    df = spark.createDataFrame([(signed(f),) for f in fps], "fp long")
+    df = spark.createDataFrame([(t, signed(f)) for f in fps for t in (0, 1)], "t int, fp long")
     scratch = Scratch(spark)
-    links = simhash.links(scratch, df).collect()
-    assert all(((r.a ^ r.b) % 2**64).bit_count() <= 3 for r in links)
-    got = {r.v: r.root for r in components(scratch, spark.createDataFrame([tuple(r) for r in links], "a long, b long")).collect()}
-    want = classes(fps)
-    pairs = lambda m: {(min(a, b), max(a, b)) for a in m for b in m if a != b and m[a] == m[b]}
-    assert pairs({signed(f): got.get(signed(f), signed(f)) for f in fps}) == pairs({signed(f): r for f, r in want.items()})
+    for bits in (3, 2, 0):
+        links = simhash.links(scratch, df, bits).collect()
+        assert all(((r.a ^ r.b) % 2**64).bit_count() <= bits for r in links)
+        want = classes(fps, bits)
+        pairs = lambda m: {(min(a, b), max(a, b)) for a in m for b in m if a != b and m[a] == m[b]}
+        for t in (0, 1):
+            rows = [(r.a, r.b) for r in links if r.t == t]
+            got = {r.v: r.root for r in components(scratch, spark.createDataFrame(rows, "a long, b long")).collect()}
+            assert pairs({signed(f): got.get(signed(f), signed(f)) for f in fps}) == pairs({signed(f): r for f, r in want.items()})
+
+
+def shingles_of(text, k=5):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+
+
+def test_near_copies(spark, docs, none):
+    from vidsift.llm import simhash
+
+    rng = random.Random(21)
+    rows, group = [], 0
+    for g in range(60):
+        base = words_of(rng, rng.randrange(60, 400), 6000)
+        rows.append((g * 10, " ".join(base), "en", "a", g))
+        for c in range(1, 4):
+            copy = list(base)
+            for _ in range(rng.randrange(1, max(2, len(base) // 70))):
+                copy[rng.randrange(len(copy))] = f"new{rng.randrange(999)}"
+            rows.append((g * 10 + c, " ".join(copy), "en", "a", g))
+    kept = {r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame(rows, DOCS)).collect()}
+    text = {r[0]: r[1] for r in rows}
+    j = lambda a, b: len(shingles_of(text[a]) & shingles_of(text[b])) / len(shingles_of(text[a]) | shingles_of(text[b]))
+    near = [d for d in text if d % 10 and j(d, d - d % 10) >= 0.87]
+    assert {d for d in text if not d % 10} <= kept and len(near) > 100
+    assert len([d for d in near if d in kept]) <= 0.05 * len(near)
+    for a, b in ((rows[0][1], rows[1][1]), (rows[0][1], rows[4][1]), ("a b", "a b c"), ("", "")):
+        _, s, _ = simhash.word_fingerprints(pa.array([a, b], pa.large_string()), keep=10**6)
+        x, y = shingles_of(a), shingles_of(b)
+        assert simhash.sketch_jaccard(*s, keep=10**6) == (len(x & y) / len(x | y) if x | y else 1.0)
+    odd = simhash.drop_near_copies(docs)
+    assert odd.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in odd.collect()) == sorted(str(r.doc_id) for r in docs.collect() if r.doc_id not in (2, 3, None, 5, 6))
+    assert simhash.drop_near_copies(none).count() == 0
 
 
 def test_url_filter(spark):

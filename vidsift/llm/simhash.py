@@ -21,9 +21,9 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from .common import Scratch, components, partitions
+from .common import Scratch, components, partitions, strings, text_batches, words
 
 MASKS = np.array([0] + [1 << i for i in range(64)] + [(1 << i) | (1 << j) for half in (0, 32) for i in range(half, half + 32) for j in range(i + 1, half + 32)], dtype=np.uint64)
 SINGLE = 65
@@ -66,54 +66,67 @@ def with_fingerprint(docs: DataFrame, text: str = "text", out: str = "fp", shing
 
 
 def links(scratch: Scratch, fps: DataFrame, max_bits: int = 3) -> DataFrame:
-    """Links (a, b) between different fingerprints of the column ``fp`` (long, distinct) whose transitive closure
-    is that of all pairs at most ``max_bits`` (0 to 3) bits apart."""
+    """Links (t, a, b) between different fingerprints of one table t whose transitive closure is that of all pairs of
+    the table at most ``max_bits`` (0 to 3) bits apart. fps has t (int) and fp (long).
+
+    Up to two bits, single flips meet, and all members of a bucket are that near. Each member links to the least
+    near one of its bucket and to the one before it.
+    """
     if not 0 <= max_bits <= 3:
         raise ValueError("max_bits is 0 to 3")
-    fps = scratch.save(fps.select("fp").where("fp is not null").distinct(), "fps")
-    parts = max(partitions(fps.sparkSession), -(-fps.count() * 561 // VARIANTS_A_TASK))
+    wide = len(MASKS) if max_bits == 3 else SINGLE
+    fps = scratch.save(fps.select(F.col("t").cast("int").alias("t"), "fp").where("fp is not null").distinct(), "fps")
+    n = fps.count()
+    parts = max(16, -(-n * (wide + SINGLE) // 2 // VARIANTS_A_TASK))
+    spread = np.random.default_rng(1).integers(0, 2**63, 256, dtype=np.uint64)
 
     def emit(batches):
-        schema = pa.schema([("pid", pa.int32()), ("fps", pa.binary()), ("masks", pa.binary())])
+        schema = pa.schema([("pid", pa.int32()), ("fps", pa.binary()), ("masks", pa.binary()), ("ts", pa.binary())])
         for b in batches:
-            every = b.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            for at in range(0, len(every), 1024):
-                got = every[at : at + 1024]
-                odd = np.bitwise_count(got) & 1 == 1
-                f = np.concatenate([np.repeat(got[~odd], SINGLE), np.repeat(got[odd], len(MASKS))])
-                m = np.concatenate([np.tile(np.arange(SINGLE, dtype=np.uint16), int((~odd).sum())), np.tile(np.arange(len(MASKS), dtype=np.uint16), int(odd.sum()))])
-                v = (f ^ MASKS[m]) * np.uint64(0x9E3779B97F4A7C15)
+            every, tables = b.column("fp").to_numpy(zero_copy_only=False).view(np.uint64), b.column("t").to_numpy(zero_copy_only=False).astype(np.uint8)
+            step = 1024 if wide > SINGLE else 8192
+            for at in range(0, len(every), step):
+                got, ts = every[at : at + step], tables[at : at + step]
+                odd = (np.bitwise_count(got) & 1 == 1) & (wide > SINGLE)
+                f = np.concatenate([np.repeat(got[~odd], SINGLE), np.repeat(got[odd], wide)])
+                t = np.concatenate([np.repeat(ts[~odd], SINGLE), np.repeat(ts[odd], wide)])
+                m = np.concatenate([np.tile(np.arange(SINGLE, dtype=np.uint16), int((~odd).sum())), np.tile(np.arange(wide, dtype=np.uint16), int(odd.sum()))])
+                v = (f ^ MASKS[m] ^ spread[t]) * np.uint64(0x9E3779B97F4A7C15)
                 pid = ((v >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.uint32)
                 order = np.argsort(pid.astype(np.uint16) if parts < 65536 else pid, kind="stable")
-                f, m, pid = f[order], m[order], pid[order]
+                f, m, t, pid = f[order], m[order], t[order], pid[order]
                 cut = np.concatenate([[0], np.flatnonzero(np.diff(pid)) + 1, [len(pid)]]) if len(pid) else [0]
                 spans = list(zip(cut[:-1], cut[1:], strict=True))
-                yield pa.record_batch([pa.array([int(pid[a]) for a, _ in spans], pa.int32()), pa.array([f[a:b].tobytes() for a, b in spans], pa.binary()), pa.array([m[a:b].tobytes() for a, b in spans], pa.binary())], schema=schema)
+                yield pa.record_batch([pa.array([int(pid[x]) for x, _ in spans], pa.int32()), *(pa.array([c[x:y].tobytes() for x, y in spans], pa.binary()) for c in (f, m, t))], schema=schema)
 
     def meet(batches):
         held: dict[int, list] = {}
         for b in batches:
-            for pid, f, m in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                held.setdefault(pid, []).append((f, m))
+            for pid, *blobs in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                held.setdefault(pid, []).append(blobs)
         for pid in list(held):
             got = held.pop(pid)
-            f, m = (np.frombuffer(b"".join(x[i] for x in got), t) for i, t in ((0, np.uint64), (1, np.uint16)))
+            f, m, t = (np.frombuffer(b"".join(x[i] for x in got), kind) for i, kind in ((0, np.uint64), (1, np.uint16), (2, np.uint8)))
             v = f ^ MASKS[m]
-            order = np.argsort(v, kind="stable")
-            v, f, m = v[order], f[order], m[order]
-            start = np.concatenate([[0], np.flatnonzero(v[1:] != v[:-1]) + 1])
+            order = np.lexsort((f, v ^ spread[t], t))
+            v, f, m, t = v[order], f[order], m[order], t[order]
+            start = np.concatenate([[0], np.flatnonzero((v[1:] != v[:-1]) | (t[1:] != t[:-1])) + 1])
             size = np.diff(np.concatenate([start, [len(v)]]))
             far = m >= SINGLE
             anchor = np.minimum.reduceat(np.where(far, np.uint64(2**64 - 1), f), start)
             near = np.add.reduceat((~far).astype(np.int64), start) > 0
             use = np.repeat((size > 1) & near, size)
-            a, x = np.repeat(anchor, size)[use], f[use]
+            head = np.zeros(len(v), bool)
+            head[start] = True
+            chain = np.flatnonzero(use & ~head)
+            a = np.concatenate([np.repeat(anchor, size)[use], f[chain - 1]])
+            x, tt = np.concatenate([f[use], f[chain]]), np.concatenate([t[use], t[chain]])
             good = (a != x) & (np.bitwise_count(a ^ x) <= max_bits)
-            pairs = np.unique(np.stack([a[good], x[good]], axis=1), axis=0)
-            yield pa.record_batch([pa.array(np.ascontiguousarray(pairs[:, i]).view(np.int64), pa.int64()) for i in (0, 1)], names=["a", "b"])
+            pairs = np.unique(np.stack([tt[good].astype(np.uint64), a[good], x[good]], axis=1), axis=0)
+            yield pa.record_batch([pa.array(pairs[:, 0].astype(np.int32), pa.int32())] + [pa.array(np.ascontiguousarray(pairs[:, i]).view(np.int64), pa.int64()) for i in (1, 2)], names=["t", "a", "b"])
 
-    sent = fps.repartition(parts).mapInArrow(emit, "pid int, fps binary, masks binary")
-    return sent.repartition(parts, "pid").mapInArrow(meet, "a long, b long").distinct()
+    sent = fps.repartition(max(partitions(fps.sparkSession), min(parts, 4096))).mapInArrow(emit, "pid int, fps binary, masks binary, ts binary")
+    return sent.repartition(parts, "pid").mapInArrow(meet, "t int, a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
@@ -127,26 +140,118 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     fps = scratch.save(with_fingerprint(d, shingle=shingle).select("doc_id", "fp"), "documents")
     known = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = scratch.save(components(scratch, links(scratch, known, max_bits)), "roots").select(F.col("v").alias("fp"), "root")
+    roots = scratch.save(components(scratch, links(scratch, known.withColumn("t", F.lit(0)), max_bits).drop("t")), "roots").select(F.col("v").alias("fp"), "root")
     least = known.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
     of_root = least.groupBy("root").agg(F.min("first").alias("component_id"))
     of_fp = scratch.save(least.join(of_root, "root").select("fp", "component_id"), "classes")
     return fps.join(of_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, max_bits: int = 3) -> DataFrame:
-    """The rows of docs, with their columns, that lead their component: its least doc_id (null last), one row of it.
+TABLES = 8
+SKETCH = 128
+_LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).reshape(-1)
+_MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def word_fingerprints(texts: pa.Array, tables: int = TABLES, shingle: int = 5, keep: int = SKETCH) -> tuple[np.ndarray, list[bytes], list[bytes]]:
+    """Of each text: ``tables`` independent SimHashes of its words, a sketch of its shingles, a key of its words.
+
+    Words (ASCII lower case) vote with the bit length of their count, so common words don't drown the others. The
+    sketch holds the ``keep`` least hashes of the different shingles; a text of fewer words is one shingle.
+    """
+    low = pc.ascii_lower(texts)
+    first, codes, dictionary = words(low)
+    h = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in dictionary.cast(pa.large_binary()).to_pylist()), np.uint64, len(dictionary))
+    n = len(texts)
+    doc, k = np.repeat(np.arange(n), np.diff(first)), max(1, len(dictionary))
+    pairs, count = np.unique(doc * k + codes, return_counts=True)
+    weight = np.floor(np.log2(np.maximum(count, 1))).astype(np.int64) + 1
+    votes, owner = np.repeat(pairs % k, weight), np.repeat(pairs // k, weight)
+    lanes = np.concatenate([_LANES[_mixed(h + _MULT[:1] * np.uint64(t + 1)).view(np.uint8).reshape(-1, 8)] for t in range(tables)], axis=1) if len(h) else np.zeros((0, 8 * tables), np.uint64)
+    ones, total = np.zeros((n, 64 * tables), np.int64), np.bincount(owner, minlength=n) if len(owner) else np.zeros(n, np.int64)
+    for a in range(0, len(votes), 8192):
+        v, o = votes[a : a + 8192], owner[a : a + 8192]
+        place = np.arange(len(v))
+        begin = np.concatenate([[0], np.flatnonzero(np.diff(o)) + 1])
+        within = place - np.repeat(begin, np.diff(np.concatenate([begin, [len(o)]])))
+        cut = np.flatnonzero(within % 255 == 0)  # a lane counts to 255
+        part = np.add.reduceat(lanes[v], cut, axis=0)
+        np.add.at(ones, o[cut], np.ascontiguousarray(part).view(np.uint8).reshape(len(cut), -1))
+    bits = np.packbits(ones * 2 > total[:, None], axis=1, bitorder="little").view("<u8").reshape(n, tables)
+    g = np.zeros(len(codes), np.uint64)
+    wide = np.concatenate([h[codes], np.zeros(shingle, np.uint64)])
+    end = np.repeat(first[1:], np.diff(first))
+    at = np.arange(len(codes))
+    for j in range(shingle):
+        g += np.where(at + j < end, _mixed(wide[j : j + len(codes)] + np.uint64(1)) * _MULT[j % len(_MULT)], 0).astype(np.uint64)
+    g = _mixed(g)
+    sketches, keys = [], []
+    for i, raw in enumerate(low.cast(pa.large_binary()).to_pylist()):
+        a, b = int(first[i]), int(first[i + 1])
+        sketches.append(np.unique(g[a : max(min(a + 1, b), b - shingle + 1)])[:keep].tobytes())
+        keys.append(xxhash.xxh3_128_digest(b" ".join(raw.split())))
+    return bits, sketches, keys
+
+
+def sketch_jaccard(a: bytes, b: bytes, keep: int = SKETCH) -> float:
+    """Jaccard similarity of the shingle sets behind two sketches: exact up to ``keep`` shingles, else estimated."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    if not len(x) or not len(y):
+        return float(len(x) == len(y))
+    union = np.union1d(x, y)
+    if len(x) == keep or len(y) == keep:
+        union = union[:keep]
+    return len(np.intersect1d(np.intersect1d(x, y), union)) / len(union)
+
+
+def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, tables: int = TABLES, max_bits: int = 2) -> DataFrame:
+    """The rows of docs, with their columns, that lead their group of near copies: its least doc_id (null last), one row.
 
-    Null and empty texts form one component; of repeated rows one stays. Columns of docs may have any names.
+    Texts of the same words are one. Others are candidates if their SimHashes are within ``max_bits`` in any of the
+    tables, and near copies if the Jaccard similarity of their word shingles is ``similarity`` or more, groups being
+    closed over such pairs. Fingerprints of shingles would need a radius of about ten bits for a similarity of 0.8,
+    beyond what a ball can be listed for; fingerprints of words move by one to four bits. Null and empty texts are
+    one group; of repeated rows one stays. Columns of docs may have any names.
     """
     scratch = Scratch(docs.sparkSession)
-    fp, uid = "__vidsift_fp", "__vidsift_uid"
-    tagged = scratch.save(with_fingerprint(docs, text, fp, shingle).withColumn(uid, F.monotonically_increasing_id()), "tagged")
-    ids = tagged.select(F.col(uid).alias("uid"), F.col(doc_id).alias("id"), F.col(fp).alias("fp"))
-    roots = scratch.save(components(scratch, links(scratch, ids, max_bits)), "roots").select(F.col("v").alias("fp"), "root")
-    lead = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("uid").alias("u"))
-    leads = ids.groupBy("fp").agg(F.min(lead).alias("lead"), F.count("*").alias("n")).join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("lead").alias("lead"), F.sum("n").alias("n"))
-    shared = leads.where("n > 1").select("root", F.col("lead.u").alias("keep"))
-    in_group = ids.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")).join(shared, "root")
-    gone = scratch.save(in_group.where("uid <> keep").select(F.col("uid").alias(uid)), "gone")
+    own = ["__vidsift_fps", "__vidsift_sketch", "__vidsift_key"]
+    uid = "__vidsift_uid"
+
+    def add(batches):
+        for b in text_batches(batches, text=text):
+            bits, sketches, keys = word_fingerprints(strings(b.column(text)), tables, shingle)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * tables, pa.int32()), pa.array(bits.reshape(-1).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*b.columns, lists, pa.array(sketches, pa.binary()), pa.array(keys, pa.binary())], names=[*b.schema.names, *own])
+
+    schema = StructType([*docs.schema.fields, StructField(own[0], ArrayType(LongType())), StructField(own[1], BinaryType()), StructField(own[2], BinaryType())])
+    tagged = scratch.save(docs.mapInArrow(add, schema).withColumn(uid, F.monotonically_increasing_id()), "tagged")
+    ids = tagged.select(F.col(uid).alias("uid"), F.col(f"`{doc_id}`").alias("id"), F.col(own[0]).alias("fps"), F.col(own[2]).alias("key"))
+    lead = F.min(F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("uid").alias("u")))
+    nodes = scratch.save(ids.groupBy("key").agg(lead.alias("lead"), F.first("fps").alias("fps")).select(F.col("lead.u").alias("node"), "lead", "key", "fps"), "nodes")
+    marks = nodes.select("node", F.posexplode("fps").alias("t", "fp"))
+    heads = scratch.save(marks.groupBy("t", "fp").agg(F.min("node").alias("head")), "heads")
+    same = marks.join(heads, ["t", "fp"]).where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    of = lambda side, out: heads.select("t", F.col("fp").alias(side), F.col("head").alias(out))
+    near = links(scratch, heads, max_bits).join(of("a", "x"), ["t", "a"]).join(of("b", "y"), ["t", "b"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    pairs = scratch.save(same.unionByName(near).where("a <> b").distinct(), "candidates")
+    sketches = tagged.select(F.col(uid).alias("node"), F.col(own[1]).alias("s"))
+    named = lambda side, out: sketches.select(F.col("node").alias(side), F.col("s").alias(out))
+
+    def alike(batches):
+        for b in batches:
+            keep = [sketch_jaccard(x, y) >= similarity for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True)]
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    true = pairs.join(named("a", "x"), "a").join(named("b", "y"), "b").mapInArrow(alike, "a long, b long")
+    roots = scratch.save(components(scratch, true), "roots")
+    rooted = nodes.join(roots.withColumnRenamed("v", "node"), "node", "left").select("key", "lead", F.coalesce("root", "node").alias("root"))
+    leads = rooted.groupBy("root").agg(F.min("lead")["u"].alias("keep"))
+    of_key = rooted.join(leads, "root").select("key", "keep")
+    gone = scratch.save(ids.join(of_key, "key").where("uid <> keep").select(F.col("uid").alias(uid)), "gone")
     return tagged.join(gone, uid, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
