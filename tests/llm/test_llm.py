@@ -9,6 +9,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 
@@ -48,11 +49,18 @@ def path(name):
 
 
 def test_text_batches_and_words():
-    from vidsift.llm.common import text_batches, words
+    from vidsift.llm.common import strings, text_batches, words
 
     b = pa.record_batch([pa.array(["a  b ", None, "", " c\n\td", "x" * 50])], names=["text"])
     for limit in (1, 5, 1000):
         assert sum((x.column("text").to_pylist() for x in text_batches([b], limit)), []) == b.column("text").to_pylist()
+    rng = random.Random(8)
+    texts = [" ".join(words_of(rng, rng.randrange(90))).upper() + rng.choice(["", " é\u00a0x", "\n"]) for _ in range(300)]
+    for s in text_batches([pa.record_batch([pa.array(texts)], names=["text"])], 2000):
+        x = strings(s.column("text"))
+        first, codes, kinds = words(pc.ascii_lower(x))
+        kinds = kinds.to_pylist()
+        assert [[kinds[c] for c in codes[a:b]] for a, b in zip(first[:-1], first[1:], strict=True)] == [[w.decode() for w in t.encode().lower().split()] for t in s.column("text").to_pylist()]
     first, codes, kinds = words(pa.array(["a  b ", "", " c\n\td a"], pa.large_string()))
     assert first.tolist() == [0, 2, 2, 5] and [kinds[int(c)].as_py() for c in codes] == ["a", "b", "c", "d", "a"]
 
@@ -337,6 +345,8 @@ def test_near_copies(spark, docs, none):
     kept = {r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame(rows, DOCS)).collect()}
     text = {r[0]: r[1] for r in rows}
     j = lambda a, b: len(shingles_of(text[a]) & shingles_of(text[b])) / len(shingles_of(text[a]) | shingles_of(text[b]))
+    many = spark.createDataFrame([(i, rows[i % 40][1] + " tail" * 3000, "en", "a", 1) for i in range(400)], DOCS)
+    assert {r.doc_id for r in simhash.drop_near_copies(many.coalesce(1)).collect()} <= set(range(0, 40))
     near = [d for d in text if d % 10 and j(d, d - d % 10) >= 0.87]
     assert {d for d in text if not d % 10} <= kept and len(near) > 100
     assert len([d for d in near if d in kept]) <= 0.05 * len(near)

@@ -104,10 +104,12 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
 
 
 def strings(column: pa.ChunkedArray | pa.Array) -> pa.Array:
-    """A text column as one large_string array, null as empty."""
+    """A text column as one large_string array, null as empty, that is no slice: some kernels misread slices."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return pc.fill_null(column.cast(pa.large_string()), "")
+    whole = pc.fill_null(column.cast(pa.large_string()), "")
+    starts_at = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset] if len(whole) else 0
+    return whole if whole.offset == 0 == starts_at else whole.take(pa.array(np.arange(len(whole))))
 
 
 def words(texts: pa.Array, split: Callable = pc.ascii_split_whitespace) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -134,6 +136,19 @@ def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def release() -> None:
+    """Give memory that a task of this worker no longer uses back to the machine."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        return  # another C library: nothing to trim
+
+
 def text_batches(batches, limit: int = 2_000_000, text: str = "text"):
     """Record batches cut so that none holds more than about ``limit`` bytes of the text column, or one row."""
     for b in batches:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import strings, sums, text_batches, words
+from .common import release, strings, sums, text_batches, words
 
 #: Byte classes: 1 lower-case letter or byte of a non-ASCII character, 2 upper-case letter, 3 digit, 4 space,
 #: 5 line end, 6 sentence mark, 7 bar, 8 other mark.
@@ -124,5 +124,6 @@ def keep_good(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def rows(batches):
         for b in text_batches(batches, text=text):
             yield b.filter(pa.array(model.score(features(strings(b.column(text)))) >= 0.5))
+        release()
 
     return docs.mapInArrow(rows, docs.schema)

@@ -23,11 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from .common import Scratch, components, partitions, strings, text_batches, words
+from .common import Scratch, components, partitions, release, strings, text_batches, words
 
 MASKS = np.array([0] + [1 << i for i in range(64)] + [(1 << i) | (1 << j) for half in (0, 32) for i in range(half, half + 32) for j in range(i + 1, half + 32)], dtype=np.uint64)
 SINGLE = 65
-VARIANTS_A_TASK = 2_000_000
+VARIANTS_A_TASK = 8_000_000
+VARIANTS_AT_ONCE = 2_000_000
 
 
 def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
@@ -106,24 +107,34 @@ def links(scratch: Scratch, fps: DataFrame, max_bits: int = 3) -> DataFrame:
                 held.setdefault(pid, []).append(blobs)
         for pid in list(held):
             got = held.pop(pid)
-            f, m, t = (np.frombuffer(b"".join(x[i] for x in got), kind) for i, kind in ((0, np.uint64), (1, np.uint16), (2, np.uint8)))
-            v = f ^ MASKS[m]
-            order = np.lexsort((f, v ^ spread[t], t))
-            v, f, m, t = v[order], f[order], m[order], t[order]
-            start = np.concatenate([[0], np.flatnonzero((v[1:] != v[:-1]) | (t[1:] != t[:-1])) + 1])
-            size = np.diff(np.concatenate([start, [len(v)]]))
-            far = m >= SINGLE
-            anchor = np.minimum.reduceat(np.where(far, np.uint64(2**64 - 1), f), start)
-            near = np.add.reduceat((~far).astype(np.int64), start) > 0
-            use = np.repeat((size > 1) & near, size)
-            head = np.zeros(len(v), bool)
-            head[start] = True
-            chain = np.flatnonzero(use & ~head)
-            a = np.concatenate([np.repeat(anchor, size)[use], f[chain - 1]])
-            x, tt = np.concatenate([f[use], f[chain]]), np.concatenate([t[use], t[chain]])
-            good = (a != x) & (np.bitwise_count(a ^ x) <= max_bits)
-            pairs = np.unique(np.stack([tt[good].astype(np.uint64), a[good], x[good]], axis=1), axis=0)
-            yield pa.record_batch([pa.array(pairs[:, 0].astype(np.int32), pa.int32())] + [pa.array(np.ascontiguousarray(pairs[:, i]).view(np.int64), pa.int64()) for i in (1, 2)], names=["t", "a", "b"])
+            all_f, all_m, all_t = (np.frombuffer(b"".join(x[i] for x in got), kind) for i, kind in ((0, np.uint64), (1, np.uint16), (2, np.uint8)))
+            del got
+            slices = max(1, -(-len(all_f) // VARIANTS_AT_ONCE))
+            which = ((all_f ^ MASKS[all_m]) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(56)).astype(np.uint8) % min(slices, 256)
+            for part in range(min(slices, 256)):
+                pick = np.flatnonzero(which == part)
+                if len(pick):
+                    yield in_buckets(all_f[pick], all_m[pick], all_t[pick])
+        release()
+
+    def in_buckets(f, m, t):
+        v = f ^ MASKS[m]
+        order = np.lexsort((f, v ^ spread[t], t))
+        v, f, m, t = v[order], f[order], m[order], t[order]
+        start = np.concatenate([[0], np.flatnonzero((v[1:] != v[:-1]) | (t[1:] != t[:-1])) + 1])
+        size = np.diff(np.concatenate([start, [len(v)]]))
+        far = m >= SINGLE
+        anchor = np.minimum.reduceat(np.where(far, np.uint64(2**64 - 1), f), start)
+        near = np.add.reduceat((~far).astype(np.int64), start) > 0
+        use = np.repeat((size > 1) & near, size)
+        head = np.zeros(len(v), bool)
+        head[start] = True
+        chain = np.flatnonzero(use & ~head)
+        a = np.concatenate([np.repeat(anchor, size)[use], f[chain - 1]])
+        x, tt = np.concatenate([f[use], f[chain]]), np.concatenate([t[use], t[chain]])
+        good = (a != x) & (np.bitwise_count(a ^ x) <= max_bits)
+        pairs = np.unique(np.stack([tt[good].astype(np.uint64), a[good], x[good]], axis=1), axis=0)
+        return pa.record_batch([pa.array(pairs[:, 0].astype(np.int32), pa.int32())] + [pa.array(np.ascontiguousarray(pairs[:, i]).view(np.int64), pa.int64()) for i in (1, 2)], names=["t", "a", "b"])
 
     sent = fps.repartition(max(partitions(fps.sparkSession), min(parts, 4096))).mapInArrow(emit, "pid int, fps binary, masks binary, ts binary")
     return sent.repartition(parts, "pid").mapInArrow(meet, "t int, a long, b long").distinct()
@@ -147,7 +158,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return fps.join(of_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-TABLES = 8
+TABLES = 6
 SKETCH = 128
 _LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).reshape(-1)
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -228,6 +239,7 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
             bits, sketches, keys = word_fingerprints(strings(b.column(text)), tables, shingle)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * tables, pa.int32()), pa.array(bits.reshape(-1).view(np.int64)))
             yield pa.RecordBatch.from_arrays([*b.columns, lists, pa.array(sketches, pa.binary()), pa.array(keys, pa.binary())], names=[*b.schema.names, *own])
+        release()
 
     schema = StructType([*docs.schema.fields, StructField(own[0], ArrayType(LongType())), StructField(own[1], BinaryType()), StructField(own[2], BinaryType())])
     tagged = scratch.save(docs.mapInArrow(add, schema).withColumn(uid, F.monotonically_increasing_id()), "tagged")

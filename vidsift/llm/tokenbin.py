@@ -24,13 +24,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, partitions, running_sum, strings, text_batches, words
+from .common import Scratch, partitions, release, running_sum, strings, text_batches, words
 
 MAGIC = b"VSTOKEN1"
 HEAD = struct.Struct("<8sIIQQQ")
 BLOCK = 4096
 SHARD_IDS = 1_000_000
-KEPT_WORDS = 3_000_000
+KEPT_WORDS = 2_000_000
 
 
 def bits_for(vocabulary: int) -> int:
@@ -201,6 +201,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, do
                 yield cut()
         if held[0]:
             yield cut()
+        release()
 
     dealt.mapInArrow(shards, "part int, shard int, n_docs long, n_tokens long, data binary").write.mode(mode).option("compression", "uncompressed").parquet(path)
 
