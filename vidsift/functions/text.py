@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EDGE = r"^[\s\x{0B}]+|[\s\x{0B}]+$"
@@ -114,10 +114,15 @@ def line_key(x: Column) -> Column:
     return F.lower(squeeze(x))
 
 
-def merge_layers(*layers: tuple[str, Column]) -> Column:
-    """Lines of the layers in order, the first of equal lines kept: array of (layer, line, key)."""
-    tagged = F.concat(*[F.transform(text_lines(c), lambda x, n=name: F.struct(F.lit(n).alias("layer"), x.alias("line"), line_key(x).alias("key"))) for name, c in layers])
-    return F.filter(tagged, lambda x, i: F.array_position(F.transform(tagged, lambda y: y["key"]), x["key"]) == i + 1)
+def merge_layers(df: DataFrame, key: str, *layers: tuple[str, Column]) -> DataFrame:
+    """One row per key: ``lines``, array of (place, layer, line) of the layers in order, the first of equal lines kept.
+
+    Equal lines meet in a partial aggregate, so the work is linear in the number of lines.
+    """
+    tagged = F.concat(*[F.transform(text_lines(c), lambda x, n=name: F.struct(F.lit(n).alias("layer"), x.alias("line"))) for name, c in layers])
+    each = df.select(key, F.posexplode_outer(tagged).alias("place", "x"))
+    first = each.groupBy(key, line_key(F.col("x.line")).alias("k")).agg(F.min(F.struct("place", "x.layer", "x.line")).alias("x"))
+    return first.groupBy(key).agg(F.sort_array(F.filter(F.collect_list("x"), lambda x: x["place"].isNotNull())).alias("lines"))
 
 
 def jaccard(a: Column, b: Column, both_empty: float) -> Column:

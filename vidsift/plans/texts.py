@@ -102,8 +102,8 @@ def t17_merge_layers(spark, sf) -> DataFrame:
     """Sticker text is the first half of the lines, on-screen text all of them; equal lines are kept once."""
     lines = X.text_lines(F.col("text"))
     half = F.array_join(F.slice(lines, F.lit(1), F.greatest(F.lit(1), F.size(lines) / 2).cast("int")), "\n")
-    m = X.merge_layers(("sticker", half), ("onscreen", F.col("text")))
-    return table(spark, sf, "documents").select("doc_id", F.array_join(m["line"], "\n").alias("merged"), F.size(m).cast("long").alias("n"))
+    m = X.merge_layers(table(spark, sf, "documents"), "doc_id", ("sticker", half), ("onscreen", F.col("text")))
+    return m.select("doc_id", F.array_join(F.col("lines.line"), "\n").alias("merged"), F.size("lines").cast("long").alias("n"))
 
 
 @query(r"""
