@@ -86,6 +86,18 @@ def test_running_sum_and_components(spark):
     assert components(Scratch(spark), spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_bounded_sample(spark):
+    from pyspark.sql import functions as F
+
+    from vidsift.llm.common import bounded_sample
+
+    df = spark.range(3000)
+    least = sorted((r.h, r.id) for r in df.select("id", F.xxhash64("id").alias("h")).collect())
+    for n in (0, 10, 500, 2700, 2990, 3000, 5000):
+        assert [(r["__h"], r.id) for r in bounded_sample(df, F.xxhash64("id"), n)] == least[:n]
+    assert bounded_sample(df.where("id < 0"), F.xxhash64("id"), 5) == []
+
+
 def test_quality(spark, docs, none):
     from vidsift.llm import quality
     from vidsift.llm.queries import op1_quality_classifier

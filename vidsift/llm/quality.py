@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, strings, sums, text_batches, words
+from .common import bounded_sample, release, strings, sums, text_batches, words
 
 #: Byte classes: 1 lower-case letter or byte of a non-ASCII character, 2 upper-case letter, 3 digit, 4 space,
 #: 5 line end, 6 sentence mark, 7 bar, 8 other mark.
@@ -94,7 +94,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: st
 
     spark = docs.sparkSession
     ids = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id")).agg(F.min(label).cast("long").alias("y"))
-    chosen = ids.orderBy(F.xxhash64("id"), "id").limit(max_rows).collect()
+    chosen = bounded_sample(ids, F.xxhash64("id"), max_rows)
     small = spark.createDataFrame([(int(r.id), int(r.y)) for r in chosen], StructType([StructField("id", LongType()), StructField("y", LongType())]))
     found = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(F.broadcast(small), "id")
 
