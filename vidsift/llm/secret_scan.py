@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, strings, sums, text_batches, words
+from .common import WORD, bounded_sample, strings, sums, text_batches, words
 
 # Fixed patterns of the base scan.
 KEYS = "(password|passwd|secret|token|api_?key)"
@@ -150,7 +150,7 @@ def gold(text: str) -> list[int]:
     return tags
 
 
-def fit(texts: list[str], width: int = 16, most: int = 8000, rounds: int = 250, l2: float = 2e-3, seed: int = 5) -> Field:
+def fit(texts: list[str], width: int = 16, most: int = 4000, rounds: int = 150, l2: float = 2e-3, seed: int = 5) -> Field:
     """Train on windows of ``width`` tokens: those around pattern hits and as many drawn elsewhere, ``most`` at most."""
     first, codes, dictionary = words(pa.array(texts, pa.large_string()))
     own, near = shapes(dictionary)
@@ -205,12 +205,12 @@ def fit(texts: list[str], width: int = 16, most: int = 8000, rounds: int = 250,
     return Field(w[: cut[0]], w[cut[0] : cut[1]], w[cut[1] : cut[2]], w[cut[2] :], a)
 
 
-def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_docs: int = 2000, max_chars: int = 20_000) -> Field:
+def train(docs: DataFrame, text: str = "text", max_docs: int = 2000, max_chars: int = 20_000) -> Field:
     """Fit on at most ``max_docs`` documents of at most ``max_chars`` characters each: half that may hold a match, half
-    any, each the first by a hash of id and text."""
-    d = docs.select(F.col(doc_id).cast("long").alias("i"), F.col(text).alias("t")).where((F.length("t") > 0) & (F.length("t") <= max_chars)).select("t", F.xxhash64("i", "t").alias("h"))
+    any, each the first by a hash of the text."""
+    d = docs.select(F.col(text).alias("t")).where((F.length("t") > 0) & (F.length("t") <= max_chars))
     maybe = F.col("t").rlike("(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]|AKIA[A-Z0-9]{14}")
-    got = d.where(maybe).orderBy("h", "t").limit(max_docs // 2).collect() + d.where(F.pmod("h", F.lit(64)) == 0).orderBy("h", "t").limit(max_docs // 2).collect()
+    got = bounded_sample(d.where(maybe), F.xxhash64("t"), max_docs // 2) + bounded_sample(d, F.xxhash64("t"), max_docs // 2)
     return fit(sorted({r.t for r in got}))
 
 
