@@ -1,8 +1,8 @@
 """Exact top-k inner products over norm-sorted vectors.
 
 Vectors are quantised to integers and written in descending length. Queries come in blocks of bounded size; each
-block starts from the exact k-th scores among the longest vectors. A partition is read in descending length and left
-as soon as |q||x| is below every query's k-th score; within it, vectors are turned into the axes of the corpus' second
+block starts from the exact k-th scores among the longest vectors. A partition is read in descending length, and runs
+of vectors for which |q||x| is below every query's k-th score are skipped; within the others, vectors are turned into the axes of the corpus' second
 moments (its SVD), and the leading coordinates' product plus |q rest||x rest| (Cauchy-Schwarz) drops pairs before
 their exact integer product is taken. Bounds only drop pairs that cannot enter the result, so the result is exact.
 """
