@@ -163,3 +163,23 @@ def c07_window_membership(spark, sf) -> DataFrame:
     unix = F.unix_micros(F.col("ts").cast("timestamp"))
     a, b = (F.unix_micros(F.lit(d).cast("timestamp")) for d in ("2024-01-10", "2024-01-11"))
     return table(spark, sf, "events").where((unix >= a) & (unix < b)).select("event_id")
+
+
+@query("""SELECT batch, place, label FROM (VALUES (1, 0, 'news'), (1, 1, 'unsure'), (2, 0, 'politics')) t(batch, place, label)""")
+def t61_label_responses(spark, sf) -> DataFrame:
+    """Labels of a fenced JSON array in batch order; codes that are not known become unsure."""
+    v = spark.createDataFrame([(1, '```json\n["news", "??"]\n```'), (2, '["politics"]'), (3, "broken")], "batch int, raw string")
+    codes = F.from_json(X.unfenced_json(F.col("raw")), "array<string>")
+    return v.select("batch", F.posexplode(codes).alias("place", "code")).select("batch", "place", F.when(F.col("code").isin("news", "politics"), F.col("code")).otherwise("unsure").alias("label"))
+
+
+@query("""
+SELECT d.doc_id, coalesce(f.t, d.source) AS onscreen, coalesce(nullif(CASE WHEN l.quality = 1 THEN c.t END, ''), d.lang) AS transcript FROM documents d
+LEFT JOIN (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn, text) AS t FROM conversations GROUP BY 1) f ON f.conv_id = d.doc_id
+LEFT JOIN (SELECT conv_id, arg_min(text, turn) AS t FROM conversations GROUP BY 1) c ON c.conv_id = d.doc_id LEFT JOIN labels l ON l.doc_id = d.doc_id""")
+def t67_emoji_inputs(spark, sf) -> DataFrame:
+    """Frames joined by line breaks; a transcript counts only where its status is ok."""
+    listed = F.sort_array(F.collect_list(F.struct("turn", "text")))
+    c = table(spark, sf, "conversations").groupBy(F.col("conv_id").alias("doc_id")).agg(F.array_join(listed["text"], "\n").alias("f"), F.min_by("text", "turn").alias("t"))
+    d = table(spark, sf, "documents").select("doc_id", "source", "lang").join(c, "doc_id", "left").join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
+    return d.select("doc_id", F.coalesce("f", "source").alias("onscreen"), R.first_filled(F.when(F.col("quality") == 1, F.col("t")), F.col("lang")).alias("transcript"))
