@@ -393,6 +393,31 @@ def test_url_filter(spark):
     assert U.judge(pages.limit(0), r).count() == 0 and {x.verdict for x in U.judge(pages, r.limit(0)).collect()} == {"allow"}
 
 
+def passages_by_brute_force(texts):
+    """The words of each id that lie in 50 words in a row which another document holds."""
+    windows = defaultdict(set)
+    split = {}
+    for n, (i, t) in enumerate(dict.fromkeys(texts)):
+        split[n] = (i, (t or "").split())
+        for a in range(len(split[n][1]) - 49):
+            windows[tuple(split[n][1][a : a + 50])].add(n)
+    want = defaultdict(set)
+    for i, w in split.values():
+        for a in range(len(w) - 49):
+            if len(windows[tuple(w[a : a + 50])]) > 1:
+                want[str(i)] |= set(range(a, a + 50))
+    return want
+
+
+def passages_found(spark, texts):
+    from vidsift.llm import suffix
+
+    got = defaultdict(set)
+    for r in suffix.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)).collect():
+        got[str(r.doc_id)] |= set(range(r.start_word, r.end_word))
+    return got
+
+
 def test_repeated_passages(spark, none):
     from vidsift.llm import suffix
 
@@ -406,27 +431,29 @@ def test_repeated_passages(spark, none):
             body[at:at] = s
         texts.append((i, " ".join(body)))
     texts += [(70, texts[5][1]), (70, texts[5][1]), (71, "ha " * 300), (72, "ha " * 120), (73, None), (74, ""), (None, texts[7][1])]
-    windows = defaultdict(set)
-    split = {}
-    for n, (i, t) in enumerate(dict.fromkeys(texts)):
-        split[n] = (i, (t or "").split())
-        for a in range(len(split[n][1]) - 49):
-            windows[tuple(split[n][1][a : a + 50])].add(n)
-    want = set()
-    for n, (i, w) in split.items():
-        for a in range(len(w) - 49):
-            if len(windows[tuple(w[a : a + 50])]) > 1:
-                want |= {(str(i), n, p) for p in range(a, a + 50)}
-    got = defaultdict(set)
-    for r in suffix.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)).collect():
-        got[str(r.doc_id)] |= set(range(r.start_word, r.end_word))
-    want_by = defaultdict(set)
-    for i, _, p in want:
-        want_by[i].add(p)
-    assert got == want_by and len(want_by) > 20
+    want = passages_by_brute_force(texts)
+    assert passages_found(spark, texts) == want and len(want) > 20
     assert suffix.repeated_passages(none).count() == 0
 
 
+@pytest.mark.parametrize("group", [20_000, 7])
+def test_repeated_passages_that_no_neighbour_proves(spark, monkeypatch, group):
+    """All texts share some words and go on in few ways, so a passage's other holder is seldom next in a sort."""
+    from vidsift.llm import suffix
+
+    monkeypatch.setattr(suffix, "GROUP", group)
+    rng = random.Random(23)
+    core = words_of(rng, 20, 5000)
+    ways = [[words_of(rng, 5, 5000) for _ in range(2)] for _ in range(16)]
+    texts = []
+    for i in range(120):
+        before, after = ([w for way in ways[a : a + 8] for w in rng.choice(way)] for a in (0, 8))
+        texts.append((i, " ".join(words_of(rng, 30, 5000) + before + core + after + words_of(rng, 30, 5000))))
+    texts += [texts[3], (200, texts[3][1]), (None, texts[4][1])]
+    want = passages_by_brute_force(texts)
+    assert passages_found(spark, texts) == want and len(want) > 40
+
+
 def test_top_k(spark):
     from vidsift.llm import topk
 

@@ -5,11 +5,14 @@ least in some window of words. Two texts that share a passage of ``least`` words
 suffix at the same place in it. Suffixes whose first words occur in one document only are dropped; the others carry
 up to ``least - GRAM`` words on either side, are sorted by the words that follow and, again, by the words that
 precede, and each is compared with its neighbours of other documents and extended left and right. What adds up to
-``least`` words or more is a repeated passage.
+``least`` words or more is a repeated passage. A suffix of a group of three or more may share its passage with one that
+is next to it in neither order, so what neighbours leave open is sorted once more for each split of ``least`` words
+into those before and after the first words; equal neighbours in these orders settle the rest.
 
 Words are compared by 32-bit hashes, a passage by at least ``least`` of them in a row. Work and storage follow the
 number of kept suffixes; no pairs of a group are listed. A first-words group of more than ``GROUP`` suffixes is dealt by
-document over several tasks, each of which still holds thousands of its suffixes to compare with.
+document over several tasks; each hands on its different splits once, and those that several tasks hold meet in a
+partial aggregate, so dealing loses no passage.
 """
 
 from __future__ import annotations
@@ -82,9 +85,10 @@ def _common(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.
     return np.minimum(n, np.minimum(na, nb))
 
 
-def _passages(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, left: np.ndarray, right: np.ndarray, nl: np.ndarray, nr: np.ndarray, least: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row numbers, start, end) of the passages that neighbours in both orders prove."""
+def _passages(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, left: np.ndarray, right: np.ndarray, nl: np.ndarray, nr: np.ndarray, least: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row numbers, start, end) of the passages that neighbours in both orders prove, and which rows they prove in full."""
     rows, starts, ends = [], [], []
+    full = np.zeros(len(key), bool)
     for main, n_main in ((right, nr), (left, nl)):
         image = np.concatenate([key[:, None].view(np.uint32).astype(">u4"), main.astype(">u4"), n_main[:, None].astype(">u4"), doc[:, None].view(np.uint32).astype(">u4")], axis=1)
         order = np.argsort(np.ascontiguousarray(image).view(f"V{image.shape[1] * 4}").reshape(-1), kind="stable")
@@ -109,9 +113,31 @@ def _passages(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, left: np.ndarra
                 rows.append(x[hit])
                 starts.append(pos[x[hit]] - w[hit])
                 ends.append(pos[x[hit]] + gram + r[hit])
+                full[x[hit & (r == nr[x]) & (w == nl[x])]] = True
     if not rows:
-        return tuple(np.zeros(0, np.int64) for _ in range(3))
-    return np.concatenate(rows), np.concatenate(starts), np.concatenate(ends)
+        return *(np.zeros(0, np.int64) for _ in range(3)), full
+    return np.concatenate(rows), np.concatenate(starts), np.concatenate(ends), full
+
+
+def _splits(key: np.ndarray, doc: np.ndarray, left: np.ndarray, right: np.ndarray, nl: np.ndarray, nr: np.ndarray):
+    """For each number of words before the first words, so that both sides add up to a side: (rows that have the words,
+    in the order of their hash; where runs of equal hashes start; the runs' hashes; whether a run has two documents)."""
+    side = left.shape[1]
+    after = np.zeros((side + 1, len(key)), np.uint64)
+    for j in range(side):
+        after[j + 1] = after[j] * _MULT[0] + right[:, j] + np.uint64(1)
+    before = key.view(np.uint64).copy()
+    for n in range(side + 1):
+        at = np.flatnonzero((nl >= n) & (nr >= side - n))
+        h = (before[at] ^ (before[at] >> np.uint64(31))) * _MULT[1] + after[side - n][at] * _MULT[2] + np.uint64(n)
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        order = np.argsort(h, kind="stable")
+        at, h = at[order], h[order]
+        start = np.concatenate([[0], np.flatnonzero(h[1:] != h[:-1]) + 1]) if len(h) else np.zeros(0, np.int64)
+        several = np.minimum.reduceat(doc[at], start) != np.maximum.reduceat(doc[at], start) if len(h) else np.zeros(0, bool)
+        yield n, at, start, h[start].view(np.int64), several
+        if n < side:
+            before = before * _MULT[3] + left[:, n] + np.uint64(1)
 
 
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST, gram: int = GRAM) -> DataFrame:
@@ -160,7 +186,7 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
             key = g[np.searchsorted(at, want)]
             padded = np.concatenate([np.zeros(side, np.uint32), h, np.zeros(side + gram, np.uint32)])
             doc = b.column("doc").to_numpy()[own]
-            part = (doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % deal
+            part = np.where(deal > 1, ((doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % deal).astype(np.int64), -1)
             for a in range(0, len(want), 20_000):
                 w, o = want[a : a + 20_000], own[a : a + 20_000]
                 left = padded[w[:, None] + side - 1 - np.arange(side)]
@@ -176,13 +202,42 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     def compare(batches):
         held, size = [], 0
 
-        def done(rows: pa.Table) -> pa.RecordBatch:
+        def batch(doc, doc_id, s, e, h) -> pa.RecordBatch:
+            return pa.record_batch([doc, doc_id, pa.array(s, pa.int32()), pa.array(e, pa.int32()), h], names=["doc", "doc_id", "s", "e", "h"])
+
+        def done(rows: pa.Table):
             col = lambda c: rows.column(c).to_numpy()
             ctx = np.frombuffer(b"".join(rows.column("ctx").to_pylist()), "<u4").reshape(-1, 2 * side)
-            group = np.ascontiguousarray(col("key").view(np.uint64) ^ (col("part").astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))).view(np.int64)
-            i, s, e = _passages(group, np.ascontiguousarray(col("doc")), col("pos").astype(np.int64), ctx[:, :side], ctx[:, side:], col("nl"), col("nr"), least, gram)
-            take = rows.select(["doc", "doc_id"]).take(pa.array(i))
-            return pa.record_batch([take.column("doc").combine_chunks(), take.column("doc_id").combine_chunks(), pa.array(s, pa.int32()), pa.array(e, pa.int32())], names=["doc", "doc_id", "s", "e"])
+            left, right = ctx[:, :side], ctx[:, side:]
+            key, part, doc, pos, nl, nr = np.ascontiguousarray(col("key")), col("part").astype(np.int64), np.ascontiguousarray(col("doc")), col("pos").astype(np.int64), col("nl"), col("nr")
+            group = np.ascontiguousarray(key.view(np.uint64) ^ (part.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))).view(np.int64)
+            i, s, e, full = _passages(group, doc, pos, left, right, nl, nr, least, gram)
+            ids = rows.column("doc_id").combine_chunks()
+            of = lambda x: (pa.array(doc[x]), ids.take(pa.array(x)))
+            yield batch(*of(i), s, e, pa.nulls(len(i), pa.int64()))
+            begin = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1])
+            size = np.diff(np.concatenate([begin, [len(key)]]))
+            wanted = (size > 2) & (np.add.reduceat((~full).astype(np.int64), begin) > 0) | (part[begin] >= 0)
+            pick = np.flatnonzero(np.repeat(wanted, size))
+            if not len(pick):
+                return
+            hot, p_pos = part[pick] >= 0, pos[pick]
+            hits = np.zeros((side + 3, len(pick)), np.int8)
+            for n, at, start, h, several in _splits(key[pick], doc[pick], left[pick], right[pick], nl[pick], nr[pick]):
+                each = np.repeat(several, np.diff(np.concatenate([start, [len(at)]])))
+                hits[n + 1, at[each]] = 1
+                dealt_run = hot[at[start]]
+                seen = h[dealt_run & several]
+                if len(seen):
+                    yield batch(pa.nulls(len(seen), pa.int64()), pa.nulls(len(seen), pa.int64()), np.zeros(len(seen)), np.zeros(len(seen)), pa.array(seen))
+                alone = np.flatnonzero(~each & hot[at])
+                if len(alone):
+                    x = at[alone]
+                    yield batch(*of(pick[x]), p_pos[x] - n, p_pos[x] + gram + side - n, pa.array(np.repeat(h, np.diff(np.concatenate([start, [len(at)]])))[alone]))
+            turn = np.diff(hits, axis=0).T
+            x, low = np.nonzero(turn == 1)
+            high = np.nonzero(turn == -1)[1] - 1  # rows and runs come in the same order
+            yield batch(*of(pick[x]), p_pos[x] - high, p_pos[x] + gram + side - low, pa.nulls(len(x), pa.int64()))
 
         for b in batches:
             if not b.num_rows:
@@ -194,14 +249,18 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
                 k, p = rows.column("key").to_numpy(), rows.column("part").to_numpy()
                 new = np.flatnonzero((k[1:] != k[:-1]) | (p[1:] != p[:-1])) + 1
                 if len(new):
-                    yield done(rows.slice(0, int(new[-1])))
+                    yield from done(rows.slice(0, int(new[-1])))
                     held = rows.slice(int(new[-1])).to_batches()
                     size = sum(x.num_rows for x in held)
         if size:
-            yield done(pa.Table.from_batches(held).combine_chunks())
-
-    spans = dealt.mapInArrow(compare, "doc long, doc_id long, s int, e int")
-    merged = spans.groupBy("doc", "doc_id").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("spans"))
+            yield from done(pa.Table.from_batches(held).combine_chunks())
+
+    proved = scratch.save(dealt.mapInArrow(compare, "doc long, doc_id long, s int, e int, h long"), "proved")
+    spread = proved.where("h is not null")
+    met_elsewhere = spread.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.bool_or(F.col("doc").isNull()).alias("seen")).where("seen or a <> b").select("h")
+    late = spread.where("doc is not null").join(met_elsewhere, "h", "left_semi").select("doc", "doc_id", "s", "e")
+    spans = proved.where("h is null").select("doc", "doc_id", "s", "e")
+    merged = spans.unionByName(late).groupBy("doc", "doc_id").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("spans"))
     grow = F.expr(
         "aggregate(spans, cast(array() as array<struct<s:int,e:int>>), (acc, x) -> "
         "if(size(acc) > 0 and element_at(acc, -1).e >= x.s, "
