@@ -22,4 +22,4 @@ def query(sql: str | None = None):
     return add
 
 
-from .plans import aggregates, filters, joins, layers, mutations, texts, windows  # noqa: E402, F401
+from .plans import aggregates, filters, joins, layers, mutations, rows, texts, windows  # noqa: E402, F401
