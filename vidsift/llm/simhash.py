@@ -170,6 +170,28 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _word_hashes(dictionary: pa.Array) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in dictionary.cast(pa.large_binary()).to_pylist()), np.uint64, len(dictionary))
+
+
+def _shingles(first: np.ndarray, codes: np.ndarray, h: np.ndarray, shingle: int) -> list[np.ndarray]:
+    """The different shingle hashes of each text, ascending; a text of fewer words is one shingle."""
+    g = np.zeros(len(codes), np.uint64)
+    wide = np.concatenate([h[codes], np.zeros(shingle, np.uint64)])
+    end = np.repeat(first[1:], np.diff(first))
+    at = np.arange(len(codes))
+    for j in range(shingle):
+        g += np.where(at + j < end, _mixed(wide[j : j + len(codes)] + np.uint64(1)) * _MULT[j % len(_MULT)], 0).astype(np.uint64)
+    g = _mixed(g)
+    return [np.unique(g[a : max(min(a + 1, b), b - shingle + 1)]) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+
+
+def shingle_sets(texts: pa.Array, shingle: int = 5) -> list[np.ndarray]:
+    """Of each text the hashes of all its different word shingles, ascending."""
+    first, codes, dictionary = words(pc.ascii_lower(texts))
+    return _shingles(first, codes, _word_hashes(dictionary), shingle)
+
+
 def word_fingerprints(texts: pa.Array, tables: int = TABLES, shingle: int = 5, keep: int = SKETCH) -> tuple[np.ndarray, list[bytes], list[bytes]]:
     """Of each text: ``tables`` independent SimHashes of its words, a sketch of its shingles, a key of its words.
 
@@ -178,7 +200,7 @@ def word_fingerprints(texts: pa.Array, tables: int = TABLES, shingle: int = 5, k
     """
     low = pc.ascii_lower(texts)
     first, codes, dictionary = words(low)
-    h = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in dictionary.cast(pa.large_binary()).to_pylist()), np.uint64, len(dictionary))
+    h = _word_hashes(dictionary)
     n = len(texts)
     doc, k = np.repeat(np.arange(n), np.diff(first)), max(1, len(dictionary))
     pairs, count = np.unique(doc * k + codes, return_counts=True)
@@ -195,17 +217,10 @@ def word_fingerprints(texts: pa.Array, tables: int = TABLES, shingle: int = 5, k
         part = np.add.reduceat(lanes[v], cut, axis=0)
         np.add.at(ones, o[cut], np.ascontiguousarray(part).view(np.uint8).reshape(len(cut), -1))
     bits = np.packbits(ones * 2 > total[:, None], axis=1, bitorder="little").view("<u8").reshape(n, tables)
-    g = np.zeros(len(codes), np.uint64)
-    wide = np.concatenate([h[codes], np.zeros(shingle, np.uint64)])
-    end = np.repeat(first[1:], np.diff(first))
-    at = np.arange(len(codes))
-    for j in range(shingle):
-        g += np.where(at + j < end, _mixed(wide[j : j + len(codes)] + np.uint64(1)) * _MULT[j % len(_MULT)], 0).astype(np.uint64)
-    g = _mixed(g)
+    sets = _shingles(first, codes, h, shingle)
     sketches, keys = [], []
     for i, raw in enumerate(low.cast(pa.large_binary()).to_pylist()):
-        a, b = int(first[i]), int(first[i + 1])
-        sketches.append(np.unique(g[a : max(min(a + 1, b), b - shingle + 1)])[:keep].tobytes())
+        sketches.append(sets[i][:keep].tobytes())
         keys.append(xxhash.xxh3_128_digest(b" ".join(raw.split())))
     return bits, sketches, keys
 
@@ -221,47 +236,188 @@ def sketch_jaccard(a: bytes, b: bytes, keep: int = SKETCH) -> float:
     return len(np.intersect1d(np.intersect1d(x, y), union)) / len(union)
 
 
+SAMPLE = 20_000
+COMMON = 5
+COMMON_AT_MOST = 200_000
+SMALL = 8
+
+
+def verified(texts: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Of different pairs (a, b) of uids those whose whole shingle sets have the Jaccard similarity. texts: uid, text."""
+    n = partitions(texts.sparkSession)
+    both = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("uid"))
+    dealt = texts.join(both, "uid").select("a", "b", "text").repartition(n, "a", "b").sortWithinPartitions("a", "b")
+
+    def check(batches):
+        held = None
+        for batch in text_batches(batches):
+            sets, found = shingle_sets(strings(batch.column("text")), shingle), []
+            for a, b, x in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), sets, strict=True):
+                if held is None or held[:2] != (a, b):
+                    held = (a, b, x)
+                    continue
+                both_n = len(np.intersect1d(held[2], x, assume_unique=True))
+                if both_n and both_n / (len(held[2]) + len(x) - both_n) >= similarity:
+                    found.append((a, b))
+                held = None
+            yield pa.record_batch([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+        release()
+
+    return dealt.mapInArrow(check, "a long, b long")
+
+
+def _common(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that a bounded sample of texts repeats, ascending, and their counts. They only set an order."""
+    share = min(1.0, SAMPLE / max(1, texts.count()))
+
+    def rows(batches):
+        for b in text_batches(batches):
+            sets = shingle_sets(strings(b.column("text")), shingle)
+            yield pa.record_batch([pa.array(np.concatenate(sets).view(np.int64))], names=["h"])
+
+    some = texts.where(F.xxhash64("uid") <= int(-(2**63) + share * (2**64 - 1))) if share < 1 else texts
+    counts = some.mapInArrow(rows, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
+    got = counts.orderBy(F.col("n").desc(), "h").limit(COMMON_AT_MOST).collect()
+    h, n = np.array([r.h for r in got], np.int64).view(np.uint64), np.array([r.n for r in got], np.int64)
+    order = np.argsort(h)
+    return h[order], n[order]
+
+
+def _groups(batches, key: str):
+    """Runs of equal key over batches sorted by it, each as one record batch."""
+    held: list = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k = b.column(key).to_numpy(zero_copy_only=False)
+        cut = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), len(k)]
+        for x, y in zip(cut[:-1], cut[1:], strict=True):
+            if held and held[0][0] != k[x]:
+                yield [np.concatenate(c) for c in zip(*(h[1] for h in held), strict=True)]
+                held = []
+            held.append((k[x], [c.to_numpy(zero_copy_only=False)[x:y] for c in b.columns]))
+    if held:
+        yield [np.concatenate(c) for c in zip(*(h[1] for h in held), strict=True)]
+
+
+def prefix_buckets(scratch: Scratch, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(bucket, node, n): texts that share a shingle of their prefixes, n being the size of a text's shingle set.
+
+    Of two sets of that similarity each holds a common shingle among its first n - ceil(similarity n) + 1 in any order
+    of all shingles (prefix filter), so every such pair shares a bucket. Rare shingles come first. Equal buckets are one.
+    """
+    common, often = _common(texts, shingle)
+    parts = partitions(texts.sparkSession)
+
+    def rows(batches):
+        for b in text_batches(batches):
+            sets = shingle_sets(strings(b.column("text")), shingle)
+            size = np.array([len(x) for x in sets], np.int64)
+            flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+            count = np.zeros(len(flat), np.int64)
+            if len(common):
+                at = np.minimum(np.searchsorted(common, flat), len(common) - 1)
+                count = np.where(common[at] == flat, often[at], 0)
+            order = np.lexsort((flat, count, owner))
+            flat, owner = flat[order], owner[order]
+            rank = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+            keep = rank < (size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1)[owner]
+            yield pa.record_batch([pa.array(flat[keep].view(np.int64)), b.column("uid").take(pa.array(owner[keep])), pa.array(size[owner[keep]])], names=["h", "node", "n"])
+        release()
+
+    def shared(batches):
+        seen: set = set()
+        for _, node, n in _groups(batches, "h"):
+            if len(node) > 1 and (digest := xxhash.xxh3_128_digest(node.tobytes())) not in seen:
+                if len(seen) < 100_000:
+                    seen.add(digest)
+                yield pa.record_batch([pa.array([digest], pa.binary()), pa.array([node], pa.list_(pa.int64())), pa.array([n], pa.list_(pa.int64()))], names=["digest", "node", "n"])
+        release()
+
+    met = texts.mapInArrow(rows, "h long, node long, n long").repartition(parts, "h").sortWithinPartitions("h", "node")
+    lists = scratch.save(met.mapInArrow(shared, "digest binary, node array<long>, n array<long>").dropDuplicates(["digest"]), "buckets")
+    return lists.select(F.xxhash64("digest").alias("bucket"), F.explode(F.arrays_zip("node", "n")).alias("x")).select("bucket", "x.node", "x.n")
+
+
+def settled(scratch: Scratch, texts: DataFrame, known: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Roots (v, root) of the groups closed over all pairs of that similarity, given links ``known`` among them.
+
+    Each round the next hubs of a bucket (all members of a small one) meet the members that are not yet in their
+    group; hubs double and more. A bucket is done when it is one group or all its possible pairs have been compared.
+    """
+    links_, buckets = known, scratch.save(prefix_buckets(scratch, texts, shingle, similarity), "members")
+    roots = scratch.save(components(scratch, links_), "roots")
+    compared, done, hubs = None, 0, 1
+    parts = partitions(texts.sparkSession)
+    while True:
+        rooted = buckets.join(roots.withColumnRenamed("v", "node"), "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
+        rooted = scratch.save(rooted, "rooted")
+        live = rooted.groupBy("bucket").agg(F.count("*").alias("m"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+        live = live.where(F.col("m") > (max(SMALL, done + 1) if done else 0)).select("bucket")
+        buckets = scratch.save(rooted.join(live, "bucket", "left_semi"), "open")
+        if buckets.isEmpty():
+            return roots
+        first, end = done, done + hubs
+
+        def propose(batches, first=first, end=end):
+            for _, node, n, root in _groups(batches, "bucket"):
+                last = len(node) if len(node) <= SMALL else min(end, len(node))
+                for i in range(first, last):
+                    y = slice(i + 1, None)
+                    fits = (root[y] != root[i]) & (np.minimum(n[y], n[i]) >= similarity * np.maximum(n[y], n[i]) - 1e-9)
+                    other = node[y][fits]
+                    if len(other):
+                        yield pa.record_batch([pa.array(np.full(len(other), node[i])), pa.array(other)], names=["a", "b"])
+
+        pairs = buckets.repartition(parts, "bucket").sortWithinPartitions("bucket", "node").mapInArrow(propose, "a long, b long").distinct()
+        if compared is not None:
+            pairs = pairs.join(compared, ["a", "b"], "left_anti")
+        pairs = scratch.save(pairs, "pairs")
+        compared = pairs if compared is None else compared.unionByName(pairs)
+        links_ = links_.unionByName(scratch.save(verified(texts, pairs, shingle, similarity), "true"))
+        roots = scratch.save(components(scratch, links_), "roots")
+        buckets = buckets.drop("root")
+        done, hubs = end, hubs * 8
+
+
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, tables: int = TABLES, max_bits: int = 2) -> DataFrame:
     """The rows of docs, with their columns, that lead their group of near copies: its least doc_id (null last), one row.
 
-    Texts of the same words are one. Others are candidates if their SimHashes are within ``max_bits`` in any of the
-    tables, and near copies if the Jaccard similarity of their word shingles is ``similarity`` or more, groups being
-    closed over such pairs. Fingerprints of shingles would need a radius of about ten bits for a similarity of 0.8,
-    beyond what a ball can be listed for; fingerprints of words move by one to four bits. Null and empty texts are
-    one group; of repeated rows one stays. Columns of docs may have any names.
+    Texts of the same words are one. Others are near copies if the Jaccard similarity of their whole sets of word
+    shingles is ``similarity`` or more, groups being closed over all such pairs. Pairs whose word SimHashes are within
+    ``max_bits`` in one of the tables are compared first, over the least member of a bucket; that joins large groups at
+    little cost. The prefix filter then brings every other possible pair, so neither the tables nor the bits decide the
+    result. Null and empty texts are one group; of repeated rows one stays. Columns of docs may have any names.
     """
     scratch = Scratch(docs.sparkSession)
-    own = ["__vidsift_fps", "__vidsift_sketch", "__vidsift_key"]
     uid = "__vidsift_uid"
+    tagged = scratch.save(docs.withColumn(uid, F.monotonically_increasing_id()), "tagged")
 
     def add(batches):
-        for b in text_batches(batches, text=text):
-            bits, sketches, keys = word_fingerprints(strings(b.column(text)), tables, shingle)
+        for b in text_batches(batches):
+            bits, sets, keys = word_fingerprints(strings(b.column("text")), tables, shingle, keep=2**62)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * tables, pa.int32()), pa.array(bits.reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([*b.columns, lists, pa.array(sketches, pa.binary()), pa.array(keys, pa.binary())], names=[*b.schema.names, *own])
+            yield pa.RecordBatch.from_arrays([b.column("uid"), lists, pa.array([len(x) // 8 for x in sets], pa.int64()), pa.array(keys, pa.binary())], names=["uid", "fps", "n", "key"])
         release()
 
-    schema = StructType([*docs.schema.fields, StructField(own[0], ArrayType(LongType())), StructField(own[1], BinaryType()), StructField(own[2], BinaryType())])
-    tagged = scratch.save(docs.mapInArrow(add, schema).withColumn(uid, F.monotonically_increasing_id()), "tagged")
-    ids = tagged.select(F.col(uid).alias("uid"), F.col(f"`{doc_id}`").alias("id"), F.col(own[0]).alias("fps"), F.col(own[2]).alias("key"))
+    all_texts = tagged.select(F.col(uid).alias("uid"), F.col(f"`{text}`").alias("text"))
+    marked = scratch.save(all_texts.mapInArrow(add, StructType([StructField("uid", LongType()), StructField("fps", ArrayType(LongType())), StructField("n", LongType()), StructField("key", BinaryType())])), "marked")
+    named = tagged.select(F.col(uid).alias("uid"), F.col(f"`{doc_id}`").alias("id"))
+    ids = scratch.save(marked.select("uid", "key").join(named, "uid"), "ids")
     lead = F.min(F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("uid").alias("u")))
-    nodes = scratch.save(ids.groupBy("key").agg(lead.alias("lead"), F.first("fps").alias("fps")).select(F.col("lead.u").alias("node"), "lead", "key", "fps"), "nodes")
-    marks = nodes.select("node", F.posexplode("fps").alias("t", "fp"))
+    firsts = ids.groupBy("key").agg(lead.alias("lead")).withColumn("node", F.col("lead.u"))
+    nodes = scratch.save(firsts.join(marked.select(F.col("uid").alias("node"), "fps", "n"), "node"), "nodes")
+    texts = all_texts.join(nodes.where("n > 0").select(F.col("node").alias("uid")), "uid", "left_semi")
+    marks = nodes.where("n > 0").select("node", F.posexplode("fps").alias("t", "fp"))
     heads = scratch.save(marks.groupBy("t", "fp").agg(F.min("node").alias("head")), "heads")
     same = marks.join(heads, ["t", "fp"]).where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
     of = lambda side, out: heads.select("t", F.col("fp").alias(side), F.col("head").alias(out))
     near = links(scratch, heads, max_bits).join(of("a", "x"), ["t", "a"]).join(of("b", "y"), ["t", "b"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    pairs = scratch.save(same.unionByName(near).where("a <> b").distinct(), "candidates")
-    sketches = tagged.select(F.col(uid).alias("node"), F.col(own[1]).alias("s"))
-    named = lambda side, out: sketches.select(F.col("node").alias(side), F.col("s").alias(out))
-
-    def alike(batches):
-        for b in batches:
-            keep = [sketch_jaccard(x, y) >= similarity for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True)]
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    true = pairs.join(named("a", "x"), "a").join(named("b", "y"), "b").mapInArrow(alike, "a long, b long")
-    roots = scratch.save(components(scratch, true), "roots")
+    size = lambda side: nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"))
+    pairs = same.unionByName(near).where("a <> b").distinct().join(size("a"), "a").join(size("b"), "b")
+    pairs = scratch.save(pairs.where(F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - 1e-9).select("a", "b"), "candidates")
+    true = scratch.save(verified(texts, pairs, shingle, similarity), "true")
+    roots = settled(scratch, texts, true, shingle, similarity)
     rooted = nodes.join(roots.withColumnRenamed("v", "node"), "node", "left").select("key", "lead", F.coalesce("root", "node").alias("root"))
     leads = rooted.groupBy("root").agg(F.min("lead")["u"].alias("keep"))
     of_key = rooted.join(leads, "root").select("key", "keep")
