@@ -413,6 +413,21 @@ def test_near_copies_behind_a_hub_that_fails(spark):
     assert kept_near_copies(spark, texts) == want
 
 
+def test_near_copies_of_every_similarity(spark):
+    """Pairs just under and over 0.8, of texts longer than 128 shingles, are decided exactly."""
+    rng = random.Random(9)
+    texts = {}
+    for g in range(120):
+        base = words_of(rng, rng.randrange(150, 500), 6000)
+        copy = list(base)
+        for at in rng.sample(range(len(copy)), max(1, round(len(copy) * rng.uniform(0.015, 0.035)))):
+            copy[at] = f"new{rng.randrange(10**6)}"
+        texts[2 * g], texts[2 * g + 1] = " ".join(base), " ".join(copy)
+    want = near_copies_by_brute_force(texts)
+    assert 150 < len(want) < 230
+    assert kept_near_copies(spark, texts) == want
+
+
 def test_url_filter(spark):
     from vidsift.llm import urlfilter as U
 
