@@ -130,6 +130,17 @@ def test_streaming(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(out).select("user_id", "event_id").collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_all_lines_are_frames(spark, tmp_path):
+    import vidsift.plans.texts as T
+
+    lines = [f"{w} report number {w}{w} of the evening" for w in "alpha bravo candle delta ember forest garden harbor island jungle kernel lantern marble needle orchid".split()]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string").write.parquet(path)
+    assert sorted(r.frame for r in T.t35_frame_dedupe(spark, str(tmp_path)).collect()) == list(range(15))
+    r = T.a22_ocr_rollup(spark, str(tmp_path)).first()
+    assert r.frames_in == 15 and lines[14] in r.raw_text
+
+
 def test_plans(spark):
     plan = lambda name: registry.QUERIES[name](spark, SF)._jdf.queryExecution().toString()
     assert "LeftAnti" in plan("j05_anti_needs_work") and "LeftSemi" in plan("j07_semi_any_of")
