@@ -527,6 +527,23 @@ def test_top_k(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    from vidsift.llm import topk
+
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=4)]) for i in range(120)]
+    rows += [(200, [70_000.5, 1.0, -2.0, 3.0]), (201, [-65_536.0, 9.0, 0.25, 1.0]), (202, [3e6, -2e6, 1e6, 5e5]), (203, [65_535.0, 1.0, 1.0, 1.0])]
+    got = sorted(map(tuple, topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()))
+    ints = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in rows]
+    want = []
+    for q, a in ints:
+        if q % 50 == 0:
+            s = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), c) for c, b in ints if c != q)[:5]
+            want += [(q, n, c, -x) for n, (x, c) in enumerate(s, 1)]
+    assert got == sorted(want)
+    assert {c for _, _, c, _ in got} & {200, 201, 202}
+
+
 def test_secrets(spark, docs, none):
     from vidsift.llm import secret_scan as S
 

@@ -25,13 +25,17 @@ LARGEST = 2**24
 
 
 def _vectors(raw: list, dim: int) -> np.ndarray:
+    """The packed vectors of one length; integers too large for 32 bits come as whole doubles."""
+    if any(len(r) != 4 * dim for r in raw):
+        return np.stack([np.frombuffer(r, "<i4" if len(r) == 4 * dim else "<f8").astype(np.float64) for r in raw])
     return np.frombuffer(b"".join(raw), "<i4").reshape(-1, dim)
 
 
 def quantised(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(vec_id, dim, v, norm): floor(256 x) of each component as packed 32-bit integers, and the length.
 
-    Rows with a null id, a null or empty vector, a null or non-finite component, or one of 65536 or more take no part.
+    Rows with a null id, a null or empty vector or a null or non-finite component take no part. A vector with a component
+    of 65536 or more is packed as whole doubles, which hold its integers exactly; a score beyond 64 bits is an error.
     """
     d = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("e")).where("vec_id is not null and e is not null and size(e) > 0")
 
@@ -39,14 +43,17 @@ def quantised(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embe
         for b in batches:
             lists = b.column("e")
             n = np.diff(lists.offsets.to_numpy())
-            flat = np.floor(lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64) * SCALE)
-            bad = ~(np.abs(flat) < LARGEST)
+            given = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            bad = ~np.isfinite(given)
+            flat = np.floor(np.where(bad, 0, given) * SCALE)
+            if not np.isfinite(flat).all():
+                raise OverflowError("a component is too large to be scaled")
             starts = np.cumsum(n) - n
             ok = np.add.reduceat(bad, starts) == 0 if len(n) else np.zeros(0, bool)
-            ints = np.where(bad, 0, flat).astype("<i4")
-            norm = np.sqrt(np.add.reduceat(ints.astype(np.float64) ** 2, starts)) if len(n) else np.zeros(0)
+            wide = np.add.reduceat(np.abs(flat) >= LARGEST, starts) > 0 if len(n) else np.zeros(0, bool)
+            norm = np.sqrt(np.add.reduceat(flat**2, starts)) if len(n) else np.zeros(0)
             keep = np.flatnonzero(ok)
-            yield pa.record_batch([b.column("vec_id").take(pa.array(keep)), pa.array(n[keep], pa.int32()), pa.array([ints[starts[i] : starts[i] + n[i]].tobytes() for i in keep], pa.binary()), pa.array(norm[keep])], names=["vec_id", "dim", "v", "norm"])
+            yield pa.record_batch([b.column("vec_id").take(pa.array(keep)), pa.array(n[keep], pa.int32()), pa.array([flat[starts[i] : starts[i] + n[i]].astype("<f8" if wide[i] else "<i4").tobytes() for i in keep], pa.binary()), pa.array(norm[keep])], names=["vec_id", "dim", "v", "norm"])
 
     return d.mapInArrow(rows, "vec_id long, dim int, v binary, norm double")
 
@@ -107,7 +114,7 @@ class Search:
                 used, inv = np.unique(qi, return_inverse=True)
                 score = (self.q[open_q[used]] @ xf.T)[inv, xi].astype(np.int64)
             else:
-                score = np.array([sum(int(a) * int(b) for a, b in zip(self.q[i].astype(np.int64), x[j], strict=True)) for i, j in zip(qn, xi, strict=True)], np.int64)
+                score = np.array([sum(int(a) * int(b) for a, b in zip(self.q[i], x[j], strict=True)) for i, j in zip(qn, xi, strict=True)], np.int64)
             ok = score >= self.floor[qn]
             self.merge(np.stack([qn[ok], -score[ok], vec_ids[xi[ok]]], axis=1))
         return True
