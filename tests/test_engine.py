@@ -2,7 +2,11 @@
 
 import json
 import os
+import shutil
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -151,3 +155,13 @@ def test_entry():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries()) and len(e.queries()) > 100 and json.dumps(sorted(e.queries()))
+
+
+def test_entry_without_the_optional_parts(tmp_path):
+    """With the folders of the training-data operators gone, with and without their pipeline, the rest still works."""
+    root = Path(__file__).resolve().parent.parent
+    for gone in ([], ["corpus_pipeline.py"]):
+        at = tmp_path / f"copy{len(gone)}"
+        shutil.copytree(root, at, ignore=shutil.ignore_patterns(".git", "llm", "__pycache__", "*.pyc", *gone))
+        code = "import __spark_entry__ as e; q = e.queries(); assert set(e.oracle_sql()) <= set(q) and len(q) > 100 and 'pipeline' not in q and not [n for n in q if n.startswith('op1')]"
+        subprocess.run([sys.executable, "-c", code], cwd=at, check=True, timeout=120, env=os.environ | {"PYTHONPATH": str(at)})
