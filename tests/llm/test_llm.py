@@ -88,15 +88,48 @@ def test_running_sum_and_components(spark):
 
 
 def test_bounded_sample(spark):
-    from pyspark.sql import functions as F
-
     from vidsift.llm.common import bounded_sample
 
     df = spark.range(3000)
-    least = sorted((r.h, r.id) for r in df.select("id", F.xxhash64("id").alias("h")).collect())
-    for n in (0, 10, 500, 2700, 2990, 3000, 5000):
-        assert [(r["__h"], r.id) for r in bounded_sample(df, F.xxhash64("id"), n)] == least[:n]
-    assert bounded_sample(df.where("id < 0"), F.xxhash64("id"), 5) == []
+    order = [r.id for r in bounded_sample(df, 3000)]
+    assert sorted(order) == list(range(3000)) and order != sorted(order)
+    for n in (0, 10, 500, 2700, 5000):
+        assert [r.id for r in bounded_sample(df, n)] == order[:n]
+    assert bounded_sample(df.where("id < 0"), 5) == []
+    many = df.selectExpr("if(id < 2900, 7, id) as id")  # rows that are alike count once
+    assert len({r.id for r in bounded_sample(many, 50)}) == 50 and len(bounded_sample(many, 3000)) == 101
+
+
+def test_components_of_a_hub_and_long_chains(spark):
+    from vidsift.llm.common import Scratch, components
+
+    rng = random.Random(6)
+    edges = [(0, i) for i in range(1, 400)] + [(1000 + i, 1001 + i) for i in range(300)] + [(rng.randrange(2000, 2400), rng.randrange(2000, 2400)) for _ in range(200)]
+    rng.shuffle(edges)
+    want = classes_of_links(edges)
+    for most in (1_000_000, 50, 0):
+        got = defaultdict(set)
+        for r in components(Scratch(spark), spark.createDataFrame(edges, "a long, b long"), most).collect():
+            got[r.root].add(r.v)
+        assert all(root in members for root, members in got.items())
+        assert sorted(map(sorted, got.values())) == want
+
+
+def classes_of_links(edges):
+    root = {}
+
+    def find(v):
+        while root.setdefault(v, v) != v:
+            v = root[v]
+        return v
+
+    for a, b in edges:
+        if a != b:
+            root[find(a)] = find(b)
+    out = defaultdict(set)
+    for v in root:
+        out[find(v)].add(v)
+    return sorted(map(sorted, out.values()))
 
 
 def test_quality(spark, docs, none):
@@ -363,10 +396,13 @@ def test_near_copies(spark, docs, none):
     near = [d for d in text if d % 10 and j(d, d - d % 10) >= 0.87]
     assert {d for d in text if not d % 10} <= kept and len(near) > 100
     assert len([d for d in near if d in kept]) <= 0.05 * len(near)
-    for a, b in ((rows[0][1], rows[1][1]), (rows[0][1], rows[4][1]), ("a b", "a b c"), ("", "")):
-        _, s, _ = simhash.word_fingerprints(pa.array([a, b], pa.large_string()), keep=10**6)
+    for a, b in ((rows[0][1], rows[1][1]), (rows[0][1], rows[4][1]), ("a b", "a b c"), ("", ""), ("É X\ty\n", " é x  Y")):
         x, y = shingles_of(a), shingles_of(b)
-        assert simhash.sketch_jaccard(*s, keep=10**6) == (len(x & y) / len(x | y) if x | y else 1.0)
+        got = simhash.shingle_sets(pa.array([a, b], pa.large_string()))
+        if a.isascii():
+            assert simhash.jaccard(*got) == (len(x & y) / len(x | y) if x | y else 1.0)
+        else:
+            assert simhash.jaccard(*got) == 0 == simhash.jaccard(*simhash.shingle_sets(pa.array(["É x y", "é x y"], pa.large_string())))
     odd = simhash.drop_near_copies(docs)
     assert odd.columns == docs.columns
     assert sorted(str(r.doc_id) for r in odd.collect()) == sorted(str(r.doc_id) for r in docs.collect() if r.doc_id not in (2, 3, None, 5, 6))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -15,20 +16,28 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share."""
+    """The folder that the driver and all executors share; a local session may do without one, a cluster may not."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and the executors share")
         at = "/tmp/checkpoints"
         spark.sparkContext.setCheckpointDir(at)
     return f"{at.rstrip('/')}/vidsift"
 
 
 class Scratch:
-    """Tables written to the shared folder: they cut lineage and outlive a lost executor."""
+    """Tables written to the shared folder: they cut lineage and outlive a lost executor.
+
+    Tables that a result no longer reads are kept in an inner Scratch, whose drop() deletes them at once.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.at, self.n = spark, f"{scratch_dir(spark)}/{uuid.uuid4().hex}", 0
 
+    def inner(self) -> Scratch:
+        return Scratch(self.spark)
+
     def path(self, name: str) -> str:
         self.n += 1
         return f"{self.at}/{self.n:03d}_{name}"
@@ -38,15 +47,24 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, df: DataFrame) -> None:
-        """Delete the table behind a frame of save() that nothing reads any more."""
-        for file in df.inputFiles()[:1]:
-            self.drop_path(file.rpartition("/")[0])
-
-    def drop_path(self, path: str) -> None:
+    def drop(self) -> None:
+        """Delete all tables of this scratch; collecting the driver's garbage lets Spark delete their shuffles."""
         jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
+        p = jvm.org.apache.hadoop.fs.Path(self.at)
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        jvm.System.gc()
+
+
+def fresh(taken: Iterable[str], *wanted: str) -> list[str]:
+    """Names like those wanted that are none of the taken ones, whatever their case."""
+    seen = {t.lower() for t in taken}
+    out = []
+    for w in wanted:
+        while w.lower() in seen:
+            w += "_"
+        seen.add(w.lower())
+        out.append(w)
+    return out
 
 
 def partitions(spark: SparkSession) -> int:
@@ -58,64 +76,91 @@ def running_sum(scratch: Scratch, df: DataFrame, order: Sequence[Column], value:
 
     Rows are range partitioned by (group, order); each partition sums its own rows, and the totals of the
     partitions (a row for each partition and group in it) give the offsets. Ties in ``order`` fall in any order,
-    so callers end it with what makes equal rows interchangeable.
+    so callers end it with what makes equal rows interchangeable. Columns of df may have any names.
     """
     spark = df.sparkSession
+    part, total, offset, part_, group_ = fresh([*df.columns, out], "__p", "__t", "__o", "__pp", "__pg")
     keys = ([F.col(group).asc_nulls_first()] if group else []) + list(order)
-    dealt = df.repartitionByRange(partitions(spark), *keys).withColumn("__p", F.spark_partition_id())
+    dealt = df.repartitionByRange(partitions(spark), *keys).withColumn(part, F.spark_partition_id())
     dealt = scratch.save(dealt, name)
-    by = ["__p"] + ([group] if group else [])
+    by = [part] + ([group] if group else [])
     own = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    totals = dealt.groupBy(*by).agg(F.sum(value).alias("__t"))
-    before = Window.partitionBy(*( [group] if group else [F.lit(0)])).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("__o", F.coalesce(F.sum("__t").over(before), F.lit(0))).drop("__t")
-    renamed = offsets.withColumnsRenamed({c: f"__{c}" for c in by})
-    same = F.col("__p") == F.col("____p")
+    totals = dealt.groupBy(*by).agg(F.sum(value).alias(total))
+    before = Window.partitionBy(*([group] if group else [F.lit(0)])).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col(part).alias(part_), *([F.col(group).alias(group_)] if group else []), F.coalesce(F.sum(total).over(before), F.lit(0)).alias(offset))
+    same = F.col(part) == F.col(part_)
     if group:
-        same = same & F.col(group).eqNullSafe(F.col(f"__{group}"))
+        same = same & F.col(group).eqNullSafe(F.col(group_))
     summed = dealt.withColumn(out, F.coalesce(F.sum(value).over(own), F.lit(0)))
-    return summed.join(renamed, same, "left").withColumn(out, F.col(out) + F.col("__o")).drop("__o", *renamed.columns, "__p")
+    return summed.join(offsets, same, "left").withColumn(out, F.col(out) + F.col(offset)).drop(*offsets.columns, part)
+
+
+LINKS_A_TASK = 1_000_000
+
 
+def _local_roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(vertices, the least vertex of each one's component): hooking and pointer jumping on arrays."""
+    v, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    root = np.arange(len(v))
+    while True:
+        rx, ry = root[x], root[y]
+        live = rx != ry
+        if not live.any():
+            return v, v[root]
+        np.minimum.at(root, np.maximum(rx, ry)[live], np.minimum(rx, ry)[live])
+        while (up := root[root]).tobytes() != root.tobytes():
+            root = up
 
-def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
-    """Connected components of links (a long, b long): (v, root), for every v that has a link.
+
+def components(scratch: Scratch, edges: DataFrame, a_task: int = LINKS_A_TASK) -> DataFrame:
+    """Connected components of links (a long, b long): (v, root), for every v that has a link; root is one of them.
 
     Each round every vertex moves to the least of itself and its neighbours in an order drawn anew, and the links
-    are rewritten between what is left; the graph shrinks by a constant factor a round on average. Nothing is
-    collected, and a hub's links meet only in partial minima.
+    are rewritten between what is left; the graph shrinks by a constant factor a round on average, and a hub's links
+    meet only in partial minima. As soon as no more than ``a_task`` links are left, one task settles them in arrays of
+    that bound. Nothing is collected.
     """
     edges = scratch.save(edges.where("a <> b"), "links")
     maps: list[DataFrame] = []
-    while not edges.isEmpty():
+    while edges.count() > a_task:
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         rank = lambda c: F.struct(F.xxhash64(F.lit(len(maps)), F.col(c)).alias("h"), F.col(c).alias("v"))
-        step = both.groupBy("a").agg(F.min(rank("b")).alias("n")).select(F.col("a").alias("v"), F.least(rank("a"), F.col("n"))["v"].alias("m"))
+        step = both.groupBy("a").agg(F.min(rank("b")).alias("n")).select(F.col("a").alias("v"), F.least(rank("a"), F.col("n"))["v"].alias("root"))
         maps.append(step := scratch.save(step, "step"))
-        left, right = step.select(F.col("v").alias("a"), F.col("m").alias("x")), step.select(F.col("v").alias("b"), F.col("m").alias("y"))
+        left, right = step.select(F.col("v").alias("a"), F.col("root").alias("x")), step.select(F.col("v").alias("b"), F.col("root").alias("y"))
         moved = edges.join(left, "a").join(right, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         edges = scratch.save(moved, "links")
-    if not maps:
-        return edges.select(F.col("a").alias("v"), F.col("b").alias("root"))
-    out = maps[0].withColumnRenamed("m", "root")
+
+    def settle(batches):
+        held = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches if b.num_rows]
+        if held:
+            v, root = _local_roots(*map(np.concatenate, zip(*held, strict=True)))
+            yield pa.record_batch([pa.array(v), pa.array(root)], names=["v", "root"])
+
+    maps.append(scratch.save(edges.select("a", "b").coalesce(1).mapInArrow(settle, "v long, root long"), "step"))
+    out = maps[0]
     for step in maps[1:]:
-        nxt = step.select(F.col("v").alias("root"), "m")
+        nxt = step.select(F.col("v").alias("root"), F.col("root").alias("m"))
         out = out.join(nxt, "root", "left").select("v", F.coalesce("m", "root").alias("root"))
     return out
 
 
-def bounded_sample(df: DataFrame, hashed: Column, n: int) -> list:
-    """About ``n`` rows, ``n`` at most, those of least hash: a count and one pass that brings little else to the driver.
+def bounded_sample(df: DataFrame, n: int, salt: int = 0) -> list:
+    """``n`` rows at most, the first by a hash of the whole row; rows that are alike count as one.
 
-    hashed is a long column that is spread evenly; rows come with it as ``__h``, sorted by it.
+    A first pass counts the different rows, a second brings those below a bound of the hash; a hash bound that lets too
+    many pass ends in a limit, so the driver never holds more than 2 n + 1,000 rows.
     """
-    total = df.count()
-    if not total or n <= 0:
+    if n <= 0:
         return []
-    d = df.withColumn("__h", hashed)
-    share = 1.05 * (n + 50) / total
+    h = F.xxhash64(F.lit(salt), *[F.col(f"`{c}`") for c in df.columns])
+    total = df.select(F.approx_count_distinct(h, 0.02)).first()[0]
+    share = 1.1 * (n + 100) / max(1, total)
     if share < 1:
-        d = d.where(F.col("__h") < int(-(2**63) + share * 2**64))
-    return sorted(d.collect(), key=lambda r: (r["__h"], tuple(map(repr, r))))[:n]
+        df = df.where(h <= int(-(2**63) + share * 2**64))
+    got = df.distinct().withColumn("__h", h).limit(2 * n + 1000).collect()
+    return sorted(got, key=lambda r: (r["__h"], tuple(map(repr, r))))[:n]
 
 
 def strings(column: pa.ChunkedArray | pa.Array) -> pa.Array:
@@ -164,6 +209,16 @@ def release() -> None:
         return  # another C library: nothing to trim
 
 
+def tidy(rows: Callable) -> Callable:
+    """A function over a task's batches that gives its memory back when the task ends."""
+
+    def run(batches):
+        yield from rows(batches)
+        release()
+
+    return run
+
+
 def text_batches(batches, limit: int = 2_000_000, text: str = "text"):
     """Record batches cut so that none holds more than about ``limit`` bytes of the text column, or one row."""
     for b in batches:

@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_batches, tidy
+
 BLOCK_CHARS = 4_000_000
 SCHEMA = "doc_id long, item_id long, distance int, end_char long"
 
@@ -145,7 +147,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     def scan(block):
         def rows(batches):
             m = Matcher(block, rate, least_piece)
-            for b in batches:
+            for b in text_batches(batches):
                 out = []
                 for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                     if t:
@@ -153,7 +155,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                             out += [(i, item, dist, end) for item in m.ids[n]]
                 yield pa.record_batch([pa.array([x[j] for x in out], kind) for j, kind in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int64()))], names=["doc_id", "item_id", "distance", "end_char"])
 
-        return d.mapInArrow(rows, SCHEMA)
+        return d.mapInArrow(tidy(rows), SCHEMA)
 
     blocks = [scan(b) for b in item_blocks(benchmark)]
     return reduce(DataFrame.unionByName, blocks) if blocks else d.sparkSession.createDataFrame([], SCHEMA)
@@ -165,10 +167,10 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", rate:
     def keep(block):
         def rows(batches):
             m = Matcher(block, rate, least_piece)
-            for b in batches:
+            for b in text_batches(batches, text=text):
                 yield b.filter(pc.invert(pa.array([bool(t) and bool(m.find(normal(t))) for t in b.column(text).to_pylist()], pa.bool_())))
 
-        return rows
+        return tidy(rows)
 
     for block in item_blocks(benchmark):
         docs = docs.mapInArrow(keep(block), docs.schema)

@@ -94,7 +94,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: st
 
     spark = docs.sparkSession
     ids = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id")).agg(F.min(label).cast("long").alias("y"))
-    chosen = bounded_sample(ids, F.xxhash64("id"), max_rows)
+    chosen = bounded_sample(ids, max_rows)
     small = spark.createDataFrame([(int(r.id), int(r.y)) for r in chosen], StructType([StructField("id", LongType()), StructField("y", LongType())]))
     found = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(F.broadcast(small), "id")
 

@@ -210,7 +210,7 @@ def train(docs: DataFrame, text: str = "text", max_docs: int = 2000, max_chars:
     any, each the first by a hash of the text."""
     d = docs.select(F.col(text).alias("t")).where((F.length("t") > 0) & (F.length("t") <= max_chars))
     maybe = F.col("t").rlike("(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]|AKIA[A-Z0-9]{14}")
-    got = bounded_sample(d.where(maybe), F.xxhash64("t"), max_docs // 2) + bounded_sample(d, F.xxhash64("t"), max_docs // 2)
+    got = bounded_sample(d.where(maybe), max_docs // 2) + bounded_sample(d, max_docs // 2)
     return fit(sorted({r.t for r in got}))
 
 

@@ -23,12 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from .common import Scratch, components, partitions, release, strings, text_batches, words
+from .common import Scratch, components, fresh, partitions, release, strings, text_batches
 
 MASKS = np.array([0] + [1 << i for i in range(64)] + [(1 << i) | (1 << j) for half in (0, 32) for i in range(half, half + 32) for j in range(i + 1, half + 32)], dtype=np.uint64)
 SINGLE = 65
-VARIANTS_A_TASK = 8_000_000
-VARIANTS_AT_ONCE = 2_000_000
+SALTS = 16
+VARIANTS_A_BLOCK = 3_000_000
+VARIANTS_AT_ONCE = 1_000_000
 
 
 def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
@@ -60,7 +61,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", out: str = "fp", shing
     """All columns of docs and a long column ``out`` with the fingerprint of the whole text."""
 
     def add(batches):
-        for b in batches:
+        for b in text_batches(batches, text=text):
             yield b.append_column(out, pa.array(_fingerprints(b.column(text), shingle), pa.int64()))
 
     return docs.mapInArrow(add, StructType([*docs.schema.fields, StructField(out, LongType())]))
@@ -78,7 +79,7 @@ def links(scratch: Scratch, fps: DataFrame, max_bits: int = 3) -> DataFrame:
     wide = len(MASKS) if max_bits == 3 else SINGLE
     fps = scratch.save(fps.select(F.col("t").cast("int").alias("t"), "fp").where("fp is not null").distinct(), "fps")
     n = fps.count()
-    parts = max(16, -(-n * (wide + SINGLE) // 2 // VARIANTS_A_TASK))
+    parts = max(16, -(-n * (wide + SINGLE) // 2 // VARIANTS_A_BLOCK))
     spread = np.random.default_rng(1).integers(0, 2**63, 256, dtype=np.uint64)
 
     def emit(batches):
@@ -101,22 +102,28 @@ def links(scratch: Scratch, fps: DataFrame, max_bits: int = 3) -> DataFrame:
                 yield pa.record_batch([pa.array([int(pid[x]) for x, _ in spans], pa.int32()), *(pa.array([c[x:y].tobytes() for x, y in spans], pa.binary()) for c in (f, m, t))], schema=schema)
 
     def meet(batches):
-        held: dict[int, list] = {}
+        held: list = []
         for b in batches:
             for pid, *blobs in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                held.setdefault(pid, []).append(blobs)
-        for pid in list(held):
-            got = held.pop(pid)
-            all_f, all_m, all_t = (np.frombuffer(b"".join(x[i] for x in got), kind) for i, kind in ((0, np.uint64), (1, np.uint16), (2, np.uint8)))
-            del got
-            slices = max(1, -(-len(all_f) // VARIANTS_AT_ONCE))
-            which = ((all_f ^ MASKS[all_m]) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(56)).astype(np.uint8) % min(slices, 256)
-            for part in range(min(slices, 256)):
-                pick = np.flatnonzero(which == part)
-                if len(pick):
-                    yield in_buckets(all_f[pick], all_m[pick], all_t[pick])
+                if held and held[0][0] != pid:
+                    yield from block(held)
+                    held = []
+                held.append((pid, *blobs))
+        if held:
+            yield from block(held)
+        del held
         release()
 
+    def block(got):
+        all_f, all_m, all_t = (np.frombuffer(b"".join(x[i] for x in got), kind) for i, kind in ((1, np.uint64), (2, np.uint16), (3, np.uint8)))
+        got.clear()
+        slices = max(1, -(-len(all_f) // VARIANTS_AT_ONCE))
+        which = ((all_f ^ MASKS[all_m]) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(56)).astype(np.uint8) % min(slices, 256)
+        for part in range(min(slices, 256)):
+            pick = np.flatnonzero(which == part)
+            if len(pick):
+                yield in_buckets(all_f[pick], all_m[pick], all_t[pick])
+
     def in_buckets(f, m, t):
         v = f ^ MASKS[m]
         order = np.lexsort((f, v ^ spread[t], t))
@@ -137,7 +144,7 @@ def links(scratch: Scratch, fps: DataFrame, max_bits: int = 3) -> DataFrame:
         return pa.record_batch([pa.array(pairs[:, 0].astype(np.int32), pa.int32())] + [pa.array(np.ascontiguousarray(pairs[:, i]).view(np.int64), pa.int64()) for i in (1, 2)], names=["t", "a", "b"])
 
     sent = fps.repartition(max(partitions(fps.sparkSession), min(parts, 4096))).mapInArrow(emit, "pid int, fps binary, masks binary, ts binary")
-    return sent.repartition(parts, "pid").mapInArrow(meet, "t int, a long, b long").distinct()
+    return sent.repartition(parts, "pid").sortWithinPartitions("pid").mapInArrow(meet, "t int, a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
@@ -148,18 +155,27 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     empty table gives none. Other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession)
+    work = scratch.inner()
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     fps = scratch.save(with_fingerprint(d, shingle=shingle).select("doc_id", "fp"), "documents")
-    known = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = scratch.save(components(scratch, links(scratch, known.withColumn("t", F.lit(0)), max_bits).drop("t")), "roots").select(F.col("v").alias("fp"), "root")
+    known = work.save(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "known")
+    roots = components(work, links(work, known.withColumn("t", F.lit(0)), max_bits).drop("t")).select(F.col("v").alias("fp"), "root")
     least = known.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
     of_root = least.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_fp = scratch.save(least.join(of_root, "root").select("fp", "component_id"), "classes")
-    return fps.join(of_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    of_fp = scratch.save(least.join(of_root, "root").select("fp", "component_id").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), "classes")
+    work.drop()
+    # a fingerprint that very many documents share is read by several tasks
+    salted = fps.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    return salted.join(of_fp, ["fp", "salt"]).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 TABLES = 8
-SKETCH = 128
+LANES = 128
+LIKELY = 70
+SAMPLE = 8_000
+COMMON = 3
+COMMON_AT_MOST = 100_000
+SMALL = 32
 _LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).reshape(-1)
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -170,76 +186,132 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _word_hashes(dictionary: pa.Array) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in dictionary.cast(pa.large_binary()).to_pylist()), np.uint64, len(dictionary))
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_LOWER = (np.arange(256) + 1 + 32 * ((np.arange(256) >= 65) & (np.arange(256) <= 90))).astype(np.uint64)
+_LOWER[_BLANK] = 0
 
 
-def _shingles(first: np.ndarray, codes: np.ndarray, h: np.ndarray, shingle: int) -> list[np.ndarray]:
+def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's first word number (and the end), and a 64-bit hash of each word with A-Z lower-cased.
+
+    texts come from strings(). Words are runs of bytes between ASCII white space; a word's hash is a polynomial in its
+    bytes, mixed, so a batch takes a few passes over its bytes whatever the number of words.
+    """
+    at = np.frombuffer(texts.buffers()[1], np.int64)[: len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[: at[-1]]
+    full = ~_BLANK[data]
+    begins = full.copy()
+    begins[1:] &= ~full[:-1]
+    edge = at[:-1][at[:-1] < at[1:]]
+    begins[edge] = full[edge]
+    start = np.flatnonzero(begins)
+    if not len(start):
+        return np.zeros(len(at), np.int64), np.zeros(0, np.uint64)
+    run = np.diff(np.append(start, len(data)))
+    power = np.multiply.accumulate(np.full(int(run.max()), 0x9E3779B97F4A7C15, np.uint64))
+    place = np.arange(start[0], len(data)) - np.repeat(start, run)
+    h = np.add.reduceat(_LOWER[data[start[0] :]] * power[place], start - start[0])
+    return np.searchsorted(start, at), _mixed(h)
+
+
+def _shingles(first: np.ndarray, h: np.ndarray, shingle: int) -> list[np.ndarray]:
     """The different shingle hashes of each text, ascending; a text of fewer words is one shingle."""
-    g = np.zeros(len(codes), np.uint64)
-    wide = np.concatenate([h[codes], np.zeros(shingle, np.uint64)])
-    end = np.repeat(first[1:], np.diff(first))
-    at = np.arange(len(codes))
+    g = np.zeros(len(h), np.uint64)
+    wide = np.concatenate([h, np.zeros(shingle, np.uint64)])
+    left = np.repeat(first[1:], np.diff(first)) - np.arange(len(h))
     for j in range(shingle):
-        g += np.where(at + j < end, _mixed(wide[j : j + len(codes)] + np.uint64(1)) * _MULT[j % len(_MULT)], 0).astype(np.uint64)
+        x = _mixed_once((wide[j : j + len(h)] + np.uint64(1)) * _MULT[j % len(_MULT)])
+        if j:
+            x[left <= j] = 0
+        g += x
     g = _mixed(g)
-    return [np.unique(g[a : max(min(a + 1, b), b - shingle + 1)]) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+    ends = np.maximum(np.minimum(first[:-1] + 1, first[1:]), first[1:] - shingle + 1)
+    out = []
+    for a, b in zip(first[:-1].tolist(), ends.tolist(), strict=True):
+        x = np.sort(g[a:b])
+        out.append(x[np.append(True, x[1:] != x[:-1])] if len(x) else x)
+    return out
 
 
 def shingle_sets(texts: pa.Array, shingle: int = 5) -> list[np.ndarray]:
     """Of each text the hashes of all its different word shingles, ascending."""
-    first, codes, dictionary = words(pc.ascii_lower(texts))
-    return _shingles(first, codes, _word_hashes(dictionary), shingle)
+    first, h = hashed_words(texts)
+    return _shingles(first, h, shingle)
+
+
+_LANE_MULT = (np.random.default_rng(3).integers(0, 2**63, LANES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
+
 
+def sketches(sets: list[np.ndarray], lanes: int = LANES) -> list[bytes]:
+    """Of each shingle set a byte for each of ``lanes`` minima; two sets agree in about as many as they are similar."""
+    size = np.array([len(x) for x in sets], np.int64)
+    full = np.flatnonzero(size)
+    out = np.zeros((len(sets), lanes), np.uint8)
+    if len(full):
+        flat = np.concatenate([sets[i] for i in full])
+        begin = np.cumsum(size[full]) - size[full]
+        for i in range(lanes):
+            out[full, i] = np.minimum.reduceat(_mixed_once(flat * _LANE_MULT[i]), begin) & np.uint64(255)
+    return [x.tobytes() for x in out]
 
-def word_fingerprints(texts: pa.Array, tables: int = TABLES, shingle: int = 5, keep: int = SKETCH) -> tuple[np.ndarray, list[bytes], list[bytes]]:
-    """Of each text: ``tables`` independent SimHashes of its words, a sketch of its shingles, a key of its words.
 
-    Words (ASCII lower case) vote with the bit length of their count, so common words don't drown the others. The
-    sketch holds the ``keep`` least hashes of the different shingles; a text of fewer words is one shingle.
+def _mixed_once(x: np.ndarray) -> np.ndarray:
+    return (x ^ (x >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def word_fingerprints(texts: pa.Array, tables: int = TABLES, shingle: int = 5) -> tuple[np.ndarray, list[np.ndarray], list[bytes]]:
+    """Of each text: ``tables`` independent SimHashes of its words, its shingle set, a key of its words.
+
+    Words (ASCII lower case) vote with the bit length of their count, so common words don't drown the others; a text of
+    fewer words than a shingle is one shingle.
     """
-    low = pc.ascii_lower(texts)
-    first, codes, dictionary = words(low)
-    h = _word_hashes(dictionary)
+    first, h = hashed_words(texts)
     n = len(texts)
-    doc, k = np.repeat(np.arange(n), np.diff(first)), max(1, len(dictionary))
-    pairs, count = np.unique(doc * k + codes, return_counts=True)
-    weight = np.floor(np.log2(np.maximum(count, 1))).astype(np.int64) + 1
-    votes, owner = np.repeat(pairs % k, weight), np.repeat(pairs // k, weight)
-    lanes = np.concatenate([_LANES[_mixed(h + _MULT[:1] * np.uint64(t + 1)).view(np.uint8).reshape(-1, 8)] for t in range(tables)], axis=1) if len(h) else np.zeros((0, 8 * tables), np.uint64)
-    ones, total = np.zeros((n, 64 * tables), np.int64), np.bincount(owner, minlength=n) if len(owner) else np.zeros(n, np.int64)
+    doc = np.repeat(np.arange(n), np.diff(first))
+    order = np.lexsort((h, doc))
+    word, owner = h[order], doc[order]
+    new = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (owner[1:] != owner[:-1]))) if len(word) else np.zeros(0, np.int64)
+    weight = np.frexp(np.diff(np.append(new, len(word))))[1]  # bit length
+    votes, owner = np.repeat(word[new], weight), np.repeat(owner[new], weight)
+    ones, total = np.zeros((n, 64 * tables), np.int32), np.bincount(owner, minlength=n)
     for a in range(0, len(votes), 8192):
         v, o = votes[a : a + 8192], owner[a : a + 8192]
-        place = np.arange(len(v))
-        begin = np.concatenate([[0], np.flatnonzero(np.diff(o)) + 1])
-        within = place - np.repeat(begin, np.diff(np.concatenate([begin, [len(o)]])))
+        lanes = np.concatenate([_LANES[_mixed(v + _MULT[:1] * np.uint64(t + 1)).view(np.uint8).reshape(-1, 8)] for t in range(tables)], axis=1)
+        begin = np.flatnonzero(np.append(True, o[1:] != o[:-1]))
+        within = np.arange(len(v)) - np.repeat(begin, np.diff(np.append(begin, len(v))))
         cut = np.flatnonzero(within % 255 == 0)  # a lane counts to 255
-        part = np.add.reduceat(lanes[v], cut, axis=0)
-        np.add.at(ones, o[cut], np.ascontiguousarray(part).view(np.uint8).reshape(len(cut), -1))
+        part = np.ascontiguousarray(np.add.reduceat(lanes, cut, axis=0)).view(np.uint8).reshape(len(cut), -1)
+        ones[o[begin]] += np.add.reduceat(part, np.searchsorted(cut, begin), axis=0, dtype=np.int32)
     bits = np.packbits(ones * 2 > total[:, None], axis=1, bitorder="little").view("<u8").reshape(n, tables)
-    sets = _shingles(first, codes, h, shingle)
-    sketches, keys = [], []
-    for i, raw in enumerate(low.cast(pa.large_binary()).to_pylist()):
-        sketches.append(sets[i][:keep].tobytes())
-        keys.append(xxhash.xxh3_128_digest(b" ".join(raw.split())))
-    return bits, sketches, keys
+    sets = _shingles(first, h, shingle)
+    low = pc.ascii_lower(texts)
+    keys = [xxhash.xxh3_128_digest(b" ".join(raw.split())) for raw in low.cast(pa.large_binary()).to_pylist()]
+    return bits, sets, keys
+
 
+def jaccard(x: np.ndarray, y: np.ndarray) -> float:
+    """Similarity of two sets given as ascending arrays; two empty sets are alike."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0
 
-def sketch_jaccard(a: bytes, b: bytes, keep: int = SKETCH) -> float:
-    """Jaccard similarity of the shingle sets behind two sketches: exact up to ``keep`` shingles, else estimated."""
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    if not len(x) or not len(y):
-        return float(len(x) == len(y))
-    union = np.union1d(x, y)
-    if len(x) == keep or len(y) == keep:
-        union = union[:keep]
-    return len(np.intersect1d(np.intersect1d(x, y), union)) / len(union)
 
+def likely(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes less those whose sizes or sketches are clearly too far apart. nodes: node, n, sketch.
 
-SAMPLE = 20_000
-COMMON = 5
-COMMON_AT_MOST = 200_000
-SMALL = 8
+    A pair of similarity 0.8 agrees in fewer than LIKELY of the LANES bytes with a chance below 1e-8.
+    """
+    of = lambda side: nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"))
+    met = pairs.join(of("a"), "a").where("n_a > 0").join(of("b"), "b").where(F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - 1e-9)
+    least = LIKELY * similarity / 0.8
+
+    def near(batches):
+        for b in batches:
+            if b.num_rows:
+                x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(b.num_rows, -1) for c in ("s_a", "s_b"))
+                keep = pa.array((x == y).sum(axis=1) >= least)
+                yield pa.record_batch([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
+
+    return met.select("a", "b", "s_a", "s_b").mapInArrow(near, "a long, b long")
 
 
 def verified(texts: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -256,8 +328,7 @@ def verified(texts: DataFrame, pairs: DataFrame, shingle: int, similarity: float
                 if held is None or held[:2] != (a, b):
                     held = (a, b, x)
                     continue
-                both_n = len(np.intersect1d(held[2], x, assume_unique=True))
-                if both_n and both_n / (len(held[2]) + len(x) - both_n) >= similarity:
+                if jaccard(held[2], x) >= similarity:
                     found.append((a, b))
                 held = None
             yield pa.record_batch([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
@@ -272,8 +343,8 @@ def _common(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
 
     def rows(batches):
         for b in text_batches(batches):
-            sets = shingle_sets(strings(b.column("text")), shingle)
-            yield pa.record_batch([pa.array(np.concatenate(sets).view(np.int64))], names=["h"])
+            yield pa.record_batch([pa.array(np.concatenate(shingle_sets(strings(b.column("text")), shingle)).view(np.int64))], names=["h"])
+        release()
 
     some = texts.where(F.xxhash64("uid") <= int(-(2**63) + share * (2**64 - 1))) if share < 1 else texts
     counts = some.mapInArrow(rows, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
@@ -283,24 +354,36 @@ def _common(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     return h[order], n[order]
 
 
-def _groups(batches, key: str):
-    """Runs of equal key over batches sorted by it, each as one record batch."""
-    held: list = []
+def _runs(batches, key: str):
+    """Columns of batches sorted by a key, cut so that no run of equal keys is split: lists of arrays, the key's first."""
+    held: list[list[np.ndarray]] = []
+
+    def whole():
+        return [np.concatenate(c) for c in zip(*held, strict=True)]
+
     for b in batches:
         if not b.num_rows:
             continue
-        k = b.column(key).to_numpy(zero_copy_only=False)
-        cut = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), len(k)]
-        for x, y in zip(cut[:-1], cut[1:], strict=True):
-            if held and held[0][0] != k[x]:
-                yield [np.concatenate(c) for c in zip(*(h[1] for h in held), strict=True)]
-                held = []
-            held.append((k[x], [c.to_numpy(zero_copy_only=False)[x:y] for c in b.columns]))
+        now = [b.column(key).to_numpy(zero_copy_only=False), *(b.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(b.schema.names) if c != key)]
+        last = int(np.searchsorted(now[0], now[0][-1]))  # where the run begins that may go on
+        if last or (held and held[-1][0][-1] != now[0][0]):
+            held.append([c[:last] for c in now])
+            yield whole()
+            held = []
+        held.append([c[last:] for c in now])
     if held:
-        yield [np.concatenate(c) for c in zip(*(h[1] for h in held), strict=True)]
+        yield whole()
+
+
+def _spans(keys: np.ndarray, least: int = 2) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of the runs of equal keys that hold ``least`` rows or more."""
+    begin = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
+    end = np.append(begin[1:], len(keys))
+    many = end - begin >= least
+    return begin[many], end[many]
 
 
-def prefix_buckets(scratch: Scratch, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+def prefix_buckets(work: Scratch, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """(bucket, node, n): texts that share a shingle of their prefixes, n being the size of a text's shingle set.
 
     Of two sets of that similarity each holds a common shingle among its first n - ceil(similarity n) + 1 in any order
@@ -318,7 +401,7 @@ def prefix_buckets(scratch: Scratch, texts: DataFrame, shingle: int, similarity:
             if len(common):
                 at = np.minimum(np.searchsorted(common, flat), len(common) - 1)
                 count = np.where(common[at] == flat, often[at], 0)
-            order = np.lexsort((flat, count, owner))
+            order = np.lexsort((flat, count, owner)) if count.any() else np.arange(len(flat))
             flat, owner = flat[order], owner[order]
             rank = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
             keep = rank < (size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1)[owner]
@@ -327,57 +410,84 @@ def prefix_buckets(scratch: Scratch, texts: DataFrame, shingle: int, similarity:
 
     def shared(batches):
         seen: set = set()
-        for _, node, n in _groups(batches, "h"):
-            if len(node) > 1 and (digest := xxhash.xxh3_128_digest(node.tobytes())) not in seen:
-                if len(seen) < 100_000:
-                    seen.add(digest)
-                yield pa.record_batch([pa.array([digest], pa.binary()), pa.array([node], pa.list_(pa.int64())), pa.array([n], pa.list_(pa.int64()))], names=["digest", "node", "n"])
+        for h, node, n in _runs(batches, "h"):
+            digests, lists, sizes = [], [], []
+            for x, y in zip(*map(np.ndarray.tolist, _spans(h)), strict=True):
+                digest = xxhash.xxh3_128_digest(node[x:y].tobytes())
+                if digest not in seen:
+                    if len(seen) < 100_000:
+                        seen.add(digest)
+                    digests.append(digest)
+                    lists.append(node[x:y])
+                    sizes.append(n[x:y])
+            if digests:
+                offsets = pa.array(np.cumsum([0, *map(len, lists)]), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), *(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(c))) for c in (lists, sizes))], names=["digest", "node", "n"])
         release()
 
     met = texts.mapInArrow(rows, "h long, node long, n long").repartition(parts, "h").sortWithinPartitions("h", "node")
-    lists = scratch.save(met.mapInArrow(shared, "digest binary, node array<long>, n array<long>").dropDuplicates(["digest"]), "buckets")
+    lists = work.save(met.mapInArrow(shared, "digest binary, node array<long>, n array<long>").dropDuplicates(["digest"]), "buckets")
     return lists.select(F.xxhash64("digest").alias("bucket"), F.explode(F.arrays_zip("node", "n")).alias("x")).select("bucket", "x.node", "x.n")
 
 
-def settled(scratch: Scratch, texts: DataFrame, known: DataFrame, shingle: int, similarity: float) -> DataFrame:
+def settled(work: Scratch, texts: DataFrame, nodes: DataFrame, known: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """Roots (v, root) of the groups closed over all pairs of that similarity, given links ``known`` among them.
 
     Each round the next hubs of a bucket (all members of a small one) meet the members that are not yet in their
-    group; hubs double and more. A bucket is done when it is one group or all its possible pairs have been compared.
+    group; hubs grow eightfold. A bucket is done when it is one group or all its possible pairs have been compared.
     """
-    links_, buckets = known, scratch.save(prefix_buckets(scratch, texts, shingle, similarity), "members")
-    roots = scratch.save(components(scratch, links_), "roots")
-    compared, done, hubs = None, 0, 1
+    links_ = known
+    roots = work.save(components(work, links_), "roots")
+    buckets = prefix_buckets(work, texts, shingle, similarity)
+    compared, some, done, hubs = None, None, 0, 4
     parts = partitions(texts.sparkSession)
     while True:
         rooted = buckets.join(roots.withColumnRenamed("v", "node"), "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
-        rooted = scratch.save(rooted, "rooted")
-        live = rooted.groupBy("bucket").agg(F.count("*").alias("m"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-        live = live.where(F.col("m") > (max(SMALL, done + 1) if done else 0)).select("bucket")
-        buckets = scratch.save(rooted.join(live, "bucket", "left_semi"), "open")
-        if buckets.isEmpty():
-            return roots
         first, end = done, done + hubs
 
         def propose(batches, first=first, end=end):
-            for _, node, n, root in _groups(batches, "bucket"):
-                last = len(node) if len(node) <= SMALL else min(end, len(node))
-                for i in range(first, last):
-                    y = slice(i + 1, None)
-                    fits = (root[y] != root[i]) & (np.minimum(n[y], n[i]) >= similarity * np.maximum(n[y], n[i]) - 1e-9)
-                    other = node[y][fits]
-                    if len(other):
-                        yield pa.record_batch([pa.array(np.full(len(other), node[i])), pa.array(other)], names=["a", "b"])
-
-        pairs = buckets.repartition(parts, "bucket").sortWithinPartitions("bucket", "node").mapInArrow(propose, "a long, b long").distinct()
-        if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        pairs = scratch.save(pairs, "pairs")
+            for bucket, node, n, root in _runs(batches, "bucket"):
+                out_a, out_b, left = [], [], []
+                for x, y in zip(*map(np.ndarray.tolist, _spans(bucket)), strict=True):
+                    m = y - x
+                    if (first and m <= SMALL) or m <= first + 1 or (root[x:y] == root[x]).all():
+                        continue
+                    last = m if m <= SMALL else min(end, m)
+                    if last < m - 1:
+                        left.append(int(bucket[x]))
+                    for i in range(x + first, x + last):
+                        fits = (root[i + 1 : y] != root[i]) & (np.minimum(n[i + 1 : y], n[i]) >= similarity * np.maximum(n[i + 1 : y], n[i]) - 1e-9)
+                        if fits.any():
+                            other = node[i + 1 : y][fits]
+                            out_a.append(np.full(len(other), node[i]))
+                            out_b.append(other)
+                if out_a or left:
+                    a, b = np.concatenate([*out_a, np.array(left, np.int64)]), np.concatenate([*out_b, np.zeros(len(left), np.int64)])
+                    full = np.arange(len(a)) < len(a) - len(left)
+                    yield pa.record_batch([pa.array(a), pa.array(b, mask=~full)], names=["a", "b"])
+            release()
+
+        dealt = rooted.repartition(parts, "bucket").sortWithinPartitions("bucket", "node")
+        said = work.save(dealt.mapInArrow(propose, "a long, b long").distinct(), "proposed")
+        pairs = said.where("b is not null")
+        pairs = pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti")
+        near = work.save(likely(pairs, nodes, similarity), "likely")
         compared = pairs if compared is None else compared.unionByName(pairs)
-        links_ = links_.unionByName(scratch.save(verified(texts, pairs, shingle, similarity), "true"))
-        roots = scratch.save(components(scratch, links_), "roots")
-        buckets = buckets.drop("root")
+        more = said.where("b is null").select(F.col("a").alias("bucket"))
         done, hubs = end, hubs * 8
+        going = not more.isEmpty()
+        if not near.isEmpty():
+            if some is None and going:
+                # later rounds read the texts of the buckets that are still open, not all
+                some = work.save(texts.join(buckets.join(more, "bucket", "left_semi").select(F.col("node").alias("uid")).distinct(), "uid", "left_semi"), "some")
+                use = texts
+            else:
+                use = texts if some is None else some
+            links_ = links_.unionByName(work.save(verified(use, near, shingle, similarity), "true"))
+            roots = work.save(components(work, links_), "roots")
+        if not going:
+            return roots
+        buckets = work.save(buckets.join(more, "bucket", "left_semi"), "open")
 
 
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, tables: int = TABLES, max_bits: int = 2) -> DataFrame:
@@ -390,36 +500,37 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     result. Null and empty texts are one group; of repeated rows one stays. Columns of docs may have any names.
     """
     scratch = Scratch(docs.sparkSession)
-    uid = "__vidsift_uid"
+    work = scratch.inner()
+    (uid,) = fresh(docs.columns, "__uid")
     tagged = scratch.save(docs.withColumn(uid, F.monotonically_increasing_id()), "tagged")
 
     def add(batches):
-        for b in text_batches(batches):
-            bits, sets, keys = word_fingerprints(strings(b.column("text")), tables, shingle, keep=2**62)
+        for b in text_batches(batches, 1_000_000):
+            bits, sets, keys = word_fingerprints(strings(b.column("text")), tables, shingle)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * tables, pa.int32()), pa.array(bits.reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column("uid"), lists, pa.array([len(x) // 8 for x in sets], pa.int64()), pa.array(keys, pa.binary())], names=["uid", "fps", "n", "key"])
+            yield pa.RecordBatch.from_arrays([b.column("uid"), lists, pa.array([len(x) for x in sets], pa.int64()), pa.array(sketches(sets), pa.binary()), pa.array(keys, pa.binary())], names=["uid", "fps", "n", "sketch", "key"])
         release()
 
     all_texts = tagged.select(F.col(uid).alias("uid"), F.col(f"`{text}`").alias("text"))
-    marked = scratch.save(all_texts.mapInArrow(add, StructType([StructField("uid", LongType()), StructField("fps", ArrayType(LongType())), StructField("n", LongType()), StructField("key", BinaryType())])), "marked")
-    named = tagged.select(F.col(uid).alias("uid"), F.col(f"`{doc_id}`").alias("id"))
-    ids = scratch.save(marked.select("uid", "key").join(named, "uid"), "ids")
+    marked = work.save(all_texts.mapInArrow(add, StructType([StructField("uid", LongType()), StructField("fps", ArrayType(LongType())), StructField("n", LongType()), StructField("sketch", BinaryType()), StructField("key", BinaryType())])), "marked")
+    ids = marked.select("uid", "key").join(tagged.select(F.col(uid).alias("uid"), F.col(f"`{doc_id}`").alias("id")), "uid")
+    ids = work.save(ids, "ids")
     lead = F.min(F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("uid").alias("u")))
     firsts = ids.groupBy("key").agg(lead.alias("lead")).withColumn("node", F.col("lead.u"))
-    nodes = scratch.save(firsts.join(marked.select(F.col("uid").alias("node"), "fps", "n"), "node"), "nodes")
+    nodes = work.save(firsts.join(marked.select(F.col("uid").alias("node"), "fps", "n", "sketch"), "node"), "nodes")
     texts = all_texts.join(nodes.where("n > 0").select(F.col("node").alias("uid")), "uid", "left_semi")
     marks = nodes.where("n > 0").select("node", F.posexplode("fps").alias("t", "fp"))
-    heads = scratch.save(marks.groupBy("t", "fp").agg(F.min("node").alias("head")), "heads")
+    heads = work.save(marks.groupBy("t", "fp").agg(F.min("node").alias("head")), "heads")
     same = marks.join(heads, ["t", "fp"]).where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
     of = lambda side, out: heads.select("t", F.col("fp").alias(side), F.col("head").alias(out))
-    near = links(scratch, heads, max_bits).join(of("a", "x"), ["t", "a"]).join(of("b", "y"), ["t", "b"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    size = lambda side: nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"))
-    pairs = same.unionByName(near).where("a <> b").distinct().join(size("a"), "a").join(size("b"), "b")
-    pairs = scratch.save(pairs.where(F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - 1e-9).select("a", "b"), "candidates")
-    true = scratch.save(verified(texts, pairs, shingle, similarity), "true")
-    roots = settled(scratch, texts, true, shingle, similarity)
+    near = links(work, heads, max_bits).join(of("a", "x"), ["t", "a"]).join(of("b", "y"), ["t", "b"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    sized = nodes.select("node", "n", "sketch")
+    pairs = work.save(likely(same.unionByName(near).where("a <> b").distinct(), sized, similarity), "candidates")
+    true = work.save(verified(texts, pairs, shingle, similarity), "true")
+    roots = settled(work, texts, sized, true, shingle, similarity)
     rooted = nodes.join(roots.withColumnRenamed("v", "node"), "node", "left").select("key", "lead", F.coalesce("root", "node").alias("root"))
     leads = rooted.groupBy("root").agg(F.min("lead")["u"].alias("keep"))
     of_key = rooted.join(leads, "root").select("key", "keep")
     gone = scratch.save(ids.join(of_key, "key").where("uid <> keep").select(F.col("uid").alias(uid)), "gone")
+    work.drop()
     return tagged.join(gone, uid, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

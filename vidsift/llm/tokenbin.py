@@ -30,7 +30,7 @@ MAGIC = b"VSTOKEN1"
 HEAD = struct.Struct("<8sIIQQQ")
 BLOCK = 4096
 SHARD_IDS = 1_000_000
-KEPT_WORDS = 2_000_000
+KEPT_WORDS = 1_000_000
 
 
 def bits_for(vocabulary: int) -> int:

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import text_batches, tidy
 
 KEPT = 600_000
 
@@ -44,7 +44,7 @@ class Counter:
         self.special = [a["content"] for a in spec["added_tokens"]]
         self.cut = regex.compile(pattern or public_tokenizers.PATTERN).findall
         self.one = self.whole_tokens() if self.plain else {}
-        self.seen: dict[str, int] = {}
+        self.seen: dict[str, int] = dict(self.one)
 
     def whole_tokens(self) -> dict[str, int]:
         """Vocabulary strings that the library gives back as one token when they stand alone."""
@@ -62,20 +62,18 @@ class Counter:
 
     def counts(self, texts: list[str]) -> list[int]:
         special = self.special
-        cut, one, seen = self.cut, self.one, self.seen
+        cut, seen = self.cut, self.seen
         pieces: list[list[str] | None] = [None if not self.plain or any(s in t for s in special) else cut(t) for t in texts]
-        new = list({p for x in pieces if x for p in x if p not in one and p not in seen})
+        new = list({p for x in pieces if x for p in x if p not in seen})
         if len(seen) + len(new) > KEPT:
             seen.clear()
-            new = list({p for x in pieces if x for p in x if p not in one})
+            seen |= self.one
+            new = list({p for x in pieces if x for p in x if p not in seen})
         for a in range(0, len(new), 20_000):
             part = new[a : a + 20_000]
             seen.update(zip(part, (len(e.ids) for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)), strict=True))
-        both = one | seen if len(seen) < 4 * len(one) else None
-        if both is not None:
-            get = both.__getitem__
-            return [self.whole(t) if x is None else sum(map(get, x)) for t, x in zip(texts, pieces, strict=True)]
-        return [self.whole(t) if x is None else sum([one[p] if p in one else seen[p] for p in x]) for t, x in zip(texts, pieces, strict=True)]
+        get = seen.__getitem__
+        return [self.whole(t) if x is None else sum(map(get, x)) for t, x in zip(texts, pieces, strict=True)]
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -88,4 +86,4 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, doc_id: str
             n = pa.array(c.counts(t.to_pylist()), pa.int64())
             yield pa.record_batch([b.column("doc_id"), pc.binary_length(t).cast(pa.int64()), n, pc.greater(n, limit)], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(rows, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(tidy(rows), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
