@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 import shutil
 import subprocess
 import sys
@@ -56,14 +57,18 @@ def test_text_functions(spark):
     assert one(spark, text.keyword_list, '["news","trump"]', "a, B,,a", None) == [["news", "trump"], ["a", "b"], []]
     assert one(spark, lambda c: text.merge_lists(text.keyword_list(c), F.array(F.lit("trump"), F.lit("ice"))), '["news","trump"]') == [["news", "trump", "ice"]]
     assert one(spark, text.handle, " @@Some ", None) == ["some", None]
-    assert [ocr.clean_text(x) for x in ("TRU\nMP CALLED", "THE\nCREW", "govern-\nment says", "a line\n\r\nthat goes on", "", None)] == ["TRUMP CALLED", "THECREW", "government says", "a line that goes on", "", ""]
-    assert [ocr.is_garbage(x) for x in ("B 1000", "0 6 G", "", "II", "AMERICA 250", "Breaking news today", "follow")] == [True, True, True, True, False, False, True]
-    assert [ocr.strip_ui(x) for x in ("12", "AMERICA 250", "A 1000 top story", "B 1000 top story")] == ["", "AMERICA 250", "top story", "1000 top story"]
+    assert one(spark, ocr.clean, "TRU\nMP CALLED", "THE\nCREW", "govern-\nment says", "a line\n\r\nthat goes on", "", None) == ["TRUMP CALLED", "THECREW", "government says", "a line that goes on", "", ""]
+    assert one(spark, ocr.clean, "One short\nTwo short\n" + "Xx" * 41 + "\nEnd.", "BIG\nNEWS DAY TODAY OK") == ["One short Two short\n" + "Xx" * 41 + "\nEnd.", "BIGNEWS DAY TODAY OK"]
+    assert one(spark, ocr.garbage, "B 1000", "0 6 G", "", "II", "AMERICA 250", "Breaking news today", "follow", None, "Share!", "日本 5") == [True, True, True, True, False, False, True, True, True, True]
+    assert one(spark, ocr.strip_ui, "12", "AMERICA 250", "A 1000 top story", "B 1000 top story", "  ", "like 5  k 7 x") == ["", "AMERICA 250", "top story", "1000 top story", "", "like"]
     frames = ["AMERICA 250 Governor speaks at rally", "AMERICA 250 something else entirely new", "AMERICA 250 third caption follows here"]
-    assert ocr.persistent_phrases(frames) == ["AMERICA 250"] and "AMERICA 250" in ocr.collapse(frames)
-    assert ocr.kept_frames(["One two three four", "one  two three four", None, "Another text"]) == [0, 3]
-    garbage = [r[0] for r in spark.createDataFrame([("B 1000",), ("Breaking news today",)], "v string").select(ocr.garbage(F.col("v"))).collect()]
-    assert garbage == [True, False]
+    f = spark.createDataFrame([(1, i, x) for i, x in enumerate(frames)] + [(2, 0, "Only one"), (3, 0, None)], "v int, at int, t string")
+    assert {r.v: r.phrases for r in ocr.persistent_phrases(f, "v", "t").collect()} == {1: ["AMERICA 250"]}
+    got = {r.v: r.collapsed for r in ocr.collapse(f, "v", "at", "t").collect()}
+    assert sorted(got) == [1, 2] and "AMERICA 250" in got[1] and got[2] == "Only one"
+    assert one(spark, lambda c: ocr.strip_phrases(c, F.array(F.lit("BIG (NEWS)"), F.lit("SALE"))), "big (news) , today sale.", None) == ["today", ""]
+    kept = ocr.Kept()
+    assert [kept.add(x) for x in ("one two three four", "one two three four", "", "another text", "x" * 60, "x" * 45, "y" + "x" * 60 + "z")] == [True, False, False, True, True, False, False]
     hours = spark.createDataFrame([("2026-03-08",), ("2026-08-13",), ("2026-11-01",)], "d string")
     a, b = times.civil_window(F.col("d").cast("date"), "America/Chicago")
     assert [r[0] for r in hours.select(((F.unix_seconds(b) - F.unix_seconds(a)) / 3600).cast("int")).collect()] == [23, 24, 25]
@@ -134,6 +139,42 @@ def test_streaming(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(out).select("user_id", "event_id").collect())) == sorted(map(tuple, want.collect()))
 
 
+def kept_by_pairs(keys, within, least, any_inside):
+    """Every key against all kept ones."""
+    held = []
+    for k in keys:
+        own = set(re.findall("[a-z0-9]{2,}", k))
+        for h in held:
+            other = set(re.findall("[a-z0-9]{2,}", h))
+            inside = (len(k) > within and (k in h or (any_inside and h in k))) or (not any_inside and len(h) > within and h in k)
+            if k == h or inside or (own and other and len(own & other) / len(own | other) >= least):
+                break
+        else:
+            if k:
+                held.append(k)
+    return held
+
+
+@pytest.mark.parametrize("rule", [(40, 0.88, False), (30, 0.8, True), (5, 0.5, False)])
+def test_kept_frames_against_all_pairs(rule):
+    import random
+
+    from vidsift.functions.ocr import Kept
+
+    rng = random.Random(7)
+    for _ in range(40):
+        base = [f"w{rng.randrange(30)}" for _ in range(12)]
+        keys = []
+        for _ in range(60):
+            k = list(base)
+            for _ in range(rng.randrange(5)):
+                k[rng.randrange(len(k))] = f"w{rng.randrange(30)}"
+            a = rng.randrange(6)
+            keys.append(" ".join(k[a : a + rng.randrange(1, 13)]))
+        kept = Kept(*rule)
+        assert [k for k in keys if kept.add(k)] == kept_by_pairs(keys, *rule)
+
+
 def test_all_lines_are_frames(spark, tmp_path):
     import vidsift.plans.texts as T
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+CALL_SITES = "spark.python.sql.dataFrameDebugging.enabled"
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 ROOT = str(Path(__file__).resolve().parent.parent)
 
@@ -19,6 +21,7 @@ def build_session(app: str = "vidsift", cores: str = "8", shuffle_partitions: in
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        CALL_SITES: "false",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": os.environ.get("VIDSIFT_DRIVER_MEMORY", "8g"),
@@ -37,9 +40,22 @@ def ship(spark: SparkSession) -> SparkSession:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *[x for x in have if x]])
     if spark.conf.get(ARROW_ROWS, "10000") == "10000":
         spark.conf.set(ARROW_ROWS, "2000")  # rows here hold whole texts
+    if spark.conf.get(CALL_SITES, None) is None:
+        spark.conf.set(CALL_SITES, "false")  # a call site for each of some thousand expressions takes longer than the query
     return spark
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """The rows of a frame that several branches read, written once to the shared checkpoint folder."""
+    spark = df.sparkSession
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if spark.sparkContext.getCheckpointDir() is None:
+        if not at and not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and the executors share")
+        spark.sparkContext.setCheckpointDir(at or "/tmp/checkpoints")
+    return df.checkpoint()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the provided Parquet tables, read by Spark so that any store works."""
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
