@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import relational as R
 from ..registry import query
-from ..session import table
+from ..session import cut, table
 
 
 @query("SELECT o_orderkey, o_totalprice, c_name, c_mktsegment FROM orders LEFT JOIN customer ON c_custkey = o_custkey")
@@ -149,36 +149,51 @@ def j17_entity_candidates(spark, sf) -> DataFrame:
 
 
 @query("""
-WITH w AS (SELECT doc_id, source, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]{2,}')) AS t FROM documents WHERE n_chars < 400)
-SELECT a.doc_id AS a, b.doc_id AS b, round(len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t)))::DOUBLE, 4) AS jaccard
-FROM w a JOIN w b ON a.source = b.source AND a.doc_id < b.doc_id WHERE len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t)))::DOUBLE >= 0.5""")
+WITH w AS (SELECT doc_id, source, list_sort(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]{2,}'))) AS t FROM documents),
+c AS (SELECT source, t, min(doc_id) AS class_id, count(*) AS n FROM w GROUP BY 1, 2),
+l AS (SELECT a.class_id, sum(b.n) AS links FROM c a JOIN c b ON a.source IS NOT DISTINCT FROM b.source AND a.class_id <> b.class_id AND 5 * len(b.t) >= 4 * len(a.t) AND 5 * len(a.t) >= 4 * len(b.t)
+  WHERE len(a.t) > 0 AND 5 * len(list_intersect(a.t, b.t)) >= 4 * len(list_distinct(list_concat(a.t, b.t))) GROUP BY 1)
+SELECT w.doc_id, c.class_id, (c.n - 1 + coalesce(l.links, 0))::BIGINT AS links
+FROM w JOIN c ON w.source IS NOT DISTINCT FROM c.source AND w.t = c.t LEFT JOIN l ON l.class_id = c.class_id""")
 def j19_similar_pairs(spark, sf) -> DataFrame:
-    """Texts of one source whose word sets overlap by half or more.
+    """One row per document: its class (documents of its source with the same words; the least id) and how many other
+    documents of the source have four fifths of the words in common with it, copies counted, none listed.
 
-    Pairs meet on a rare shared word: of two sets with that overlap, each holds a common word among its rarest
-    n - ceil(n / 2) + 1, so only those words are joined on (prefix filter), then the overlap is verified.
+    Classes meet on a rare shared word: of two sets with that overlap, each holds a common word among its rarest
+    n - ceil(0.8 n) + 1, so only those words are joined on (prefix filter), with sizes that can reach the overlap; the
+    whole sets then decide. Rows with one rare word are dealt over several tasks by a salt on one side.
     """
-    d = table(spark, sf, "documents").where("n_chars < 400").select("doc_id", "source", F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]{2,}"), F.lit(0))).alias("t")).where("size(t) > 0")
-    words = d.select("doc_id", "source", F.explode("t").alias("w"))
-    rare = words.groupBy("source", "w").agg(F.count("*").alias("n"))
-    w = Window.partitionBy("doc_id").orderBy("n", "w")
-    ranked = words.join(rare, ["source", "w"]).withColumn("rn", F.row_number().over(w)).withColumn("size", F.count("*").over(Window.partitionBy("doc_id")))
-    prefix = ranked.where("rn <= size - ceil(size / 2) + 1").select("doc_id", "source", "w")
-    x, y = prefix.alias("x"), prefix.alias("y")
-    pairs = x.join(y, (F.col("x.source") == F.col("y.source")) & (F.col("x.w") == F.col("y.w")) & (F.col("x.doc_id") < F.col("y.doc_id"))).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
-    s = lambda k, t: d.select(F.col("doc_id").alias(k), F.col("t").alias(t))
-    j = F.size(F.array_intersect("ta", "tb")) / F.size(F.array_union("ta", "tb"))
-    return pairs.join(s("a", "ta"), "a").join(s("b", "tb"), "b").where(j >= 0.5).select("a", "b", F.round(j, 4).alias("jaccard"))
-
-
-@query("""
-SELECT d.doc_id, coalesce(nullif(c.text, ''), nullif(b.text, ''), substr(d.text, 1, 40)) AS best_text, CASE WHEN coalesce(c.text, '') <> '' THEN 'thread' WHEN coalesce(b.text, '') <> '' THEN 'benchmark' ELSE 'caption' END AS origin
+    words = F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit("[a-z0-9]{2,}"), F.lit(0))))
+    d = table(spark, sf, "documents").select("doc_id", F.struct("source", words.alias("t")).alias("k")).withColumn("h", F.sha2(F.to_json("k"), 256))
+    classes = cut(d.groupBy("h").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n"), F.first("k").alias("k")))
+    full = classes.select("class_id", "n", "k.source", "k.t", F.size("k.t").alias("size")).where("size > 0")
+    each = full.select("class_id", "source", "size", F.explode("t").alias("w"))
+    often = each.groupBy("source", "w").agg(F.count("*").alias("often"))
+    by = Window.partitionBy("class_id").orderBy("often", "w")
+    e, o = each.alias("e"), often.alias("o")
+    met = e.join(o, F.col("e.source").eqNullSafe(F.col("o.source")) & (F.col("e.w") == F.col("o.w"))).select("e.*", "o.often")
+    prefix = cut(met.withColumn("rn", F.row_number().over(by)).where("rn <= size - ceil(0.8 * size) + 1").select("class_id", "source", "size", "w"))
+    salts = 4
+    x = prefix.withColumn("salt", F.pmod(F.xxhash64("class_id"), F.lit(salts)).cast("int")).alias("x")
+    y = prefix.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).alias("y")
+    fits = (F.col("x.salt") == F.col("y.salt")) & F.col("x.source").eqNullSafe(F.col("y.source")) & (F.col("x.w") == F.col("y.w")) & (F.col("x.class_id") < F.col("y.class_id")) & F.expr("5 * x.size >= 4 * y.size and 5 * y.size >= 4 * x.size")
+    pairs = x.join(y, fits).select(F.col("x.class_id").alias("a"), F.col("y.class_id").alias("b")).distinct()
+    side = lambda i: full.select(F.col("class_id").alias(i), F.col("t").alias(f"t{i}"), F.col("n").alias(f"n{i}"))
+    alike = F.size(F.array_intersect("ta", "tb")) * 5 >= F.size(F.array_union("ta", "tb")) * 4
+    linked = pairs.join(side("a"), "a").join(side("b"), "b").where(alike)
+    links = linked.select(F.explode(F.array(F.struct(F.col("a").alias("class_id"), F.col("nb").alias("n")), F.struct(F.col("b").alias("class_id"), F.col("na").alias("n")))).alias("x")).groupBy("x.class_id").agg(F.sum("x.n").alias("links"))
+    counted = classes.select("h", "class_id", "n").join(links, "class_id", "left").select("h", "class_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
+    return d.select("doc_id", "h").join(counted, "h").select("doc_id", "class_id", "links")
+
+
+@query("""
+SELECT d.doc_id, coalesce(nullif(c.text, ''), nullif(b.text, ''), nullif(d.text, '')) AS best_text, CASE WHEN coalesce(c.text, '') <> '' THEN 'thread' WHEN coalesce(b.text, '') <> '' THEN 'benchmark' ELSE 'caption' END AS origin
 FROM documents d LEFT JOIN (SELECT conv_id, arg_min(text, turn) AS text FROM conversations GROUP BY 1) c ON c.conv_id = d.doc_id LEFT JOIN benchmark b ON b.item_id = d.doc_id""")
 def j20_first_filled_source(spark, sf) -> DataFrame:
     c = table(spark, sf, "conversations").groupBy(F.col("conv_id").alias("doc_id")).agg(F.min_by("text", "turn").alias("ct"))
     b = table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), F.col("text").alias("bt"))
     d = table(spark, sf, "documents").select("doc_id", "text").join(c, "doc_id", "left").join(b, "doc_id", "left")
-    return d.select("doc_id", R.first_filled(F.col("ct"), F.col("bt"), F.substr("text", F.lit(1), F.lit(40))).alias("best_text"), F.when(~R.missing("ct"), "thread").when(~R.missing("bt"), "benchmark").otherwise("caption").alias("origin"))
+    return d.select("doc_id", R.first_filled(F.col("ct"), F.col("bt"), F.col("text")).alias("best_text"), F.when(~R.missing("ct"), "thread").when(~R.missing("bt"), "benchmark").otherwise("caption").alias("origin"))
 
 
 @query("""

@@ -141,9 +141,9 @@ def s13_profile_defaults(spark, sf) -> DataFrame:
     return table(spark, sf, "customer").select("c_custkey", F.coalesce("c_name", F.lit("")).alias("display_name"), F.when(b < 0, 0.0).otherwise(b).alias("followers"), (b < 0).cast("int").alias("api_failed"), F.when(b < 0, "failed").when(b == 0, "not_found").otherwise("found").alias("lookup"))
 
 
-@query("SELECT doc_id, 0 AS frame_number, text AS ocr_text, NULL::DOUBLE AS confidence, 'web' AS source FROM documents WHERE coalesce(text, '') <> '' AND n_chars < 150")
+@query("SELECT doc_id, 0 AS frame_number, text AS ocr_text, NULL::DOUBLE AS confidence, 'web' AS source FROM documents WHERE coalesce(text, '') <> ''")
 def s25_web_text_frame(spark, sf) -> DataFrame:
-    d = table(spark, sf, "documents").where(~R.missing("text") & (F.col("n_chars") < 150))
+    d = table(spark, sf, "documents").where(~R.missing("text"))
     return d.select("doc_id", F.lit(0).alias("frame_number"), F.col("text").alias("ocr_text"), F.lit(None).cast("double").alias("confidence"), F.lit("web").alias("source"))
 
 

@@ -122,28 +122,30 @@ def u02_union_distinct(spark, sf) -> DataFrame:
     return d.select(F.col("source").alias("k")).union(d.select(F.col("lang").alias("k"))).distinct()
 
 
-def first_words(n: int, start: int = 1):
-    return F.slice(F.filter(F.split(F.lower("text"), r"\s+"), lambda x: x != ""), start, n)
+def halves(df: DataFrame) -> DataFrame:
+    """(doc_id, a, b): the words of the first and of the second half of each whole text."""
+    w = df.select("doc_id", F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"\s+"), lambda x: x != "").alias("w")).withColumn("h", F.ceil(F.size("w") / 2).cast("int"))
+    return w.select("doc_id", F.slice("w", F.lit(1), F.col("h")).alias("a"), F.slice("w", F.col("h") + 1, F.size("w")).alias("b"))
 
 
-WORDS_SQL = r"list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '')"
+HALVES_SQL = r"""k AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\s+'), lambda x: x <> '') AS k FROM documents),
+w AS (SELECT doc_id, list_slice(k, 1, (len(k) + 1) // 2) AS a, list_slice(k, (len(k) + 1) // 2 + 1, len(k)) AS b FROM k)"""
 
 
 @query(f"""
-WITH w AS (SELECT doc_id, list_slice({WORDS_SQL}, 1, 8) AS a, list_slice({WORDS_SQL}, 5, 12) AS b FROM documents),
-l AS (SELECT doc_id, list_concat(a, b) AS c FROM w),
-u AS (SELECT doc_id, word, min(i) AS i FROM (SELECT doc_id, unnest(c) AS word, generate_subscripts(c, 1) AS i FROM l) GROUP BY 1, 2)
-SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS merged FROM u GROUP BY 1""")
+WITH {HALVES_SQL},
+u AS (SELECT doc_id, word, min(i) AS i FROM (SELECT doc_id, unnest(list_concat(b, a)) AS word, generate_subscripts(list_concat(b, a), 1) AS i FROM w) GROUP BY 1, 2),
+m AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS merged FROM u GROUP BY 1)
+SELECT doc_id, coalesce(merged, '') AS merged FROM w LEFT JOIN m USING (doc_id)""")
 def u03_ordered_union(spark, sf) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", F.array_join(F.array_union(first_words(8), first_words(8, 5)), " ").alias("merged"))
+    return halves(table(spark, sf, "documents")).select("doc_id", F.array_join(F.array_union("b", "a"), " ").alias("merged"))
 
 
 @query(f"""
-WITH w AS (SELECT doc_id, list_distinct(list_slice({WORDS_SQL}, 1, 40)) AS a, list_distinct(list_slice({WORDS_SQL}, 21, 60)) AS b FROM documents)
-SELECT doc_id, len(list_intersect(a, b))::BIGINT AS common, len(list_distinct(list_concat(a, b)))::BIGINT AS either,
-       CASE WHEN len(list_concat(a, b)) = 0 THEN 1.0 ELSE round(len(list_intersect(a, b))::DOUBLE / len(list_distinct(list_concat(a, b))), 4) END AS jaccard FROM w""")
+WITH {HALVES_SQL}, s AS (SELECT doc_id, len(list_intersect(a, b))::BIGINT AS common, len(list_distinct(list_concat(a, b)))::BIGINT AS either FROM w)
+SELECT *, CASE WHEN either = 0 THEN 1.0 ELSE round(common::DOUBLE / either, 4) END AS jaccard FROM s""")
 def u04_jaccard(spark, sf) -> DataFrame:
-    d = table(spark, sf, "documents").select("doc_id", first_words(40).alias("a"), first_words(40, 21).alias("b"))
+    d = halves(table(spark, sf, "documents"))
     c, e = F.size(F.array_intersect("a", "b")), F.size(F.array_union("a", "b"))
     return d.select("doc_id", c.cast("long").alias("common"), e.cast("long").alias("either"), F.when(e == 0, 1.0).otherwise(F.round(F.try_divide(c.cast("double"), e), 4)).alias("jaccard"))
 
