@@ -93,3 +93,15 @@ def rollup(rows: DataFrame, key: str) -> DataFrame:
     listed = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "emoji", "name", "category", "sources")))
     joined = lambda a: F.array_join(a, " | ")
     return per.groupBy(key).agg(listed.alias("l")).select(key, joined(F.col("l.emoji")).alias("emoji_characters"), joined(F.col("l.name")).alias("emoji_descriptions"), joined(F.array_distinct("l.category")).alias("emoji_category"), joined(F.array_distinct(F.flatten("l.sources"))).alias("emoji_source"), (-F.aggregate("l.m", F.lit(0).cast("long"), lambda a, x: a + x)).alias("emoji_count"))
+
+
+def context_words(df: DataFrame, key: str, text: Column, glyph: str, chars: int = 80, words: int = 4, most: int = 20) -> DataFrame:
+    """(key, words): the words next to each occurrence of a glyph, each once, ``most`` at most (the cap is the feature)."""
+    pieces = df.select(key, F.split(text, re.escape(glyph)).alias("p")).where(F.size("p") > 1)
+    near = lambda x: F.filter(F.split(x, r"\s+"), lambda w: w != "")
+    hits = F.sequence(F.lit(1), F.size("p") - 1)
+    # the pieces that can lie within so many characters: each has a glyph between it and the next
+    before = F.transform(hits, lambda i: F.reverse(F.slice(F.reverse(near(F.right(F.array_join(F.slice("p", F.greatest(F.lit(1), i - chars), F.least(i, F.lit(chars + 1))), glyph), F.lit(chars)))), 1, words)))
+    after = F.transform(hits, lambda i: F.slice(near(F.left(F.array_join(F.slice("p", i + 1, F.lit(chars + 1)), glyph), F.lit(chars))), 1, words))
+    found = F.array_distinct(F.flatten(F.concat(before, after)))
+    return pieces.select(key, F.slice(found, 1, most).alias("words")).where(F.size("words") > 0)

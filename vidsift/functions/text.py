@@ -159,3 +159,32 @@ def webvtt_text(c: Column) -> Column:
     """Caption lines without header, notes, cue numbers and timings; repeats of the line before go."""
     lines = F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), r"\r?\n"), strip), lambda x: (x != "") & ~x.rlike(r"^(WEBVTT|NOTE)|-->|^\d+$"))
     return F.array_join(F.filter(lines, lambda x, i: (i == 0) | (F.get(lines, i - 1) != x)), " ")
+
+
+def json_search(df: DataFrame, key: str, raw: str, word: str) -> DataFrame:
+    """(key, path, match): where a JSON text of any depth has the word in a key or in a text value."""
+    import json
+
+    import pyarrow as pa
+
+    def walk(node, at):
+        pairs = node.items() if isinstance(node, dict) else enumerate(node) if isinstance(node, list) else ()
+        for name, child in pairs:
+            here = f"{at}.{name}" if isinstance(node, dict) else f"{at}[{name}]"
+            if isinstance(node, dict) and word in name:
+                yield here, "key"
+            if isinstance(child, str) and word in child:
+                yield here, "value"
+            yield from walk(child, here)
+
+    def rows(batches):
+        for b in batches:
+            out = []
+            for k, text in zip(b.column(key).to_pylist(), b.column(raw).to_pylist(), strict=True):
+                try:
+                    out += [(k, *hit) for hit in walk(json.loads(text or "null"), "$")]
+                except ValueError:
+                    continue  # a broken text holds nothing
+            yield pa.record_batch([pa.array([x[0] for x in out], b.schema.field(key).type), pa.array([x[1] for x in out], pa.string()), pa.array([x[2] for x in out], pa.string())], names=[key, "path", "match"])
+
+    return df.select(key, raw).mapInArrow(rows, f"{key} {dict(df.dtypes)[key]}, path string, match string")

@@ -177,7 +177,7 @@ def q01_data_quality_suite(spark, sf) -> DataFrame:
 
 @query("""
 SELECT strftime(ts, '%Y-%m-%d %H') AS hour, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2""")
-def x01_hourly_windows(spark, sf) -> DataFrame:
+def e01_hourly_windows(spark, sf) -> DataFrame:
     """Tumbling windows over the log (an extension)."""
     w = table(spark, sf, "events").groupBy(F.window(F.col("ts").cast("timestamp"), "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
     return w.select(F.date_format("w.start", "yyyy-MM-dd HH").alias("hour"), "event_type", "n", "total")
@@ -187,7 +187,7 @@ def x01_hourly_windows(spark, sf) -> DataFrame:
 WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS new FROM events),
 s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS id FROM g)
 SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS began, count(*) AS n FROM s GROUP BY user_id, id""")
-def x02_sessions(spark, sf) -> DataFrame:
+def e02_sessions(spark, sf) -> DataFrame:
     """Sessions with a gap of six hours (an extension)."""
     e = table(spark, sf, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
     s = e.groupBy("user_id", F.session_window("ts", "6 hours")).agg(F.min("ts").alias("b"), F.count("*").alias("n"))
@@ -196,7 +196,7 @@ def x02_sessions(spark, sf) -> DataFrame:
 
 @query("""
 SELECT event_id, user_id, (SELECT max(o_orderkey) FROM orders WHERE o_custkey = user_id AND o_orderkey <= event_id) AS last_order FROM events""")
-def x03_as_of_lookup(spark, sf) -> DataFrame:
+def e03_as_of_lookup(spark, sf) -> DataFrame:
     """The newest order key of the user up to each event, by a union and one window (an extension)."""
     e = table(spark, sf, "events").select(F.col("event_id").alias("k"), "user_id", F.lit(None).cast("long").alias("o"), F.lit(1).alias("side"))
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("o"), F.lit(0).alias("side"))

@@ -45,14 +45,19 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which all nodes share; a local session may do without the setting."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at and not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and the executors share")
+    return (at or "/tmp/checkpoints").rstrip("/")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows of a frame that several branches read, written once to the shared checkpoint folder."""
     spark = df.sparkSession
-    at = spark.conf.get("spark.checkpoint.dir", None)
     if spark.sparkContext.getCheckpointDir() is None:
-        if not at and not re.match(r"local($|\[)", spark.sparkContext.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and the executors share")
-        spark.sparkContext.setCheckpointDir(at or "/tmp/checkpoints")
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 

@@ -81,3 +81,15 @@ def hydration(df: DataFrame, html: str = "html", script_id: str = "__UNIVERSAL_D
     """Adds ``item``: the JSON at ``path`` of the page's hydration script, null without one."""
     blob = F.regexp_extract(html, rf'(?s)<script[^>]*id="{re.escape(script_id)}"[^>]*>(.*?)</script>', 1)
     return df.withColumn("item", F.get_json_object(F.nullif(blob, F.lit("")), path))
+
+
+def first_usable(spark: SparkSession, files: dict[str, str]) -> tuple[str | None, int]:
+    """Of CSV exports in order of preference the first that has a row with any value: (its name, such rows)."""
+    for name, path in files.items():
+        df = spark.read.csv(path, header=True)
+        some = F.lit(False)
+        for c in df.columns:
+            some = some | (F.coalesce(F.col(f"`{c}`"), F.lit("")) != "")
+        if rows := df.where(some).count():
+            return name, rows
+    return None, 0

@@ -17,20 +17,50 @@ def _fs(spark: SparkSession, path: str):
 
 
 def swap(df: DataFrame, path: str) -> None:
-    """Write beside the table, then rename; readers see the old rows or the new. One writer at a time."""
+    """Write beside the table, then rename; if the new rows cannot take its place the old ones come back.
+
+    Between the two renames the path does not exist, so readers of that instant fail and try again. One writer at a time.
+    """
     spark = df.sparkSession
     fresh = f"{path.rstrip('/')}__{uuid4().hex}"
     df.write.parquet(fresh)
     fs, target = _fs(spark, path)
     new = spark._jvm.org.apache.hadoop.fs.Path(fresh)
     old = spark._jvm.org.apache.hadoop.fs.Path(f"{fresh}_old")
-    if fs.exists(target):
-        fs.rename(target, old)
+    held = fs.exists(target)
+    if held and not fs.rename(target, old):
+        raise OSError(f"{path} could not be set aside")
     if not fs.rename(new, target):
+        if held:
+            fs.rename(old, target)
         raise OSError(f"{fresh} could not be renamed to {path}")
     fs.delete(old, True)
 
 
+def backed_up(spark: SparkSession, path: str) -> str:
+    """Rename the table at ``path`` to a copy of its own and leave an empty one of its schema; the copy's path."""
+    rows = spark.read.parquet(path)
+    copy = f"{path.rstrip('/')}__backup_{uuid4().hex}"
+    fs, target = _fs(spark, path)
+    schema = rows.schema
+    if not fs.rename(target, spark._jvm.org.apache.hadoop.fs.Path(copy)):
+        raise OSError(f"{path} could not be renamed")
+    spark.createDataFrame([], schema).write.parquet(path)
+    return copy
+
+
+def dropped(spark: SparkSession, *paths: str) -> None:
+    """Delete tables; absent ones are no error."""
+    for path in paths:
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
+
+
+def widened(df: DataFrame, **columns: str) -> DataFrame:
+    """Columns of given types that the frame lacks are added as nulls; others stay as they are."""
+    return df.withColumns({c: F.lit(None).cast(kind) for c, kind in columns.items() if c not in df.columns})
+
+
 def upsert(rows: DataFrame, path: str, key: str, order: Sequence[Column]) -> None:
     """Replace rows by key in the table at ``path``, which may not exist yet."""
     spark = rows.sparkSession
@@ -67,3 +97,8 @@ def gate(df: DataFrame, day: str, least_failed: int = 0, date: str = "collection
     c = df.agg(F.count("*").alias("rows"), F.count_if(F.coalesce(F.col(date).cast("string"), F.lit("")) != day).alias("other_days"), F.count_if(F.col(status) == "api_failed").alias("failed"))
     why = F.when(F.col("rows") == 0, "no rows").when(F.col("other_days") > 0, "rows of other days").when(F.col("failed") < least_failed, "fewer failed rows than failed handles")
     return c.withColumn("reason", why)
+
+
+def there(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
