@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, running_sum
+from .common import Scratch, fresh, running_sum
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -102,13 +102,14 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", source: str = "sour
     goals = targets(scratch, sized.select("source", "size"))
     before = running_sum(scratch, sized, [F.col("key").asc(), F.col("size").asc(), F.col("doc_id").asc()], "size", "before", group="source")
     full, rest = _epochs()
-    g = goals.withColumnRenamed("source", "__source")
+    own_, again, source_, full_, cut_, cs = fresh(docs.columns, "__own", "__again", "__source", "__full", "__cut", "__cs")
+    g = goals.withColumnRenamed("source", source_)
     place = F.struct(F.col("key"), F.col("size"), F.col("doc_id").isNotNull().alias("has"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"))
-    inside = before.join(g, F.col("source").eqNullSafe(F.col("__source"))).where(F.col("before") + F.col("size") / 2 <= rest)
-    cuts = inside.groupBy("source").agg(F.max(place).alias("cut")).withColumnRenamed("source", "__cs")
-    plan = g.withColumn("__full", full).join(cuts, F.col("__source").eqNullSafe(F.col("__cs")), "left").select("__source", "__full", F.col("cut").alias("__cut"))
+    inside = before.join(g, F.col("source").eqNullSafe(F.col(source_))).where(F.col("before") + F.col("size") / 2 <= rest)
+    cuts = inside.groupBy("source").agg(F.max(place).alias(cut_)).withColumnRenamed("source", cs)
+    plan = g.withColumn(full_, full).join(cuts, F.col(source_).eqNullSafe(F.col(cs)), "left").select(source_, full_, cut_)
     t = F.col(f"`{text}`")
     own = F.struct(sample_key(F.col(f"`{doc_id}`"), quality_weight(t)).alias("key"), size_of(t).alias("size"), F.col(f"`{doc_id}`").isNotNull().alias("has"), F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(0)).alias("id"))
-    times = (F.col("__full") + F.when(F.col("__own") <= F.col("__cut"), 1).otherwise(0)).cast("int")
-    met = docs.withColumn("__own", own).join(scratch.save(plan, "plan"), F.col(f"`{source}`").eqNullSafe(F.col("__source")))
-    return met.withColumn("__again", F.explode(F.array_repeat(F.lit(True), times))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    times = (F.col(full_) + F.when(F.col(own_) <= F.col(cut_), 1).otherwise(0)).cast("int")
+    met = docs.withColumn(own_, own).join(scratch.save(plan, "plan"), F.col(f"`{source}`").eqNullSafe(F.col(source_)))
+    return met.withColumn(again, F.explode(F.array_repeat(F.lit(True), times))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,14 +1,18 @@
 """Secret scan: fixed patterns, and a linear-chain conditional random field that adds what they miss.
 
 Tokens are runs of non-blank characters, tagged begin, inside or outside a secret from their shape, their neighbours'
-words and features of the file, decoded by Viterbi. The field is trained on a bounded sample of documents whose tags
-the patterns give. A token whose score for "outside" leads by more than any change of its transitions could make good
+words and features of the file, decoded by Viterbi. The field is trained on a bounded sample of documents, whose tags
+the patterns give, and on lessons made from them: secrets of other key names and shapes set into their text, and tokens
+that only look like secrets, so that it finds what the patterns do not know. A token whose score for "outside" leads by more than any change of its transitions could make good
 is outside in every best path, so whole texts are decoded exactly by running Viterbi over what lies between such tokens.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
+import random
 import re
 from dataclasses import dataclass
 
@@ -18,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, bounded_sample, strings, sums, text_batches, words
+from .common import WORD, strings, sums, text_batches, tidy, words
 
 # Fixed patterns of the base scan.
 KEYS = "(password|passwd|secret|token|api_?key)"
@@ -150,12 +154,77 @@ def gold(text: str) -> list[int]:
     return tags
 
 
-def fit(texts: list[str], width: int = 16, most: int = 4000, rounds: int = 150, l2: float = 2e-3, seed: int = 5) -> Field:
-    """Train on windows of ``width`` tokens: those around pattern hits and as many drawn elsewhere, ``most`` at most."""
-    first, codes, dictionary = words(pa.array(texts, pa.large_string()))
+NAMES = ("access_key", "auth", "authorization", "bearer", "client_key", "cookie", "credential", "key", "license", "login", "passphrase", "pass", "private_key", "pwd", "session", "signature", "webhook")
+JOINTS = ("=", ":", " = ", ": ", " ", " is ", " := ", '="', ": '", " -> ")
+LETTERS, DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+
+
+def made_secret(rng: random.Random) -> str:
+    """A token of one of several shapes that secrets have."""
+    draw = lambda pool, a, b: "".join(rng.choices(pool, k=rng.randint(a, b)))
+    every = LETTERS + LETTERS.upper() + DIGITS
+    prefix = draw(LETTERS, 2, 4) + rng.choice("_-.") + (draw(LETTERS, 3, 4) + "_" if rng.random() < 0.3 else "")
+    shape = rng.randrange(7)
+    if shape == 0:
+        return draw(every, 20, 44)
+    if shape == 1:
+        return prefix + draw(every, 16, 40)
+    if shape == 2:
+        return draw(every + "+/", 24, 60) + "=" * rng.randrange(3)
+    if shape == 3:
+        return draw(DIGITS + "ABCDEF", 20, 48)
+    if shape == 4:
+        return "-".join(draw(DIGITS + "abcdef", n, n) for n in (8, 4, 4, 4, 12))
+    if shape == 5:
+        return draw(LETTERS + DIGITS, 18, 40)
+    return draw(LETTERS.upper() + DIGITS, 16, 32)
+
+
+def made_decoy(rng: random.Random, plain: list[str]) -> str:
+    """Tokens that look like a secret or its key and are none; ``plain`` are words of real text."""
+    w = lambda: re.sub("[^A-Za-z]", "", rng.choice(plain)) or "word"
+    n = lambda: str(rng.randrange(10 ** rng.randint(1, 9)))
+    return rng.choice([
+        lambda: rng.choice(NAMES) + rng.choice(JOINTS) + w(), lambda: rng.choice(("password", "token", "secret", "api key")) + rng.choice((" ", ": ", " is ")) + w(), lambda: f"{w()}.{w()}{n()}@{w()}.com",
+        lambda: f"https://{w()}.org/{w()}/{n()}?{w()}={n()}", n, lambda: f"20{rng.randint(10, 29)}-0{rng.randint(1, 9)}-1{rng.randint(0, 9)}T10:{rng.randint(10, 59)}:12Z", lambda: w() + w().title() + w().title() + w().title(),
+        lambda: "_".join((w(), w(), w(), w())), lambda: f"+{n()}-{n()}-{n()}", lambda: w() + w() + w() + w(), lambda: f"{w()}{n()[:3]}", lambda: f"v{n()[:1]}.{n()[:2]}.{n()[:2]}-{w()}", lambda: f"/{w()}/{w()}/{w()}_{n()[:4]}.{w()[:3]}",
+    ])()
+
+
+def lessons(texts: list[str], most: int, seed: int) -> tuple[list[str], list[int]]:
+    """Texts and the tags of all their tokens: the given ones by the patterns, then ``most`` made from their words."""
+    rng = random.Random(seed)
+    out, tags = list(texts), [t for x in texts for t in gold(x)]
+    found = [re.findall(WORD, t) for t in texts]
+    found = [f for f in found if len(f) >= 8]
+    plain = [w for f in found[:400] for w in f[:200]] or ["word"]
+    for _ in range(most if found else 0):
+        f = rng.choice(found)
+        at = rng.randrange(len(f))
+        body = [(w, t) for w, t in zip(f[at : at + 40], gold(" ".join(f[at : at + 40])), strict=True)]
+        for _ in range(2):
+            if rng.random() < 0.6:
+                value = made_secret(rng)
+                lead = rng.choice(NAMES) + rng.choice(JOINTS) if rng.random() < 0.8 else ""
+                piece = [(w, B if value in w else O) for w in re.findall(WORD, (rng.choice((str.lower, str.upper, str.title))(lead) + value))]
+            else:
+                piece = [(w, O) for w in re.findall(WORD, made_decoy(rng, plain))]
+            cut = rng.randrange(len(body) + 1)
+            body[cut:cut] = piece
+        out.append(" ".join(w for w, _ in body))
+        tags += [t for _, t in body]
+    return out, tags
+
+
+def fit(texts: list[str], width: int = 16, most: int = 4000, rounds: int = 110, l2: float = 1e-3, seed: int = 5) -> Field:
+    """Train on windows of ``width`` tokens of texts and lessons: those around secrets and as many drawn elsewhere,
+    ``most`` at most."""
+    taught, known = lessons(texts, most // 2, seed)
+    first, codes, dictionary = words(pa.array(taught, pa.large_string()))
     own, near = shapes(dictionary)
     file = np.repeat(file_features(first, codes, near), np.diff(first), axis=0)
-    y = np.array([t for x in texts for t in gold(x)], np.int64)
+    y = np.array(known, np.int64)
+    texts = taught
     rng = np.random.default_rng(seed)
     doc_of = np.repeat(np.arange(len(texts)), np.diff(first))
     hits = np.flatnonzero(y == B)
@@ -206,12 +275,29 @@ def fit(texts: list[str], width: int = 16, most: int = 4000, rounds: int = 150,
 
 
 def train(docs: DataFrame, text: str = "text", max_docs: int = 2000, max_chars: int = 20_000) -> Field:
-    """Fit on at most ``max_docs`` documents of at most ``max_chars`` characters each: half that may hold a match, half
-    any, each the first by a hash of the text."""
-    d = docs.select(F.col(text).alias("t")).where((F.length("t") > 0) & (F.length("t") <= max_chars))
-    maybe = F.col("t").rlike("(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]|AKIA[A-Z0-9]{14}")
-    got = bounded_sample(d.where(maybe), max_docs // 2) + bounded_sample(d, max_docs // 2)
-    return fit(sorted({r.t for r in got}))
+    """Fit on at most ``max_docs`` different texts, the first by a hash: half that may hold a match, half any.
+
+    Of a text longer than ``max_chars`` a stretch of that length is taken, about its first match or at a place that the
+    hash draws. One pass counts, one brings the sample; equal texts count once.
+    """
+    h, n = F.xxhash64("t"), F.length("t")
+    d = docs.select(F.col(text).alias("t")).where(n > 0)
+    may = F.regexp_instr("t", F.lit("(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]|AKIA[A-Z0-9]{14}"))
+    start = F.greatest(F.lit(1), F.when(F.col("may") > 0, F.col("may") - max_chars // 2).otherwise(1 + F.pmod("h", F.greatest(F.lit(1), n - max_chars)))).cast("int")
+    d = d.select("t", h.alias("h"), may.alias("may"))
+    every, hits = d.agg(F.approx_count_distinct("h", 0.02), F.approx_count_distinct(F.when(F.col("may") > 0, F.col("h")), 0.02)).first()
+    below = lambda total: F.col("h") <= min(2**63 - 1, int(-(2**63) + 1.1 * (max_docs // 2 + 50) / max(1, total) * 2**64))
+    some = d.where(below(every) | ((F.col("may") > 0) & below(hits))).select("h", (F.col("may") > 0).alias("hit"), F.substring("t", start, F.lit(max_chars)).alias("t"))
+    got = sorted(map(tuple, some.dropDuplicates(["h"]).limit(4 * max_docs).collect()))
+    half = max_docs // 2
+    return fit(sorted({t for _, _, t in [r for r in got if r[1]][:half] + got[:half]}))
+
+
+def clear_of(extra: list[tuple], held: list[tuple]) -> list[tuple]:
+    """Spans of ``extra`` that overlap none of ``held``; both by start."""
+    ends = list(itertools.accumulate((s[2] for s in held), max))
+    starts = [s[1] for s in held]
+    return [x for x in extra if not (at := bisect.bisect_left(starts, x[2])) or ends[at - 1] <= x[1]]
 
 
 def scan(docs: DataFrame, field: Field, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -243,7 +329,7 @@ def scan(docs: DataFrame, field: Field, doc_id: str = "doc_id", text: str = "tex
                     else:
                         extra.append(("crf", at[j].start(), at[j].end(), j))
                 held = base.get(i, [])
-                extra = [x[:3] for x in extra if not any(x[1] < s[2] and s[1] < x[2] for s in held)]
+                extra = clear_of([x[:3] for x in extra], held)
                 spans[i] = sorted(held + extra, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
             n = b.num_rows
             count = lambda kind: pa.array([sum(s[0] == kind for s in base.get(i, ())) for i in range(n)], pa.int64())  # noqa: B023, E731
@@ -251,4 +337,4 @@ def scan(docs: DataFrame, field: Field, doc_id: str = "doc_id", text: str = "tex
             sha = [hashlib.sha256(listed(base[i]).encode()).hexdigest() if i in base else none for i in range(n)]
             yield pa.record_batch([b.column("doc_id"), count("assign"), count("access"), count("hex"), pa.array(sha), pa.array([listed(spans.get(i, [])) for i in range(n)], pa.string())], names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(rows, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(tidy(rows), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")

@@ -23,11 +23,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, partitions, strings, text_batches, words
+from .common import Scratch, partitions, strings, text_batches, tidy, words
 
 GRAM = 8
 LEAST = 50
 GROUP = 20_000
+SALTS = 16
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
@@ -161,10 +162,13 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
             own = np.searchsorted(first, at, side="right") - 1
             yield pa.record_batch([pa.array(g.view(np.int64)), pa.array(_doc_keys(b, t)[own]), pa.array((at - first[own]).astype(np.int32))], names=["key", "doc", "pos"])
 
-    found = scratch.save(d.mapInArrow(places, "key long, doc long, pos int"), "places")
+    found = scratch.save(d.mapInArrow(tidy(places), "key long, doc long, pos int"), "places")
     shared = found.groupBy("key").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count("*").alias("n")).where("a <> b")
     deal = F.ceil(F.col("n") / GROUP).cast("int").alias("deal")
-    kept = found.join(shared.select("key", deal), "key").groupBy("doc").agg(F.collect_set(F.struct("pos", "deal")).alias("at"))
+    # a key that very many places share is read by several tasks: places are salted by their text, shared keys repeated
+    salt = F.pmod(F.xxhash64("doc", "pos"), F.lit(SALTS)).cast("int").alias("salt")
+    wanted = scratch.save(shared.select("key", deal), "shared").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    kept = found.select("*", salt).join(wanted, ["key", "salt"]).groupBy("doc").agg(F.collect_set(F.struct("pos", "deal")).alias("at"))
     kept = scratch.save(kept, "kept")
 
     def keyed(batches):
@@ -196,7 +200,7 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
                 ctx = np.concatenate([left, right], axis=1).astype("<u4")
                 yield pa.record_batch([pa.array(key[a : a + 20_000].view(np.int64)), pa.array(part[a : a + 20_000].astype(np.int32)), pa.array(doc[a : a + 20_000]), b.column("doc_id").take(pa.array(o)), pa.array(pos[a : a + 20_000].astype(np.int32)), pa.array(nl), pa.array(nr), pa.array([x.tobytes() for x in ctx], pa.binary())], names=["key", "part", "doc", "doc_id", "pos", "nl", "nr", "ctx"])
 
-    sent = met.select("doc_id", "text", "doc", "at").mapInArrow(suffixes, "key long, part int, doc long, doc_id long, pos int, nl int, nr int, ctx binary")
+    sent = met.select("doc_id", "text", "doc", "at").mapInArrow(tidy(suffixes), "key long, part int, doc long, doc_id long, pos int, nl int, nr int, ctx binary")
     dealt = sent.repartition(partitions(spark), "key", "part").sortWithinPartitions("key", "part")
 
     def compare(batches):
@@ -255,7 +259,7 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         if size:
             yield from done(pa.Table.from_batches(held).combine_chunks())
 
-    proved = scratch.save(dealt.mapInArrow(compare, "doc long, doc_id long, s int, e int, h long"), "proved")
+    proved = scratch.save(dealt.mapInArrow(tidy(compare), "doc long, doc_id long, s int, e int, h long"), "proved")
     spread = proved.where("h is not null")
     met_elsewhere = spread.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.bool_or(F.col("doc").isNull()).alias("seen")).where("seen or a <> b").select("h")
     late = spread.where("doc is not null").join(met_elsewhere, "h", "left_semi").select("doc", "doc_id", "s", "e")
