@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-CALL_SITES = "spark.python.sql.dataFrameDebugging.enabled"
+CALL_SITES = "spark.python.sql.dataFrameDebugging.enabled"  # static: only a session of our own can do without
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 ROOT = str(Path(__file__).resolve().parent.parent)
 
@@ -40,8 +40,6 @@ def ship(spark: SparkSession) -> SparkSession:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *[x for x in have if x]])
     if spark.conf.get(ARROW_ROWS, "10000") == "10000":
         spark.conf.set(ARROW_ROWS, "2000")  # rows here hold whole texts
-    if spark.conf.get(CALL_SITES, None) is None:
-        spark.conf.set(CALL_SITES, "false")  # a call site for each of some thousand expressions takes longer than the query
     return spark
 
 
