@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import text as X
 from .schemas import RAW_RESPONSE, aligned
@@ -57,7 +57,7 @@ def dated_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 def raw_responses(spark: SparkSession, path: str) -> DataFrame:
     """Landed JSON lines; a broken line is kept in _corrupt_record."""
-    return spark.read.schema(RAW_RESPONSE.add("_corrupt_record", "string")).option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+    return spark.read.schema(StructType([*RAW_RESPONSE.fields, StructField("_corrupt_record", StringType())])).option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
 
 
 def analysis_rows(spark: SparkSession, path: str, *priorities: str) -> DataFrame:
