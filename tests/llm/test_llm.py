@@ -560,6 +560,14 @@ def test_top_k(spark):
             s = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), c) for c, b in ints if c != q and len(a) == len(b))[:5]
             want += [(q, n, c, -x) for n, (x, c) in enumerate(s, 1)]
     assert got == sorted(want)
+    small = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), block=3, pack=7)
+    assert sorted(map(tuple, small.collect())) == got
+    try:  # as on a cluster whose blocks are too large for a broadcast
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        wide = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), block=3, pack=7)
+        assert sorted(map(tuple, wide.collect())) == got
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 

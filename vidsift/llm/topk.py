@@ -1,10 +1,11 @@
 """Exact top-k inner products over norm-sorted vectors.
 
-Vectors are quantised to integers and written in descending length. Queries come in blocks of bounded size; each
-block starts from the exact k-th scores among the longest vectors. A partition is read in descending length, and runs
-of vectors for which |q||x| is below every query's k-th score are skipped; within the others, vectors are turned into the axes of the corpus' second
-moments (its SVD), and the leading coordinates' product plus |q rest||x rest| (Cauchy-Schwarz) drops pairs before
-their exact integer product is taken. Bounds only drop pairs that cannot enter the result, so the result is exact.
+Vectors are quantised to integers and written in descending length, packed into rows of bounded size. Queries are
+packed likewise; each such block starts from the exact k-th scores among the longest vectors, and meets only the packs
+whose longest vector can reach one of them (|q||x|, a condition of the join). In a pair of packs, vectors are turned
+into the axes of the corpus' second moments (its SVD), and the leading coordinates' product plus |q rest||x rest|
+(Cauchy-Schwarz) drops pairs before their exact integer product is taken. Bounds only drop pairs that cannot enter the
+result, so the result is exact. All blocks are rows of one plan; no query comes to the driver.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ from .common import Scratch, partitions
 
 SCALE = 256
 BLOCK = 4096
+PACK = 512
+PACK_BYTES = 4_000_000
+HELD = 4
 SEEDS = 2048
 LARGEST = 2**24
 
@@ -129,53 +133,97 @@ class Search:
         self.floor[last[:, 0]] = np.maximum(self.floor[last[:, 0]], -last[:, 1])
 
 
-def top_k(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+def _pieces(batches, dim: int, size: int):
+    """Runs of at most ``size`` rows and about PACK_BYTES: ids, vectors, lengths."""
+    size = max(1, min(size, PACK_BYTES // (8 * dim)))
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held += [b] if b.num_rows else []
+        while sum(x.num_rows for x in held) >= size:
+            t = pa.Table.from_batches(held)
+            yield _arrays(t.slice(0, size), dim)
+            held = t.slice(size).to_batches()
+    if held:
+        yield _arrays(pa.Table.from_batches(held), dim)
+
+
+def _arrays(t: pa.Table, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return t.column("vec_id").to_numpy(), _vectors(t.column("v").to_pylist(), dim), t.column("norm").to_numpy()
+
+
+def _matrix(raw: bytes, rows: int) -> np.ndarray:
+    """A pack of vectors; as in _vectors, one with a large integer is all doubles, and its bytes begin with an 8."""
+    return np.frombuffer(raw, "<f8" if raw[0] == 8 else "<i4", offset=8).reshape(rows, -1)
+
+
+def _bytes(x: np.ndarray) -> bytes:
+    return bytes([x.itemsize] + [0] * 7) + np.ascontiguousarray(x).tobytes()
+
+
+def top_k(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_id", embedding: str = "embedding", block: int = BLOCK, pack: int = PACK) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k highest integer inner products, all if there are fewer.
 
     Queries are the rows whose id is divisible by ``every``; rows with a query's id are its own and no candidates of
     it; of rows that repeat a query's id the least vector asks. Other repeated rows each count. Vectors of different
-    lengths are not compared. Ties go to the smaller vec_id. An empty table gives no rows.
+    lengths are not compared; each length is a search of its own, with its own axes. Ties go to the smaller vec_id. An
+    empty table gives no rows. block and pack bound the queries and the vectors of a pair of packs.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark)
+    work = scratch.inner()
     order = [F.col("norm").desc(), F.col("vec_id").asc()]
-    raw = scratch.save(quantised(vectors, vec_id, embedding), "integers")
+    raw = work.save(quantised(vectors, vec_id, embedding), "integers")
     data = scratch.save(raw.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order), "by_length")
-    found = []
-    for dim in [r.dim for r in data.select("dim").distinct().orderBy("dim").collect()]:
-        own = data.where(F.col("dim") == dim)
-        turn = axes(own, dim)
-        n = own.count()
-        least = own.agg(F.percentile_approx("norm", 1 - SEEDS / n, 10_000)).first()[0] if n > SEEDS else -1.0
-        seeds = sorted(own.where(F.col("norm") >= least).limit(2 * SEEDS).collect(), key=lambda r: -r.norm)  # any rows do, long ones do better
-        seed_ids, seed_x, seed_norm = np.array([r.vec_id for r in seeds]), _vectors([r.v for r in seeds], dim), np.array([r.norm for r in seeds])
-        asked = own.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v")).orderBy("vec_id")
-        block: list = []
-        for r in [*asked.toLocalIterator(), None]:
-            if r is not None:
-                block.append(r)
-            if block and (r is None or len(block) == BLOCK):
-                found.append(_search(own, dim, turn, k, np.array([x.vec_id for x in block]), _vectors([x.v for x in block], dim), (seed_ids, seed_x, seed_norm)))
-                block = []
+    work.drop()
+    found = [_search(scratch, data.where(F.col("dim") == r.dim), r.dim, k, every, block, pack) for r in data.select("dim").distinct().orderBy("dim").collect()]
     if not found:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _search(data: DataFrame, dim: int, turn: np.ndarray, k: int, ids: np.ndarray, q: np.ndarray, seeds: tuple) -> DataFrame:
-    first = Search(ids, q, turn, k)
-    for a in range(0, len(seeds[0]), 512):
-        first.add(seeds[0][a : a + 512], seeds[1][a : a + 512], seeds[2][a : a + 512])
-    floor = first.floor
-
-    def rows(batches):
-        s = Search(ids, q, turn, k, floor)
+def _search(scratch: Scratch, own: DataFrame, dim: int, k: int, every: int, block: int, pack: int) -> DataFrame:
+    turn = axes(own, dim)
+    n = own.count()
+    least = own.agg(F.percentile_approx("norm", 1 - SEEDS / n, 10_000)).first()[0] if n > SEEDS else -1.0
+    got = sorted(own.where(F.col("norm") >= least).limit(2 * SEEDS).collect(), key=lambda r: -r.norm)  # any rows do, long ones do better
+    seeds = np.array([r.vec_id for r in got]), _vectors([r.v for r in got], dim), np.array([r.norm for r in got])
+
+    def blocks(batches):
+        for ids, q, _ in _pieces(batches, dim, block):
+            first = Search(ids, q, turn, k)
+            for a in range(0, len(got_ids := seeds[0]), PACK):
+                first.add(got_ids[a : a + PACK], seeds[1][a : a + PACK], seeds[2][a : a + PACK])
+            reach = np.full(len(ids), -np.inf)
+            some = first.norm > 0
+            reach[some] = (first.floor[some] - 1e-6) / first.norm[some]
+            need = reach.min()
+            yield pa.record_batch([pa.array([x], t) for x, t in ((need - 1e-6 * abs(need) if np.isfinite(need) else need, pa.float64()), (ids.tobytes(), pa.binary()), (_bytes(q), pa.binary()), (first.floor.tobytes(), pa.binary()))], names=["need", "ids", "q", "floor"])
+
+    def packs(batches):
+        for ids, x, norms in _pieces(batches, dim, pack):
+            yield pa.record_batch([pa.array([x], t) for x, t in ((norms.max(), pa.float64()), (ids.tobytes(), pa.binary()), (_bytes(x), pa.binary()), (norms.tobytes(), pa.binary()))], names=["top", "vec_ids", "x", "norms"])
+
+    def best(s: Search) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(s.ids[s.best[:, 0]], pa.int64()), pa.array(s.best[:, 2], pa.int64()), pa.array(-s.best[:, 1], pa.int64())], names=["query_id", "vec_id", "score"])
+
+    def pairs(batches):
+        held: dict[bytes, Search] = {}
         for b in batches:
-            v, x, n = b.column("vec_id").to_numpy(), _vectors(b.column("v").to_pylist(), dim), b.column("norm").to_numpy()
-            # a scan may put pieces of files together, so a batch that is too short does not end the task
-            for a in range(0, len(v), 512):
-                s.add(v[a : a + 512], x[a : a + 512], n[a : a + 512])
-        yield pa.record_batch([pa.array(ids[s.best[:, 0]], pa.int64()), pa.array(s.best[:, 2], pa.int64()), pa.array(-s.best[:, 1], pa.int64())], names=["query_id", "vec_id", "score"])
-
-    return data.select("vec_id", "v", "norm").mapInArrow(rows, "query_id long, vec_id long, score long")
+            for ids, q, floor, vec_ids, x, norms in zip(*(b.column(c).to_pylist() for c in ("ids", "q", "floor", "vec_ids", "x", "norms")), strict=True):
+                if ids not in held:
+                    if len(held) == HELD:
+                        yield best(held.pop(next(iter(held))))
+                    numbers = np.frombuffer(ids, np.int64)
+                    held[ids] = Search(numbers, _matrix(q, len(numbers)), turn, k, np.frombuffer(floor))
+                v = np.frombuffer(vec_ids, np.int64)
+                held[ids].add(v, _matrix(x, len(v)), np.frombuffer(norms))
+        for s in held.values():
+            yield best(s)
+
+    asking = own.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("norm", F.lit(0.0))
+    parts = max(1, -(-own.where(F.col("vec_id") % every == 0).count() // block))
+    asked = scratch.save(asking.repartition(parts, "vec_id").mapInArrow(blocks, "need double, ids binary, q binary, floor binary"), "blocks")
+    packed = scratch.save(own.select("vec_id", "v", "norm").mapInArrow(packs, "top double, vec_ids binary, x binary, norms binary"), "packs")
+    met = asked.join(packed, F.col("top") >= F.col("need"))
+    return met.select("ids", "q", "floor", "vec_ids", "x", "norms").mapInArrow(pairs, "query_id long, vec_id long, score long")
