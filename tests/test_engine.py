@@ -57,6 +57,9 @@ def test_text_functions(spark):
     assert one(spark, text.keyword_list, '["news","trump"]', "a, B,,a", None) == [["news", "trump"], ["a", "b"], []]
     assert one(spark, lambda c: text.merge_lists(text.keyword_list(c), F.array(F.lit("trump"), F.lit("ice"))), '["news","trump"]') == [["news", "trump", "ice"]]
     assert one(spark, text.handle, " @@Some ", None) == ["some", None]
+    assert one(spark, text.username_from, "https://www.example.com/@Some.User?x=1", "@Name_1", "plain", "bad name", "https://x.example/@two/video/3") == ["some.user", "name_1", "plain", "", "two"]
+    assert one(spark, text.sticker_text, '[{"sticker_name":" Hi "},{"sticker_name":""},{"sticker_name":"There"}]', "[]", "bad", None) == ["Hi | There", "", None, None]
+    assert one(spark, text.keyword_list, '["News","trump","news"]', "Trump, ice ,,ICE", "solo", "") == [["news", "trump"], ["trump", "ice"], ["solo"], []]
     assert one(spark, ocr.clean, "TRU\nMP CALLED", "THE\nCREW", "govern-\nment says", "a line\n\r\nthat goes on", "", None) == ["TRUMP CALLED", "THECREW", "government says", "a line that goes on", "", ""]
     assert one(spark, ocr.clean, "One short\nTwo short\n" + "Xx" * 41 + "\nEnd.", "BIG\nNEWS DAY TODAY OK") == ["One short Two short\n" + "Xx" * 41 + "\nEnd.", "BIGNEWS DAY TODAY OK"]
     assert one(spark, ocr.garbage, "B 1000", "0 6 G", "", "II", "AMERICA 250", "Breaking news today", "follow", None, "Share!", "日本 5") == [True, True, True, True, False, False, True, True, True, True]

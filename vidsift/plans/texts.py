@@ -19,10 +19,15 @@ def t01_handle_normalise(spark, sf) -> DataFrame:
     return table(spark, sf, "supplier").select("s_suppkey", X.handle(F.concat(F.lit("  @@"), F.col("s_name"), F.lit(" "))).alias("handle"))
 
 
-@query("""SELECT raw, want AS username FROM (VALUES ('https://www.example.com/@Some.User?x=1', 'some.user'), ('@Name_1', 'name_1'), ('plain', 'plain'), ('bad name', ''), ('https://x.example/@two/video/3', 'two')) t(raw, want)""")
+PROFILE = "CASE page_id % 3 WHEN 0 THEN url WHEN 1 THEN 'https://www.example.com/@Some.' || page_id || '/video/3?x=1' ELSE ' @Name_' || page_id || ' bad' END"
+
+
+@query(rf"""
+WITH r AS (SELECT page_id, {PROFILE} AS raw FROM pages),
+u AS (SELECT page_id, raw, lower(trim(CASE WHEN contains(raw, '@') THEN split_part(regexp_split_to_array(split_part(raw, '@', 2), '[/?#]')[1], ' ', 1) ELSE regexp_split_to_array(raw, '[/?#]')[-1] END)) AS u FROM r)
+SELECT page_id, raw, CASE WHEN regexp_full_match(u, '[a-z0-9._]+') THEN u ELSE '' END AS username FROM u""")
 def t02_username_from_url(spark, sf) -> DataFrame:
-    v = spark.createDataFrame([("https://www.example.com/@Some.User?x=1",), ("@Name_1",), ("plain",), ("bad name",), ("https://x.example/@two/video/3",)], "raw string")
-    return v.select("raw", X.username_from(F.col("raw")).alias("username"))
+    return table(spark, sf, "pages").select("page_id", F.expr(PROFILE).alias("raw")).withColumn("username", X.username_from(F.col("raw")))
 
 
 @query("""
@@ -74,16 +79,25 @@ def t10_nlp_text(spark, sf) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", "text").join(c, "doc_id", "left").select("doc_id", X.nlp_text(F.col("text"), F.col("said")).alias("nlp"))
 
 
-@query("""SELECT raw, want AS stickers FROM (VALUES ('[{"sticker_name":" Hi "},{"sticker_name":""},{"sticker_name":"There"}]', 'Hi | There'), ('[]', ''), ('bad', NULL), (NULL, NULL)) t(raw, want)""")
+STICKERS = """CASE WHEN s_suppkey % 7 = 5 THEN 'bad' WHEN s_suppkey % 4 = 3 THEN '[]' WHEN s_suppkey % 11 = 6 THEN NULL ELSE '[{"sticker_name":"  ' || s_name || ' "},{"sticker_name":""},{"sticker_name":"N' || s_nationkey || '"}]' END"""
+
+
+@query(f"""
+WITH r AS (SELECT s_suppkey, {STICKERS} AS raw FROM supplier)
+SELECT s_suppkey, raw, CASE WHEN json_valid(raw) THEN array_to_string(list_filter(list_transform(json_extract_string(CASE WHEN json_valid(raw) THEN raw ELSE '[]' END, '$[*].sticker_name'), lambda x: trim(x)), lambda x: x <> ''), ' | ') END AS stickers FROM r""")
 def t11_sticker_text(spark, sf) -> DataFrame:
-    v = spark.createDataFrame([('[{"sticker_name":" Hi "},{"sticker_name":""},{"sticker_name":"There"}]',), ("[]",), ("bad",), (None,)], "raw string")
-    return v.select("raw", X.sticker_text(F.col("raw")).alias("stickers"))
+    return table(spark, sf, "supplier").select("s_suppkey", F.expr(STICKERS).alias("raw")).withColumn("stickers", X.sticker_text(F.col("raw")))
+
 
+KEYWORDS = """CASE p_partkey % 5 WHEN 0 THEN '["' || p_name || '","News","' || upper(p_name) || '"]' WHEN 1 THEN upper(p_name) || ', ice ,,ICE,' || p_type WHEN 2 THEN p_name WHEN 3 THEN '' END"""
 
-@query("""SELECT raw, want AS keywords FROM (VALUES ('["News","trump","news"]', 'news|trump'), ('Trump, ice ,,ICE', 'trump|ice'), ('solo', 'solo'), ('', ''), (NULL, '')) t(raw, want)""")
+
+@query(f"""
+WITH r AS (SELECT p_partkey, {KEYWORDS} AS raw FROM part),
+c AS (SELECT p_partkey, raw, list_filter(list_transform(CASE WHEN starts_with(raw, '[') THEN json_extract_string(CASE WHEN starts_with(raw, '[') THEN raw ELSE '[]' END, '$[*]') ELSE string_split(coalesce(raw, ''), ',') END, lambda x: lower(trim(x))), lambda x: x <> '') AS c FROM r)
+SELECT p_partkey, raw, array_to_string(list_filter(c, lambda x, i: list_position(c, x) = i), '|') AS keywords FROM c""")
 def t13_keyword_list(spark, sf) -> DataFrame:
-    v = spark.createDataFrame([('["News","trump","news"]',), ("Trump, ice ,,ICE",), ("solo",), ("",), (None,)], "raw string")
-    return v.select("raw", F.array_join(X.keyword_list(F.col("raw")), "|").alias("keywords"))
+    return table(spark, sf, "part").select("p_partkey", F.expr(KEYWORDS).alias("raw")).withColumn("keywords", F.array_join(X.keyword_list(F.col("raw")), "|"))
 
 
 @query(r"""
