@@ -58,6 +58,8 @@ def test_text_functions(spark):
     assert one(spark, lambda c: text.merge_lists(text.keyword_list(c), F.array(F.lit("trump"), F.lit("ice"))), '["news","trump"]') == [["news", "trump", "ice"]]
     assert one(spark, text.handle, " @@Some ", None) == ["some", None]
     assert one(spark, text.username_from, "https://www.example.com/@Some.User?x=1", "@Name_1", "plain", "bad name", "https://x.example/@two/video/3") == ["some.user", "name_1", "plain", "", "two"]
+    assert one(spark, text.webvtt_text, "WEBVTT\n\nNOTE x\n1\n00:00.000 --> 00:01.000\nHello\nthere\n\n2\n00:01.000 --> 00:02.000\nthere\nall\n") == ["Hello there all"]
+    assert one(spark, text.unfenced_json, '```json\n["a"]\n```', "[]") == ['["a"]', "[]"]
     assert one(spark, text.sticker_text, '[{"sticker_name":" Hi "},{"sticker_name":""},{"sticker_name":"There"}]', "[]", "bad", None) == ["Hi | There", "", None, None]
     assert one(spark, text.keyword_list, '["News","trump","news"]', "Trump, ice ,,ICE", "solo", "") == [["news", "trump"], ["trump", "ice"], ["solo"], []]
     assert one(spark, ocr.clean, "TRU\nMP CALLED", "THE\nCREW", "govern-\nment says", "a line\n\r\nthat goes on", "", None) == ["TRUMP CALLED", "THECREW", "government says", "a line that goes on", "", ""]

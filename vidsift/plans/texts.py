@@ -256,8 +256,13 @@ def s14_page_extract(spark, sf) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", F.regexp_extract("html", r"(?i)<title[^>]*>([^<]*)</title>", 1).alias("title"), F.regexp_count("html", F.lit(r"(?i)<a\s")).cast("long").alias("links"), (F.instr(F.lower("html"), "<script") > 0).alias("scripted"))
 
 
-@query("""SELECT 'Hello there all' AS plain, '["a"]' AS unfenced""")
+@query(r"""
+WITH l AS (SELECT conv_id, turn, list_filter(list_transform(regexp_split_to_array(text, '\r?\n'), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '' AND NOT contains(x, '-->') AND NOT starts_with(x, 'WEBVTT') AND NOT starts_with(x, 'NOTE') AND NOT regexp_full_match(x, '[0-9]+')) AS own FROM conversations),
+k AS (SELECT conv_id, turn, CASE WHEN own IS NOT NULL THEN list_concat(own, own, ['the end']) END AS said FROM l)
+SELECT conv_id, turn, coalesce(array_to_string(list_filter(said, lambda x, i: i = 1 OR said[i - 1] <> x), ' '), '') AS plain, '["' || conv_id || '"]' AS unfenced FROM k""")
 def s15_webvtt_and_fences(spark, sf) -> DataFrame:
-    vtt = "WEBVTT\n\nNOTE x\n1\n00:00.000 --> 00:01.000\nHello\nthere\n\n2\n00:01.000 --> 00:02.000\nthere\nall\n"
-    v = spark.createDataFrame([(vtt, '```json\n["a"]\n```')], "vtt string, raw string")
-    return v.select(X.webvtt_text(F.col("vtt")).alias("plain"), X.unfenced_json(F.col("raw")).alias("unfenced"))
+    """Every turn as captions of two cues that both hold its text, and its conversation's id as a fenced response."""
+    cue = lambda n, *said: F.concat(F.lit(f"{n}\n00:0{n}.000 --> 00:0{n + 1}.000\n"), *said, F.lit("\n\n"))
+    vtt = F.concat(F.lit("WEBVTT\n\nNOTE x\n"), cue(1, F.col("text")), cue(2, F.col("text"), F.lit("\nthe end")))
+    fenced = F.concat(F.lit('```json\n["'), F.col("conv_id").cast("string"), F.lit('"]\n```'))
+    return table(spark, sf, "conversations").select("conv_id", "turn", X.webvtt_text(vtt).alias("plain"), X.unfenced_json(fenced).alias("unfenced"))
