@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import decontam, mixing, quality, secret_scan, simhash, suffix, tokenbin, tokencount, topk, urlfilter
+from . import decontam, mixing, periodic, quality, secret_scan, simhash, suffix, tokenbin, tokencount, topk, urlfilter
+from .common import WORD
 
 
 def tokenizer_file(name: str) -> str:
@@ -63,9 +64,43 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(docs, secret_scan.train(docs))
 
 
+def with_periodic_ends(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): documents whose hash ends in 0 repeat one stretch of their words from word a to their end.
+
+    With h the crc32 of the id and g = h // 10, word i >= a becomes word a + (i - a) % p of the original, where
+    a = g % n and p = 1 + (n - a) // (3 + g % 8). Other documents, and those without id or words, stay as they are.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10).cast("long")
+    each = docs.select("doc_id", "text", (h % 10 == 0).alias("chosen"), g.alias("g"))
+    words = F.when(F.col("chosen"), F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))
+    each = each.withColumn("words", words).withColumn("n", F.size("words").cast("long"))
+    each = each.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    each = each.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)).cast("long"))
+    source = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    repeated = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.get("words", source(i).cast("int")))
+    return each.select("doc_id", F.when(F.col("a").isNotNull(), F.concat_ws(" ", repeated)).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(with_periodic_ends(table(spark, sf_dir, "documents")))
+    none = F.lit(None).cast("struct<start:long,length:long,period:long>")
+    longer = lambda best, r: best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    best = F.aggregate("runs", none, lambda best, r: F.when(longer(best, r), r).otherwise(best))  # runs come by start, period
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * best["length"] / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality_classifier, op2_source_mixing, op3_benchmark_decontamination, op4_token_shards, op5_simhash_near_duplicates, op6_url_filter, op7_repeated_passages, op8_exact_top_k, op9_token_counts, op10_secret_scan)
+    for f in (op1_quality_classifier, op2_source_mixing, op3_benchmark_decontamination, op4_token_shards, op5_simhash_near_duplicates, op6_url_filter, op7_repeated_passages, op8_exact_top_k, op9_token_counts, op10_secret_scan, op12_periodic_runs)
 }
 
 ORACLE_SQL: dict[str, str] = {
