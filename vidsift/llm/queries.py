@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import decontam, mixing, periodic, quality, secret_scan, simhash, suffix, tokenbin, tokencount, topk, urlfilter
+from . import decontam, mixing, panes, periodic, quality, secret_scan, simhash, suffix, tokenbin, tokencount, topk, urlfilter
 from .common import WORD
 
 
@@ -98,9 +98,36 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CLICK_BATCHES = 8
+
+
+def click_batches(clicks: DataFrame) -> DataFrame:
+    """(batch, kind, event_us, click_id, cents) of each click with a time, once: the least of rows that share an id.
+
+    A click comes in the batch of its arrival day modulo 8, some of them later by their id's hash, and its event time is
+    moved back by the same whole cycles of 8 days. Without arrival time, the event's day counts; rows without id are one
+    click; values that are null or no finite number are 0 cents.
+    """
+    fields = F.struct("arrived_at", "ts", "kind", "value")
+    once = clicks.where(F.col("ts").isNotNull()).groupBy("click_id").agg(F.min(fields).alias("x")).select("click_id", "x.*")
+    day = F.unix_date(F.coalesce("arrived_at", "ts").cast("date"))
+    q = F.pmod(day, F.lit(CLICK_BATCHES))
+    delay = F.greatest(F.lit(0), F.coalesce(F.crc32(F.col("click_id").cast("string")), F.lit(0)) % 30 - 23)
+    second = F.expr("extract(SECOND FROM ts)") * 1_000_000
+    of_day = (F.hour("ts") * 60 + F.minute("ts")).cast("long") * 60_000_000 + second.cast("long")  # free of the session's zone
+    event_us = (F.unix_date(F.col("ts").cast("date")) - day + q) * F.lit(panes.DAY_US) + of_day
+    finite = F.abs("value") < F.lit(float("inf"))
+    cents = F.when(finite, F.floor(100 * F.col("value") + 0.5)).otherwise(0)
+    return once.select(F.least(F.lit(CLICK_BATCHES - 1), q + delay).cast("int").alias("batch"), "kind", event_us.cast("long").alias("event_us"), "click_id", cents.cast("long").alias("cents"))
+
+
+def op13_pane_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panes.revisions(click_batches(table(spark, sf_dir, "clicks")), CLICK_BATCHES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality_classifier, op2_source_mixing, op3_benchmark_decontamination, op4_token_shards, op5_simhash_near_duplicates, op6_url_filter, op7_repeated_passages, op8_exact_top_k, op9_token_counts, op10_secret_scan, op12_periodic_runs)
+    for f in (op1_quality_classifier, op2_source_mixing, op3_benchmark_decontamination, op4_token_shards, op5_simhash_near_duplicates, op6_url_filter, op7_repeated_passages, op8_exact_top_k, op9_token_counts, op10_secret_scan, op12_periodic_runs, op13_pane_revisions)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -151,4 +178,46 @@ s AS (
   FROM i q JOIN i c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+    "op13_pane_revisions": r"""
+WITH tab AS (
+  SELECT list(v ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS v
+    FROM range(256) r(i))),
+u AS (
+  SELECT click_id, unnest(min({'arrived_at': arrived_at, 'ts': ts, 'kind': kind, 'value': value}))
+  FROM clicks WHERE ts IS NOT NULL GROUP BY click_id),
+h AS (
+  SELECT u.*, date_diff('day', DATE '1970-01-01', coalesce(arrived_at, ts)::DATE) AS day,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(click_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+                         lambda a, b: xor(a // 256, tab[(xor(a, b) & 255) + 1])), 4294967295) AS crc
+  FROM u, tab),
+d AS (
+  SELECT click_id, coalesce(kind, 'none') AS kind, least(7, day % 8 + greatest(0, coalesce(crc, 0) % 30 - 23)) AS batch,
+         epoch_us(ts) - (day - day % 8) * 86400000000 AS event_us,
+         CASE WHEN isfinite(value) THEN floor(100 * value + 0.5)::BIGINT ELSE 0 END AS cents
+  FROM h),
+w AS (
+  SELECT b AS batch, (SELECT max(event_us) FROM d WHERE d.batch < b) AS seen FROM range(8) r(b)),
+e AS (
+  SELECT d.*, floor(event_us / 3600000000.0)::BIGINT AS hour FROM d),
+r AS (
+  SELECT e.*, (hour + 1) * 3600000000 + 4 * 86400000000 <= coalesce(seen, -9e18) AS late FROM e JOIN w USING (batch)),
+p AS (
+  SELECT kind, hour, batch, count(*) AS n, sum(cents) AS c FROM r WHERE NOT late GROUP BY ALL),
+due AS (
+  SELECT kind, hour, min(w.batch) FILTER (WHERE w.batch >= first AND (hour + 1) * 3600000000 + 6 * 3600000000 <= coalesce(seen, -9e18)) AS due_at
+  FROM (SELECT kind, hour, min(batch) AS first FROM p GROUP BY ALL) f, w GROUP BY ALL),
+s AS (
+  SELECT p.*, sum(n) OVER x AS all_n, sum(c) OVER x AS all_c, due.due_at
+  FROM p JOIN due USING (kind, hour) WINDOW x AS (PARTITION BY kind, hour ORDER BY batch)),
+o AS (
+  SELECT batch, 'late' AS record, kind, hour, click_id, 1 AS n_rows, cents FROM r WHERE late
+  UNION ALL
+  SELECT coalesce(due_at, 7), CASE WHEN due_at IS NULL THEN 'final' ELSE 'emit' END, kind, hour, -1, max(all_n), arg_max(all_c, batch)
+  FROM s WHERE due_at IS NULL OR batch <= due_at GROUP BY due_at, kind, hour
+  UNION ALL
+  SELECT batch, 'replace', kind, hour, -1, all_n, all_c FROM s WHERE batch > due_at
+  UNION ALL
+  SELECT batch, 'retract', kind, hour, -1, all_n - n, all_c - c FROM s WHERE batch > due_at)
+SELECT batch::BIGINT AS batch, record, kind, hour::BIGINT AS hour, click_id::BIGINT AS click_id, n_rows::BIGINT AS n_rows, cents::BIGINT AS cents FROM o""",
 }
