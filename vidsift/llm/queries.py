@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import decontam, mixing, panes, periodic, quality, secret_scan, simhash, suffix, tokenbin, tokencount, topk, urlfilter
+from . import decontam, mixing, panes, periodic, quality, secret_scan, simhash, suffix, tokenbin, tokencount, topk, toxicity, urlfilter
 from .common import WORD
 
 
@@ -64,6 +64,14 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(docs, secret_scan.train(docs))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    fold = lambda c: F.crc32(F.col(c).cast("string")) % 5
+    model = toxicity.train(docs, labels.where(fold("doc_id") != 0))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def with_periodic_ends(docs: DataFrame) -> DataFrame:
     """(doc_id, text): documents whose hash ends in 0 repeat one stretch of their words from word a to their end.
 
@@ -127,7 +135,7 @@ def op13_pane_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality_classifier, op2_source_mixing, op3_benchmark_decontamination, op4_token_shards, op5_simhash_near_duplicates, op6_url_filter, op7_repeated_passages, op8_exact_top_k, op9_token_counts, op10_secret_scan, op12_periodic_runs, op13_pane_revisions)
+    for f in (op1_quality_classifier, op2_source_mixing, op3_benchmark_decontamination, op4_token_shards, op5_simhash_near_duplicates, op6_url_filter, op7_repeated_passages, op8_exact_top_k, op9_token_counts, op10_secret_scan, op11_toxicity, op12_periodic_runs, op13_pane_revisions)
 }
 
 ORACLE_SQL: dict[str, str] = {
