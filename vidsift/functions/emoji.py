@@ -38,6 +38,27 @@ REGIONAL = r"\x{1F1E6}-\x{1F1FF}"
 SKIN = r"\x{1F3FB}-\x{1F3FF}"
 
 
+#: One glyph of a sequence: a picture or symbol with its selector or skin tone.
+_ONE = r"(?:[\x{1F300}-\x{1F3FA}\x{1F400}-\x{1FAFF}\x{2600}-\x{27BF}\x{2B05}-\x{2B07}\x{2B1B}\x{2B1C}\x{2B50}\x{2B55}](?:\x{FE0F}|[\x{1F3FB}-\x{1F3FF}])?)"
+#: Longest first: keycaps, regional flags, flags spelled in tags, glyphs held together by joiners, a lone skin tone.
+SEQUENCES = (
+    r"[0-9#*]\x{FE0F}?\x{20E3}",
+    r"[\x{1F1E6}-\x{1F1FF}]{2}",
+    r"\x{1F3F4}[\x{E0020}-\x{E007E}]+\x{E007F}",
+    rf"{_ONE}(?:\x{{200D}}(?:{_ONE}|[\x{{2640}}\x{{2642}}\x{{2695}}\x{{2696}}\x{{2708}}]\x{{FE0F}}?))*",
+    r"[\x{1F3FB}-\x{1F3FF}]",
+)
+
+
+def sequences(c: Column) -> Column:
+    """Emoji of a text in order, each whole: families of joined glyphs, keycaps, flags and skin tones are one.
+
+    Interface marks that stand alone are no emoji; inside a joined sequence they count with it.
+    """
+    found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit("|".join(SEQUENCES)), F.lit(0))
+    return F.filter(found, lambda g: ~g.rlike(f"^{_class(MARKS)}\\x{{FE0F}}?$"))
+
+
 def _class(points) -> str:
     return "[" + "".join(f"\\x{{{p:X}}}" for p in points) + "]"
 

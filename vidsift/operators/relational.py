@@ -80,3 +80,16 @@ def streaks(df: DataFrame, key: str, order: Sequence[str], failed: Column) -> Da
     d = d.withColumn("attempts", F.count("*").over(w)).withColumn("failures", F.sum("failed").over(w)).withColumn("__island", F.sum(1 - F.col("failed")).over(w))
     run = Window.partitionBy(key, "__island").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return d.withColumn("in_a_row", F.sum("failed").over(run)).drop("__island")
+
+
+def keep_best(df: DataFrame, key: str, prints: dict[str, Column]) -> DataFrame:
+    """All rows that equal their key's greatest row in the given fields, the first field deciding, null least.
+
+    The greatest is a partial aggregate. Rows meet it by key and by a hash of the fields, so the rows of a hot key that
+    lose are spread over all tasks and only those that stay share one.
+    """
+    made = F.struct(*[c.alias(n) for n, c in prints.items()])
+    d = df.withColumn("__print", made)
+    best = d.groupBy(F.col(key).alias("__key")).agg(F.max("__print").alias("__best")).withColumn("__hash", F.xxhash64("__best"))
+    same = (F.col(key) == F.col("__key")) & (F.xxhash64("__print") == F.col("__hash")) & F.col("__print").eqNullSafe(F.col("__best"))
+    return d.join(best, same, "left_semi").drop("__print")

@@ -266,3 +266,25 @@ def s15_webvtt_and_fences(spark, sf) -> DataFrame:
     vtt = F.concat(F.lit("WEBVTT\n\nNOTE x\n"), cue(1, F.col("text")), cue(2, F.col("text"), F.lit("\nthe end")))
     fenced = F.concat(F.lit('```json\n["'), F.col("conv_id").cast("string"), F.lit('"]\n```'))
     return table(spark, sf, "conversations").select("conv_id", "turn", X.webvtt_text(vtt).alias("plain"), X.unfenced_json(fenced).alias("unfenced"))
+
+
+#: Emoji by a document's number: families, keycaps, skin tones, flags of two kinds, plain ones, marks, none.
+PLANTED = ("👨‍👩‍👧‍👦", "1️⃣", "👍🏽", "🇺🇸🇫🇷", "🏴󠁧󠁢󠁥󠁮󠁧󠁿", "🔥❤️🔥", "✔️ ©", "👩🏾‍🚀", "", "☀️🌍⭐", "🏳️‍🌈", "#⃣ 5", "🙋🏻‍♀️x🙋🏻‍♀️")
+
+
+def _sql_list(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+@query(f"""
+WITH t AS (SELECT doc_id, {_sql_list(PLANTED)} AS p, coalesce(text, '') AS text FROM documents),
+x AS (SELECT doc_id, p[(doc_id % 13 + 1)::INTEGER] || ' ' || text || ' ' || p[(doc_id // 13 % 13 + 1)::INTEGER] || p[(doc_id % 13 + 1)::INTEGER] AS s FROM t),
+g AS (SELECT doc_id, list_filter(regexp_extract_all(s, '{'|'.join(E.SEQUENCES)}'), lambda y: NOT regexp_matches(y, '^[{''.join(map(chr, E.MARKS))}]{chr(0xFE0F)}?$')) AS g FROM x)
+SELECT doc_id, len(g)::INTEGER AS glyphs, coalesce(array_to_string(list_transform(list_filter(list_zip(g, generate_series(1, len(g))), lambda z: list_position(g, z[1]) = z[2]), lambda z: z[1]), ' '), '') AS emoji FROM g""")
+def t20_emoji_sequences(spark, sf) -> DataFrame:
+    """Emoji of each whole text, joined families, keycaps, flags and skin tones as one each; every kind once, in order."""
+    p, n = F.array(*map(F.lit, PLANTED)), F.col("doc_id")
+    at = lambda i: F.get(p, (i % len(PLANTED)).cast("int"))
+    text = F.concat(at(n), F.lit(" "), F.coalesce("text", F.lit("")), F.lit(" "), at(F.floor(n / len(PLANTED))), at(n))
+    g = table(spark, sf, "documents").select("doc_id", E.sequences(text).alias("g"))
+    return g.select("doc_id", F.size("g").alias("glyphs"), F.array_join(F.array_distinct("g"), " ").alias("emoji"))

@@ -22,4 +22,4 @@ def query(sql: str | None = None):
     return add
 
 
-from .plans import aggregates, filters, joins, landing, layers, mutations, rows, texts, tools, windows  # noqa: E402, F401
+from .plans import aggregates, filters, joins, landing, layers, mutations, rows, stores, streams, texts, tools, variants, windows  # noqa: E402, F401
