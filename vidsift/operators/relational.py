@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 
 def missing(c: Column | str) -> Column:
     """Null and the empty string are one state."""
@@ -93,3 +95,20 @@ def keep_best(df: DataFrame, key: str, prints: dict[str, Column]) -> DataFrame:
     best = d.groupBy(F.col(key).alias("__key")).agg(F.max("__print").alias("__best")).withColumn("__hash", F.xxhash64("__best"))
     same = (F.col(key) == F.col("__key")) & (F.xxhash64("__print") == F.col("__hash")) & F.col("__print").eqNullSafe(F.col("__best"))
     return d.join(best, same, "left_semi").drop("__print")
+
+
+def numbered(df: DataFrame, order: Sequence[str], name: str, first: int = 1) -> DataFrame:
+    """Adds the place of each row in a total order; the order must end in a unique column.
+
+    Rows are dealt by ranges of the order and written once; each range numbers its own rows, and the sizes of the ranges,
+    a row each, give the offsets, so no task sees all rows.
+    """
+    spark = df.sparkSession
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = cut(df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()))
+    sizes = dealt.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    own = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    placed = dealt.withColumn("__own", own).join(F.broadcast(offsets), "__part")  # a row a partition
+    return placed.withColumn(name, (F.col("__own") + F.col("__before") + (first - 1)).cast("int")).drop("__part", "__own", "__before")

@@ -166,12 +166,14 @@ def f05_date_functions(spark, sf) -> DataFrame:
 
 
 @query("""
-SELECT raw, try_strptime(raw, '%Y-%m-%d')::DATE::VARCHAR AS day, try_strptime(raw, '%Y-%m-%d %H:%M:%S UTC') AS instant
-FROM (VALUES ('2024-01-05'), ('2024-13-05'), (''), ('2024-01-05 10:20:30 UTC'), ('garbage'), (NULL)) t(raw)""")
+SELECT stamp_id, CASE WHEN regexp_full_match(raw, '[0-9]{8}') THEN try_strptime(raw, '%Y%m%d')::DATE::VARCHAR END AS day,
+       CASE WHEN regexp_full_match(raw, '[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9:]{8}') THEN try_strptime(raw, '%Y-%m-%d %H:%M:%S') END AS instant FROM stamps""")
 def f07_safe_parse(spark, sf) -> DataFrame:
-    v = spark.createDataFrame([("2024-01-05",), ("2024-13-05",), ("",), ("2024-01-05 10:20:30 UTC",), ("garbage",), (None,)], "raw string")
-    day = F.when(F.col("raw").rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date("raw", "yyyy-MM-dd"))
-    return v.select("raw", day.cast("string").alias("day"), F.try_to_timestamp("raw", F.lit("yyyy-MM-dd HH:mm:ss 'UTC'")).cast("timestamp_ntz").alias("instant"))
+    """Texts of many forms as a day or an instant where they have its form and are one, else null."""
+    s = table(spark, sf, "stamps")
+    day = F.when(F.col("raw").rlike(r"^\d{8}$"), F.try_to_date("raw", "yyyyMMdd"))
+    instant = F.when(F.col("raw").rlike(r"^\d{4}-\d{2}-\d{2} [\d:]{8}$"), F.try_to_timestamp("raw", F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"))
+    return s.select("stamp_id", day.cast("string").alias("day"), instant.alias("instant"))
 
 
 @query("""
@@ -198,10 +200,13 @@ def f17_parameters(spark, sf) -> DataFrame:
 
 
 @query("""
-SELECT raw, coalesce(try_strptime(raw, '%Y-%m-%d'), try_strptime(raw, '%Y%m%d'))::DATE::VARCHAR AS day FROM (VALUES ('2026-08-13'), ('20260813'), ('2026/08/13'), ('')) t(raw)""")
+WITH r AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y%m%d') WHEN 2 THEN strftime(o_orderdate, '%Y/%m/%d') ELSE strftime(o_orderdate, '%Y-13-%d') END AS raw FROM orders)
+SELECT o_orderkey, coalesce(try_strptime(raw, '%Y-%m-%d'), try_strptime(raw, '%Y%m%d'))::DATE::VARCHAR AS day FROM r""")
 def c01_research_date(spark, sf) -> DataFrame:
-    v = spark.createDataFrame([("2026-08-13",), ("20260813",), ("2026/08/13",), ("",)], "raw string")
-    return v.select("raw", C.research_date(F.col("raw")).cast("string").alias("day"))
+    """Research days written in two accepted forms, one that is not, and with a month that does not exist."""
+    forms = ("yyyy-MM-dd", "yyyyMMdd", "yyyy/MM/dd", "yyyy-'13'-dd")
+    raw = F.coalesce(*[F.when(F.col("o_orderkey") % 4 == i, F.date_format("o_orderdate", f)) for i, f in enumerate(forms)])
+    return table(spark, sf, "orders").select("o_orderkey", C.research_date(raw).cast("string").alias("day"))
 
 
 @query("""
@@ -209,21 +214,25 @@ SELECT day::VARCHAR AS day, strftime(timezone('UTC', timezone('America/Chicago',
        strftime(timezone('UTC', timezone('America/Chicago', (day + 1)::TIMESTAMP)), '%Y-%m-%dT%H:%M:%SZ') AS window_end,
        strftime(timezone('UTC', timezone('America/Chicago', day::TIMESTAMP)), '%Y%m%d') AS first_day,
        strftime(timezone('UTC', timezone('America/Chicago', (day + 1)::TIMESTAMP)) - INTERVAL 1 MICROSECOND, '%Y%m%d') AS last_day
-FROM (VALUES (DATE '2026-08-13'), (DATE '2026-03-08'), (DATE '2026-11-01'), (DATE '2024-02-29')) t(day)""")
+FROM (SELECT DISTINCT o_orderdate::DATE AS day FROM orders)""")
 def c02_civil_day_window(spark, sf) -> DataFrame:
-    v = spark.createDataFrame([("2026-08-13",), ("2026-03-08",), ("2026-11-01",), ("2024-02-29",)], "day string")
-    a, b = C.civil_window(F.col("day").cast("date"), "America/Chicago")
+    """The civil day in Chicago of every order date, those of 23 and 25 hours among them."""
+    v = table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("day")).distinct()
+    a, b = C.civil_window(F.col("day"), "America/Chicago")
     first, last = C.api_dates(a, b)
-    return v.select("day", C.instant(a).alias("window_start"), C.instant(b).alias("window_end"), first.alias("first_day"), last.alias("last_day"))
+    return v.select(F.col("day").cast("string").alias("day"), C.instant(a).alias("window_start"), C.instant(b).alias("window_end"), first.alias("first_day"), last.alias("last_day"))
 
 
 @query("""
-SELECT id, n::INTEGER AS n, (s + INTERVAL (30 * n) DAY)::DATE::VARCHAR AS chunk_start, least((s + INTERVAL (30 * (n + 1)) DAY)::DATE, e)::VARCHAR AS chunk_end
-FROM (VALUES (1, DATE '2024-01-01', DATE '2024-04-15'), (2, DATE '2024-01-01', DATE '2024-01-31'), (3, DATE '2024-01-01', DATE '2024-01-01')) t(id, s, e), range(0, 10) r(n)
+SELECT o_orderkey, n::INTEGER AS n, (s + INTERVAL (30 * n) DAY)::DATE::VARCHAR AS chunk_start, least((s + INTERVAL (30 * (n + 1)) DAY)::DATE, e)::VARCHAR AS chunk_end
+FROM (SELECT o_orderkey, o_orderdate::DATE AS s, (o_orderdate::DATE + (o_custkey % 100)::INTEGER) AS e FROM orders), range(0, 4) r(n)
 WHERE s + INTERVAL (30 * n) DAY < e""")
 def c06_chunks(spark, sf) -> DataFrame:
-    v = spark.createDataFrame([(1, "2024-01-01", "2024-04-15"), (2, "2024-01-01", "2024-01-31"), (3, "2024-01-01", "2024-01-01")], "id int, s string, e string")
-    return v.select("id", F.posexplode(C.chunks(F.col("s").cast("date"), F.col("e").cast("date"))).alias("n", "c")).select("id", "n", F.col("c.start").cast("string").alias("chunk_start"), F.col("c.end").cast("string").alias("chunk_end"))
+    """The span from each order's date on, of 0 to 99 days, in chunks of 30 days that share their ends."""
+    start = F.col("o_orderdate").cast("date")
+    end = F.date_add(start, (F.col("o_custkey") % 100).cast("int"))
+    each = table(spark, sf, "orders").select("o_orderkey", F.posexplode(C.chunks(start, end)).alias("n", "c"))
+    return each.select("o_orderkey", "n", F.col("c.start").cast("string").alias("chunk_start"), F.col("c.end").cast("string").alias("chunk_end"))
 
 
 @query("""
@@ -234,7 +243,7 @@ def c08_epoch_text(spark, sf) -> DataFrame:
 
 
 @query("""
-SELECT strftime(timezone('America/Chicago', timezone('UTC', now))::DATE - 2, '%Y-%m-%d') AS research_day FROM (VALUES (TIMESTAMP '2026-08-15 03:00:00'), (TIMESTAMP '2026-08-15 12:00:00')) t(now)""")
+SELECT event_id, strftime(timezone('America/Chicago', timezone('UTC', ts))::DATE - 2, '%Y-%m-%d') AS research_day FROM events""")
 def c05_lagged_day(spark, sf) -> DataFrame:
-    v = spark.createDataFrame([("2026-08-15 03:00:00",), ("2026-08-15 12:00:00",)], "now string")
-    return v.select(F.date_format(C.lagged(F.col("now").cast("timestamp"), 2, "America/Chicago"), "yyyy-MM-dd").alias("research_day"))
+    """The day two days before each event's, by Chicago's clock."""
+    return table(spark, sf, "events").select("event_id", F.date_format(C.lagged(F.col("ts").cast("timestamp"), 2, "America/Chicago"), "yyyy-MM-dd").alias("research_day"))

@@ -104,12 +104,13 @@ def t56_speech_ratio(spark, sf) -> DataFrame:
 
 
 @query("""
-SELECT n, array_to_string(list_sort(list_distinct([0, round_even((n - 1) * 0.25, 0)::BIGINT, round_even((n - 1) * 0.5, 0)::BIGINT, round_even((n - 1) * 0.75, 0)::BIGINT, n - 1])), ',') AS picked FROM (VALUES (1), (2), (10), (101), (300)) t(n)""")
+SELECT doc_id, array_to_string(list_sort(list_distinct([0, round_even((n - 1) * 0.25, 0)::BIGINT, round_even((n - 1) * 0.5, 0)::BIGINT, round_even((n - 1) * 0.75, 0)::BIGINT, n - 1])), ',') AS picked
+FROM (SELECT doc_id, len(string_split(text, chr(10))) AS n FROM documents)""")
 def t57_frame_selection(spark, sf) -> DataFrame:
-    """Frames at the quartiles of a video, each once."""
-    v = spark.createDataFrame([(1,), (2,), (10,), (101,), (300,)], "n int")
+    """Frames at the quartiles of a video, each once: a document is a video, its lines are the frames."""
+    v = table(spark, sf, "documents").select("doc_id", F.size(F.split("text", "\n")).alias("n"))
     at = F.transform(F.array(*[F.lit(x) for x in (0.0, 0.25, 0.5, 0.75, 1.0)]), lambda p: F.bround((F.col("n") - 1) * p, 0).cast("long"))
-    return v.select("n", F.array_join(F.array_sort(F.array_distinct(at)).cast("array<string>"), ",").alias("picked"))
+    return v.select("doc_id", F.array_join(F.array_sort(F.array_distinct(at)).cast("array<string>"), ",").alias("picked"))
 
 
 @query("""SELECT doc_id, lower(lang) || '|' || source AS candidate_key, source || '|' || doc_id || '|' || (doc_id + 1) AS unit_key, split_part(source || ' + x', ' + ', 1) AS outlet FROM documents""")
@@ -165,12 +166,17 @@ def c07_window_membership(spark, sf) -> DataFrame:
     return table(spark, sf, "events").where((unix >= a) & (unix < b)).select("event_id")
 
 
-@query("""SELECT batch, place, label FROM (VALUES (1, 0, 'news'), (1, 1, 'unsure'), (2, 0, 'politics')) t(batch, place, label)""")
+@query("""
+SELECT doc_id, place::INTEGER AS place, CASE WHEN code IN ('en', 'de', 'web') THEN code ELSE 'unsure' END AS label
+FROM (SELECT doc_id, unnest([lang, source, '??']) AS code, unnest([0, 1, 2]) AS place FROM documents WHERE doc_id % 5 <> 0)""")
 def t61_label_responses(spark, sf) -> DataFrame:
-    """Labels of a fenced JSON array in batch order; codes that are not known become unsure."""
-    v = spark.createDataFrame([(1, '```json\n["news", "??"]\n```'), (2, '["politics"]'), (3, "broken")], "batch int, raw string")
-    codes = F.from_json(X.unfenced_json(F.col("raw")), "array<string>")
-    return v.select("batch", F.posexplode(codes).alias("place", "code")).select("batch", "place", F.when(F.col("code").isin("news", "politics"), F.col("code")).otherwise("unsure").alias("label"))
+    """Labels of JSON lists in their order, every third fenced, every fifth cut short; codes that are not known become unsure."""
+    whole = F.to_json(F.array(F.col("lang"), F.col("source"), F.lit("??")))
+    n = F.col("doc_id")
+    raw = F.when(n % 5 == 0, F.left(whole, F.length(whole) - 1)).when(n % 3 == 0, F.concat(F.lit("```json\n"), whole, F.lit("\n```"))).otherwise(whole)
+    codes = F.from_json(X.unfenced_json(raw), "array<string>")
+    each = table(spark, sf, "documents").select("doc_id", F.posexplode(codes).alias("place", "code"))
+    return each.select("doc_id", "place", F.when(F.col("code").isin("en", "de", "web"), F.col("code")).otherwise("unsure").alias("label"))
 
 
 @query("""

@@ -131,24 +131,40 @@ def t19_line_jaccard(spark, sf) -> DataFrame:
     return d.join(b, F.col("other") == F.col("doc_id") + 1).select("doc_id", "other", F.round(X.jaccard(F.col("k"), F.col("kb"), 1.0), 4).alias("overlap"))
 
 
-EMOJI = [(1, "🔥 Breaking news 🔥"), (2, "😂 lol ❤️"), (3, "Hello 🔥 world 🇺🇸 ✔"), (4, "none"), (5, ""), (6, None), (7, "🧊🧊 ICE 🚨☀")]
-EMOJI_SQL = "(VALUES " + ", ".join(f"({i}, {'NULL' if t is None else chr(39) + t + chr(39)})" for i, t in EMOJI) + ") t(id, text)"
+#: Emoji by a document's number: emotions, a flag, a glyph with a selector, a mark and a symbol that no rule counts.
+EMOJI = ("🔥", "😂", "❤️", "🇺🇸", "🧊", "🚨", "☀", "✔", "")
+#: What the Unicode names say of the glyphs, for the SQL.
+EMOJI_SQL = f"""
+t AS (SELECT doc_id, [{", ".join(f"'{g}'" for g in EMOJI)}] AS p, coalesce(text, '') AS text FROM documents),
+x AS (SELECT doc_id, p[(doc_id % 9 + 1)::INTEGER] || ' ' || text || ' ' || p[(doc_id // 9 % 9 + 1)::INTEGER] || p[(doc_id % 9 + 1)::INTEGER] AS s FROM t),
+g AS (SELECT doc_id, s, list_filter(regexp_extract_all(s, '{E.GLYPHS}'), lambda y: NOT regexp_matches(y, '{E._class(E.MARKS + E.JOINERS)}')) AS g FROM x),
+known(emoji, kind, category, name, codepoint) AS (VALUES ('🔥', 'emoji', 'emphasis', 'fire', 'U+1F525'), ('😂', 'emoji', 'emotion', 'face with tears of joy', 'U+1F602'), ('🇺🇸', 'flag', 'flag', 'flag United States', 'U+1F1FA U+1F1F8'),
+  ('🧊', 'emoji', 'object', 'ice cube', 'U+1F9CA'), ('🚨', 'emoji', 'object', 'police car light', 'U+1F6A8'), ('☀', 'symbol', 'symbol', 'black sun with rays', 'U+2600')),
+e AS (SELECT doc_id, emoji, count(*) AS n FROM (SELECT doc_id, unnest(g) AS emoji FROM g) GROUP BY 1, 2)"""
+
+
+def with_emoji(spark, sf) -> DataFrame:
+    """(doc_id, text): whole documents with glyphs before and behind them, by the document's number."""
+    p, n = F.array(*map(F.lit, EMOJI)), F.col("doc_id")
+    at = lambda i: F.get(p, (i % len(EMOJI)).cast("int"))
+    text = F.concat(at(n), F.lit(" "), F.coalesce("text", F.lit("")), F.lit(" "), at(F.floor(n / len(EMOJI))), at(n))
+    return table(spark, sf, "documents").select("doc_id", text.alias("text"))
 
 
 @query(f"""
-WITH r(id, emoji, n, kind, category, name, codepoint) AS (VALUES (1, '🔥', 2, 'emoji', 'emphasis', 'fire', 'U+1F525'), (2, '😂', 1, 'emoji', 'emotion', 'face with tears of joy', 'U+1F602'), (3, '🔥', 1, 'emoji', 'emphasis', 'fire', 'U+1F525'),
-(3, '🇺🇸', 1, 'flag', 'flag', 'flag United States', 'U+1F1FA U+1F1F8'), (7, '🧊', 2, 'emoji', 'object', 'ice cube', 'U+1F9CA'), (7, '🚨', 1, 'emoji', 'object', 'police car light', 'U+1F6A8'))
-SELECT t.id, 'caption' AS text_source, r.emoji, n::BIGINT AS count, kind AS emoji_kind, name AS emoji_name, category AS emoji_category, codepoint AS emoji_codepoint FROM {EMOJI_SQL} JOIN r USING (id)""")
+WITH {EMOJI_SQL}
+SELECT doc_id, 'caption' AS text_source, emoji, n AS count, kind AS emoji_kind, name AS emoji_name, category AS emoji_category, codepoint AS emoji_codepoint FROM e LEFT JOIN known USING (emoji) WHERE kind IS DISTINCT FROM 'symbol'""")
 def t24_emoji_rows(spark, sf) -> DataFrame:
-    return E.emoji_rows(spark.createDataFrame(EMOJI, "id int, text string"), "id", {"caption": F.col("text")})
+    return E.emoji_rows(with_emoji(spark, sf), "doc_id", {"caption": F.col("text")})
 
 
-@query("""
-SELECT * FROM (VALUES (1, '🔥', 'fire', 'emphasis', 'caption | hashtags', 4::BIGINT), (2, '😂', 'face with tears of joy', 'emotion', 'caption | hashtags', 2), (3, '🇺🇸 | 🔥', 'flag United States | fire', 'flag | emphasis', 'caption | hashtags', 4),
-(7, '🧊 | 🚨', 'ice cube | police car light', 'object', 'caption | hashtags', 6)) t(id, emoji_characters, emoji_descriptions, emoji_category, emoji_source, emoji_count)""")
+@query(f"""
+WITH {EMOJI_SQL},
+l AS (SELECT doc_id, list(emoji ORDER BY n DESC, emoji) AS e, list(name ORDER BY n DESC, emoji) AS names, list(category ORDER BY n DESC, emoji) AS c, sum(2 * n)::BIGINT AS total FROM e JOIN known USING (emoji) WHERE kind <> 'symbol' GROUP BY 1)
+SELECT doc_id, array_to_string(e, ' | ') AS emoji_characters, array_to_string(names, ' | ') AS emoji_descriptions,
+       array_to_string(list_transform(list_filter(list_zip(c, generate_series(1, len(c))), lambda z: list_position(c, z[1]) = z[2]), lambda z: z[1]), ' | ') AS emoji_category, 'caption | hashtags' AS emoji_source, total AS emoji_count FROM l""")
 def t21_emoji_rollup(spark, sf) -> DataFrame:
-    v = spark.createDataFrame(EMOJI, "id int, text string")
-    return E.rollup(E.emoji_rows(v, "id", {"caption": F.col("text"), "hashtags": F.col("text")}), "id")
+    return E.rollup(E.emoji_rows(with_emoji(spark, sf), "doc_id", {"caption": F.col("text"), "hashtags": F.col("text")}), "doc_id")
 
 
 @query(r"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import emoji as E
@@ -13,7 +13,7 @@ from ..functions import times as C
 from ..operators import relational as R
 from ..registry import query
 from ..session import table
-from .texts import EMOJI, EMOJI_SQL, frames
+from .texts import EMOJI_SQL, frames, with_emoji
 
 LINES_SQL = r"""list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '\r\n?|\n?---\n?|\n'), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '')"""
 
@@ -27,10 +27,10 @@ def a11_rounded_aggregates(spark, sf) -> DataFrame:
 WITH c AS (SELECT s_suppkey AS pos, unnest([lower(s_name) || '_tv', lower(s_name)]) AS candidate, unnest([2, 1]) AS rank FROM supplier)
 SELECT (row_number() OVER (ORDER BY pos, rank))::INTEGER AS place, candidate FROM c""")
 def o05_source_order(spark, sf) -> DataFrame:
-    """By the entry's place in the list, then the candidate's rank; the list of entries is a bounded file."""
+    """By the entry's place in the list, then the candidate's rank."""
     made = F.array(F.struct(F.lit(2).alias("rank"), F.concat(F.lower("s_name"), F.lit("_tv")).alias("candidate")), F.struct(F.lit(1).alias("rank"), F.lower("s_name").alias("candidate")))
     c = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("pos"), F.explode(made).alias("x")).select("pos", "x.rank", "x.candidate")
-    return c.select(F.row_number().over(Window.orderBy("pos", "rank")).alias("place"), "candidate")
+    return R.numbered(c, ["pos", "rank"], "place").select("place", "candidate")
 
 
 @query("SELECT (o_orderkey // 100)::BIGINT AS batch, count(*)::BIGINT AS rows, min(o_orderkey) AS first_id, max(o_orderkey) AS last_id FROM orders GROUP BY 1")
@@ -183,27 +183,32 @@ def t20_emoji_string(spark, sf) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.size(g).alias("n"), F.array_join(F.array_distinct(g), "").alias("distinct_glyphs"))
 
 
-@query("SELECT * FROM (VALUES ('🔥', 'fire'), ('🧊', 'ice cube'), ('🚨', 'police car light'), ('🍕', 'slice of pizza')) t(emoji, emoji_name)")
+@query(f"WITH {EMOJI_SQL} SELECT emoji, name AS emoji_name, sum(n)::BIGINT AS times FROM e LEFT JOIN known USING (emoji) GROUP BY 1, 2")
 def t22_emoji_names(spark, sf) -> DataFrame:
-    return E.name_table(spark).where(F.col("emoji").isin("🔥", "🧊", "🚨", "🍕"))
+    """The name of every glyph that the documents hold, and how often they hold it."""
+    each = with_emoji(spark, sf).select(F.explode(E.glyphs(F.col("text"))).alias("emoji")).groupBy("emoji").agg(F.count("*").alias("times"))
+    return each.join(F.broadcast(E.name_table(spark)), "emoji", "left").select("emoji", "emoji_name", "times")  # a fixed table of under 3,000 rows
 
 
-@query("SELECT * FROM (VALUES ('🔥', 'emoji', 'emphasis'), ('🇺🇸', 'flag', 'flag'), ('🏽', 'modifier', 'modifier'), ('☑', 'symbol', 'symbol'), ('☀', 'symbol', 'symbol'), ('❤', 'emoji', 'emotion'), ('🍕', 'emoji', 'food'), ('🐶', 'emoji', 'emotion')) t(emoji, kind, category)")
+@query(f"WITH {EMOJI_SQL} SELECT DISTINCT emoji, kind, category FROM e LEFT JOIN known USING (emoji)")
 def t23_emoji_kinds(spark, sf) -> DataFrame:
-    names = {"🔥": "fire", "🇺🇸": "flag United States", "🏽": "skin", "☑": "ballot box", "☀": "sun", "❤": "red heart", "🍕": "slice of pizza", "🐶": "dog face"}
-    v = spark.createDataFrame(list(names.items()), "emoji string, name string").withColumn("kind", E.kind(F.col("emoji")))
-    return v.select("emoji", "kind", E.category(F.col("kind"), F.col("name")).alias("category"))
+    """Kind and category of every glyph that the documents hold, by its form and its name."""
+    each = with_emoji(spark, sf).select(F.explode(E.glyphs(F.col("text"))).alias("emoji")).distinct()
+    named = each.join(F.broadcast(E.name_table(spark)), "emoji", "left").withColumn("kind", E.kind(F.col("emoji")))  # a fixed table
+    return named.select("emoji", "kind", E.category(F.col("kind"), F.coalesce("emoji_name", F.lit(""))).alias("category"))
 
 
-@query(f"""
-WITH h AS (SELECT id, text, unnest(generate_series(1, length(text))) AS i FROM {EMOJI_SQL} WHERE text <> ''),
-c AS (SELECT id, i, string_split(trim(regexp_replace(substr(text, greatest(1, i - 80), i - greatest(1, i - 80)), '\\s+', ' ', 'g')), ' ') AS b, string_split(trim(regexp_replace(substr(text, i + 1, 80), '\\s+', ' ', 'g')), ' ') AS a FROM h WHERE substr(text, i, 1) = '🔥'),
-w AS (SELECT id, i, unnest(list_concat(b[-4:], a[:4])) AS w FROM c)
-SELECT id, string_agg(DISTINCT w, ' ' ORDER BY w) AS words FROM w WHERE w <> '' GROUP BY 1""")
+@query(rf"""
+WITH {EMOJI_SQL},
+h AS (SELECT doc_id, s, length(s) AS n, string_split(s, '🔥') AS parts FROM x WHERE contains(s, '🔥')),
+i AS (SELECT doc_id, s, unnest(generate_series(1, len(parts) - 1)) AS k, parts FROM h),
+o AS (SELECT doc_id, s, length(array_to_string(parts[1:k], '🔥')) AS pos FROM i),
+c AS (SELECT doc_id, list_filter(regexp_split_to_array(substr(s, greatest(1, pos - 79), least(80, pos)), '\s+'), lambda w: w <> '') AS b, list_filter(regexp_split_to_array(substr(s, pos + 2, 80), '\s+'), lambda w: w <> '') AS a FROM o),
+w AS (SELECT doc_id, unnest(list_concat(b[-4:], a[:4])) AS w FROM c)
+SELECT doc_id, string_agg(DISTINCT w, ' ' ORDER BY w) AS words FROM w GROUP BY 1""")
 def t25_emoji_context(spark, sf) -> DataFrame:
     """The four words before and after each flame, within 80 characters, each once."""
-    v = spark.createDataFrame(EMOJI, "id int, text string")
-    return E.context_words(v, "id", F.col("text"), "🔥").select("id", F.array_join(F.array_sort("words"), " ").alias("words"))
+    return E.context_words(with_emoji(spark, sf), "doc_id", F.col("text"), "🔥").select("doc_id", F.array_join(F.array_sort("words"), " ").alias("words"))
 
 
 @query()
@@ -289,11 +294,13 @@ def t58_reading_order(spark, sf) -> DataFrame:
     return d.select("doc_id", F.array_join(F.filter(F.transform("blocks", lambda b: F.array_join(b["words"], " ")), lambda x: x != ""), " ").alias("read"))
 
 
-@query("""SELECT id, CASE id WHEN 1 THEN '🔥🔥' WHEN 2 THEN '😂' WHEN 3 THEN '🔥🇺🇸' WHEN 7 THEN '🧊🧊🚨☀' ELSE '' END AS caption, CASE id WHEN 1 THEN '🔥' WHEN 2 THEN '😂' WHEN 3 THEN '🔥🇺🇸' WHEN 7 THEN '🧊🚨☀' ELSE '' END AS all_layers FROM (VALUES (1), (2), (3), (4), (5), (6), (7)) t(id)""")
+@query(f"""
+WITH {EMOJI_SQL}
+SELECT doc_id, array_to_string(g, '') AS caption, coalesce(array_to_string(list_transform(list_filter(list_zip(g, generate_series(1, len(g))), lambda z: list_position(g, z[1]) = z[2]), lambda z: z[1]), ''), '') AS all_layers FROM g""")
 def t59_export_emoji(spark, sf) -> DataFrame:
-    v = spark.createDataFrame(EMOJI, "id int, text string")
-    g = E.glyphs(F.col("text"))
-    return v.select("id", F.array_join(g, "").alias("caption"), F.array_join(F.array_distinct(F.concat(g, E.glyphs(F.col("text")))), "").alias("all_layers"))
+    """The glyphs of a document in order, and those of two layers together, each once."""
+    g = with_emoji(spark, sf).select("doc_id", E.glyphs(F.col("text")).alias("g"))
+    return g.select("doc_id", F.array_join("g", "").alias("caption"), F.array_join(F.array_distinct(F.concat("g", "g")), "").alias("all_layers"))
 
 
 @query(r"""SELECT doc_id, len(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]{2,}')))::INTEGER AS tokens, CASE WHEN coalesce(text, '') = '' THEN 0.0 ELSE round(length(regexp_replace(text, '\P{L}', '', 'g'))::DOUBLE / length(text), 6) END AS letters FROM documents""")

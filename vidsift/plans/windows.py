@@ -50,7 +50,7 @@ SELECT word, first_at, row_number() OVER (ORDER BY first_at, word)::INTEGER AS p
 FROM (SELECT lower(source) AS word, min(doc_id) AS first_at FROM documents GROUP BY 1)""")
 def w07_first_seen_order(spark, sf) -> DataFrame:
     d = table(spark, sf, "documents").groupBy(F.lower("source").alias("word")).agg(F.min("doc_id").alias("first_at"))
-    return d.withColumn("place", F.row_number().over(Window.orderBy("first_at", "word")))  # one row per handle: a bounded list
+    return R.numbered(d, ["first_at", "word"], "place")
 
 
 @query("""

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import text as X
+from ..operators.relational import numbered
 from .schemas import RAW_RESPONSE, aligned
 
 
@@ -16,7 +17,7 @@ def listed(spark: SparkSession, path: str) -> DataFrame:
     """(place, value): lines that are neither empty nor comments, lower case, without @; the first of equals kept."""
     lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("at"), X.handle(F.col("value")).alias("value"))
     kept = lines.where("value <> '' and not startswith(value, '#')").groupBy("value").agg(F.min("at").alias("at"))
-    return kept.select((F.row_number().over(Window.orderBy("at")) - 1).alias("place"), "value")  # a list file is small
+    return numbered(kept, ["at"], "place", 0).select("place", "value")
 
 
 def keywords(spark: SparkSession, path: str, column: str = "term") -> DataFrame:
@@ -26,7 +27,7 @@ def keywords(spark: SparkSession, path: str, column: str = "term") -> DataFrame:
     df = spark.read.csv(path, header=True)
     c = column if column in df.columns else df.columns[0]
     v = df.select(F.monotonically_increasing_id().alias("at"), F.lower(X.strip(F.col(f"`{c}`"))).alias("value")).where("value <> ''")
-    return v.groupBy("value").agg(F.min("at").alias("at")).select((F.row_number().over(Window.orderBy("at")) - 1).alias("place"), "value")
+    return numbered(v.groupBy("value").agg(F.min("at").alias("at")), ["at"], "place", 0).select("place", "value")
 
 
 def header(name: str) -> str:
