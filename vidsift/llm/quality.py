@@ -89,7 +89,8 @@ def fit(x: np.ndarray, y: np.ndarray, pairs: int = 200_000, l2: float = 1e-3, se
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text", max_rows: int = 20_000) -> Model:
     """Fit on at most ``max_rows`` labelled documents, the first by a hash of their id. Labels other than 0 and 1,
-    and null ids, are left out; of several labels of a document the least counts."""
+    and null ids, are left out; of several labels of a document the least counts, and of rows that share an id the least
+    text, so that ``max_rows`` bounds what comes to the driver whatever repeats."""
     from pyspark.sql.types import LongType, StructField, StructType
 
     spark = docs.sparkSession
@@ -97,6 +98,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: st
     chosen = bounded_sample(ids, max_rows)
     small = spark.createDataFrame([(int(r.id), int(r.y)) for r in chosen], StructType([StructField("id", LongType()), StructField("y", LongType())]))
     found = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(F.broadcast(small), "id")
+    found = found.groupBy("id", "y").agg(F.min("text").alias("text"))
 
     def rows(batches):
         for b in text_batches(batches):

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, partitions
+from .common import Scratch, partitions, sums
 
 SCALE = 256
 BLOCK = 4096
@@ -26,6 +26,8 @@ PACK_BYTES = 4_000_000
 HELD = 4
 SEEDS = 2048
 LARGEST = 2**24
+HUGE = float(np.finfo(np.float64).max)
+MOST = 2**63 - 1  # scores beyond 64 bits end here
 
 
 def _vectors(raw: list, dim: int) -> np.ndarray:
@@ -38,24 +40,31 @@ def _vectors(raw: list, dim: int) -> np.ndarray:
 def quantised(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(vec_id, dim, v, norm): floor(256 x) of each component as packed 32-bit integers, and the length.
 
-    Rows with a null id, a null or empty vector or a null or non-finite component take no part. A vector with a component
-    of 65536 or more is packed as whole doubles, which hold its integers exactly; a score beyond 64 bits is an error.
+    Rows with a null id, a null vector or a null or non-finite component take no part; an empty vector does, with the
+    others of its length. A vector with a component of 65536 or more is packed as whole doubles, which hold its integers
+    exactly, up to the largest double, which stands for what would be beyond it.
     """
-    d = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("e")).where("vec_id is not null and e is not null and size(e) > 0")
+    d = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("e")).where("vec_id is not null and e is not null")
 
     def rows(batches):
         for b in batches:
+            if not b.num_rows:
+                continue
             lists = b.column("e")
             n = np.diff(lists.offsets.to_numpy())
             given = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             bad = ~np.isfinite(given)
-            flat = np.floor(np.where(bad, 0, given) * SCALE)
-            if not np.isfinite(flat).all():
-                raise OverflowError("a component is too large to be scaled")
+            with np.errstate(over="ignore"):
+                flat = np.clip(np.floor(np.where(bad, 0, given) * SCALE), -HUGE, HUGE)
             starts = np.cumsum(n) - n
-            ok = np.add.reduceat(bad, starts) == 0 if len(n) else np.zeros(0, bool)
-            wide = np.add.reduceat(np.abs(flat) >= LARGEST, starts) > 0 if len(n) else np.zeros(0, bool)
-            norm = np.sqrt(np.add.reduceat(flat**2, starts)) if len(n) else np.zeros(0)
+            off = np.append(starts, n.sum())
+            ok, wide = sums(bad, off) == 0, sums(np.abs(flat) >= LARGEST, off) > 0
+            size = np.zeros(len(n))
+            full = n > 0
+            size[full] = np.maximum.reduceat(np.abs(flat), starts[full]) if full.any() else 0
+            unit = flat / np.maximum(np.repeat(size, n), 1)  # lengths without overflow
+            with np.errstate(over="ignore"):
+                norm = np.minimum(np.maximum(size, 1) * np.sqrt(sums(unit**2, off)), HUGE)
             keep = np.flatnonzero(ok)
             yield pa.record_batch([b.column("vec_id").take(pa.array(keep)), pa.array(n[keep], pa.int32()), pa.array([flat[starts[i] : starts[i] + n[i]].astype("<f8" if wide[i] else "<i4").tobytes() for i in keep], pa.binary()), pa.array(norm[keep])], names=["vec_id", "dim", "v", "norm"])
 
@@ -72,6 +81,7 @@ def axes(data: DataFrame, dim: int) -> np.ndarray:
         for b in batches:
             if b.num_rows:
                 x = _vectors(b.column("v").to_pylist(), dim).astype(np.float64)
+                x = x[np.abs(x).max(axis=1) < 1e100]  # the axes only order the work; squares of longer ones overflow
                 m += x.T @ x
         yield pa.record_batch([pa.array([TaskContext.get().partitionId() % 32], pa.int32()), pa.array([m.tobytes()], pa.binary())], names=["k", "m"])
 
@@ -94,23 +104,26 @@ class Search:
         self.ids, self.q, self.k, self.dim = ids, q.astype(np.float64), k, q.shape[1]
         self.head = max(1, self.dim // 4)
         self.turn = rotation
-        self.norm = np.sqrt((self.q**2).sum(axis=1))
-        turned = self.q @ rotation
-        self.lead, self.rest = turned[:, : self.head], np.sqrt(np.maximum((turned[:, self.head :] ** 2).sum(axis=1), 0))
+        with np.errstate(over="ignore", invalid="ignore"):
+            self.norm = np.minimum(np.sqrt((self.q**2).sum(axis=1)), HUGE)
+            turned = self.q @ rotation
+            self.lead, self.rest = turned[:, : self.head], np.sqrt(np.maximum((turned[:, self.head :] ** 2).sum(axis=1), 0))
         self.largest = np.abs(self.q).max(initial=0)
         self.floor = np.full(len(ids), -np.inf) if floor is None else floor.copy()
         self.best = np.zeros((0, 3), np.int64)  # query number, -score, vec_id
 
     def add(self, vec_ids: np.ndarray, x: np.ndarray, norms: np.ndarray) -> bool:
         """False when no later, shorter vector can matter."""
-        slack = 1e-9 * self.norm * norms.max(initial=0) + 1e-6
-        open_q = np.flatnonzero(self.norm * norms.max(initial=0) + slack >= self.floor)
-        if not len(open_q):
-            return False
-        xf = x.astype(np.float64)
-        turned = xf @ self.turn
-        rest = np.sqrt(np.maximum((turned[:, self.head :] ** 2).sum(axis=1), 0))
-        bound = self.lead[open_q] @ turned[:, : self.head].T + np.outer(self.rest[open_q], rest)
+        with np.errstate(over="ignore", invalid="ignore"):
+            slack = 1e-9 * self.norm * norms.max(initial=0) + 1e-6
+            open_q = np.flatnonzero(self.norm * norms.max(initial=0) + slack >= self.floor)
+            if not len(open_q):
+                return False
+            xf = x.astype(np.float64)
+            turned = xf @ self.turn
+            rest = np.sqrt(np.maximum((turned[:, self.head :] ** 2).sum(axis=1), 0))
+            bound = self.lead[open_q] @ turned[:, : self.head].T + np.outer(self.rest[open_q], rest)
+            bound[~np.isfinite(bound)] = np.inf  # overflow says nothing
         qi, xi = np.nonzero((bound + slack[open_q, None] >= self.floor[open_q, None]) & (self.ids[open_q][:, None] != vec_ids[None, :]))
         if len(qi):
             qn = open_q[qi]
@@ -118,7 +131,8 @@ class Search:
                 used, inv = np.unique(qi, return_inverse=True)
                 score = (self.q[open_q[used]] @ xf.T)[inv, xi].astype(np.int64)
             else:
-                score = np.array([sum(int(a) * int(b) for a, b in zip(self.q[i], x[j], strict=True)) for i, j in zip(qn, xi, strict=True)], np.int64)
+                exact = (sum(int(a) * int(b) for a, b in zip(self.q[i], x[j], strict=True)) for i, j in zip(qn, xi, strict=True))
+                score = np.array([max(-MOST, min(MOST, e)) for e in exact], np.int64)
             ok = score >= self.floor[qn]
             self.merge(np.stack([qn[ok], -score[ok], vec_ids[xi[ok]]], axis=1))
         return True
@@ -165,7 +179,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_id
 
     Queries are the rows whose id is divisible by ``every``; rows with a query's id are its own and no candidates of
     it; of rows that repeat a query's id the least vector asks. Other repeated rows each count. Vectors of different
-    lengths are not compared; each length is a search of its own, with its own axes. Ties go to the smaller vec_id. An
+    lengths are not compared; each length is a search of its own, with its own axes. Empty vectors score 0 among
+    themselves. Ties go to the smaller vec_id, scores beyond 64 bits count as the greatest or least that 64 bits hold. An
     empty table gives no rows. block and pack bound the queries and the vectors of a pair of packs.
     """
     spark = vectors.sparkSession
@@ -175,13 +190,23 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_id
     raw = work.save(quantised(vectors, vec_id, embedding), "integers")
     data = scratch.save(raw.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order), "by_length")
     work.drop()
-    found = [_search(scratch, data.where(F.col("dim") == r.dim), r.dim, k, every, block, pack) for r in data.select("dim").distinct().orderBy("dim").collect()]
+    found = [_search(scratch, data.where(F.col("dim") == r.dim), r.dim, k, every, block, pack) if r.dim else _empty(data.where("dim = 0"), k, every) for r in data.select("dim").distinct().orderBy("dim").collect()]
     if not found:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _empty(own: DataFrame, k: int, every: int) -> DataFrame:
+    """Empty vectors all score 0 with each other, so a query's best are the least ids but its own: of 2 k rows, k at most
+    of one id, k are left."""
+    of_id = own.select("vec_id", F.row_number().over(Window.partitionBy("vec_id").orderBy("vec_id")).alias("n")).where(F.col("n") <= k)
+    least = [r.vec_id for r in of_id.orderBy("vec_id").limit(2 * k).collect()]
+    first = F.slice(F.filter(F.array(*map(F.lit, least)).cast("array<long>"), lambda x: x != F.col("query_id")), 1, k)
+    asking = own.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id")).distinct()
+    return asking.select("query_id", F.explode(first).alias("vec_id"), F.lit(0).cast("long").alias("score"))
+
+
 def _search(scratch: Scratch, own: DataFrame, dim: int, k: int, every: int, block: int, pack: int) -> DataFrame:
     turn = axes(own, dim)
     n = own.count()
