@@ -42,6 +42,16 @@ def test_exports_are_refused_unless_whole(spark, tmp_path):
         stores.verify(spark, path, counts, columns, "2024-02-01")
 
 
+def test_a_byte_order_mark_opens_each_file(spark, tmp_path):
+    from vidsift.sources import writers
+
+    df = spark.range(6).selectExpr("id", "'x' AS s").repartition(2)
+    for mark in (True, False):
+        writers.write_csv(df, f"{tmp_path}/{mark}", ("s",), mark=mark)
+        files = [f"{tmp_path}/{mark}/{f}" for f in os.listdir(f"{tmp_path}/{mark}") if f.endswith(".csv")]
+        assert len(files) == 2 and all(open(f, "rb").read().startswith(b"\xef\xbb\xbfs,id" if mark else b"s,id") for f in files)
+
+
 def test_archive_replaces_and_keeps_on_failure(spark, tmp_path, monkeypatch):
     from vidsift.sources import stores
 

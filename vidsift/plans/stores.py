@@ -10,7 +10,7 @@ from ..operators import relational as R
 from ..registry import query
 from ..session import table
 from ..sources import landed as L
-from ..sources import stores
+from ..sources import stores, writers
 
 
 @query("""
@@ -54,6 +54,31 @@ def k24_observed_export(spark, sf) -> DataFrame:
     return spark.createDataFrame([(k, c["rows"], c["read_back"], c["other_days"], c["failed"]) for k, c in done], "kind string, rows long, read_back long, other_days long, failed long")
 
 
+@query("""
+SELECT 'status,id,day,note' AS line, true AS header UNION ALL
+SELECT o_orderstatus || ',' || o_orderkey || ',' || strftime(o_orderdate, '%Y-%m-%d') || ',' || CASE WHEN o_custkey % 2 = 0 THEN '"a ""b"", c"' ELSE '' END, false FROM orders""")
+def k20_csv_with_mark(spark, sf) -> DataFrame:
+    """The lines of an export that a byte order mark opens (text readers skip it): header, status first, quotes doubled."""
+    note = F.when(F.col("o_custkey") % 2 == 0, 'a "b", c')
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), note.alias("note"), F.col("o_orderstatus").alias("status"))
+    path = L.workspace(spark, "marked")
+    writers.write_csv(o, path, ("status",), mark=True)
+    lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("value").contains("status,id").alias("header"))
+    return lines.where("not header").unionByName(lines.where("header").distinct())  # each file has one
+
+
+@query("""
+SELECT 'read' AS action, event_type AS target, count(*) AS n, 1::INTEGER AS run FROM events GROUP BY 2
+UNION ALL SELECT 'retry', event_type, count(*), 2 FROM events WHERE value < 10 GROUP BY 2""")
+def k30_audit_log(spark, sf) -> DataFrame:
+    """Rows of two runs appended to a stored audit log; the second adds to what the first left."""
+    path, e = L.workspace(spark, "audit"), table(spark, sf, "events")
+    for run, (action, rows) in enumerate((("read", e), ("retry", e.where("value < 10"))), 1):
+        told = rows.groupBy(F.col("event_type").alias("target")).agg(F.count("*").alias("n"))
+        writers.append(told.select(F.lit(action).alias("action"), "target", "n", F.lit(run).alias("run")), path)
+    return spark.read.schema("action string, target string, n long, run int").parquet(path)
+
+
 @query("""SELECT 'p1_events/2024-02-01' AS object, true AS replaced, true AS has_bytes, event_id, event_type FROM events WHERE event_type <> 'error'""")
 def k25_archived_object(spark, sf) -> DataFrame:
     """An export archived under its day, a second one in its place, and the rows of what lies there."""

@@ -88,8 +88,12 @@ def csv_shape(df: DataFrame, lead: Sequence[str]) -> DataFrame:
     return df.select(*out)
 
 
-def write_csv(df: DataFrame, path: str, lead: Sequence[str] = ()) -> None:
-    csv_shape(df, lead).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+def write_csv(df: DataFrame, path: str, lead: Sequence[str] = (), mark: bool = False) -> None:
+    """CSV files with a header each; with ``mark`` a byte order mark opens each file, as spreadsheets want it."""
+    shaped = csv_shape(df, lead)
+    if mark:
+        shaped = shaped.withColumnRenamed(shaped.columns[0], "\ufeff" + shaped.columns[0])
+    shaped.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
 
 
 def gate(df: DataFrame, day: str, least_failed: int = 0, date: str = "collection_date", status: str = "collection_status") -> DataFrame:

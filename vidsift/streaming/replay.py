@@ -8,8 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-#: State with several variables or timers is kept in this store.
-STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+#: Keyed state is kept in this store. Its many small parts set no disk aside beforehand, store changes rather than all
+#: state, and leave the executors' disks soon after their query ends.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "1s",
+}
 
 
 def drain(spark: SparkSession, begin: Callable[[], StreamingQuery]) -> None:
