@@ -464,6 +464,54 @@ def test_near_copies_of_every_similarity(spark):
     assert kept_near_copies(spark, texts) == want
 
 
+def test_parities_and_minima_lose_no_pair():
+    """Parity bits, folded or not, never differ in more places than the sets do; pairs of 0.8 stay, far ones go."""
+    from vidsift.llm import simhash
+
+    rng = np.random.default_rng(4)
+    sets, rows = [], []
+    for size in (0, 1, 2, 5, 40, 200, 900, 5000):
+        base = rng.integers(0, 2**63, size, dtype=np.uint64)
+        for share in (0, 0.02, 0.1, 0.11, 0.12, 0.2, 0.5, 1):
+            own = base.copy()
+            own[: int(share * size)] = rng.integers(0, 2**63, int(share * size), dtype=np.uint64)
+            sets.append(np.unique(own))
+    rows = [m + p for m, p in zip(simhash.sketches(sets), simhash.parities(sets), strict=True)]
+    for s in (0.5, 0.8, 0.95):
+        held = simhash.Sketches(rows, np.array([len(x) for x in sets]), s)
+        for i, x in enumerate(sets):
+            alike = held.alike(np.array(i), np.arange(len(sets)))
+            for j, y in enumerate(sets):
+                apart = len(np.setxor1d(x, y))
+                assert np.bitwise_count(held.parity[i] ^ held.parity[j]).sum() <= apart
+                assert np.bitwise_count(held.narrow[i] ^ held.narrow[j]).sum() <= apart
+                if simhash.jaccard(x, y) >= s:
+                    assert alike[j]
+                elif 0 < len(x) <= 1000 and simhash.jaccard(x, y) < s - 0.15:
+                    assert not alike[j]
+
+
+def test_template_texts_propose_few_pairs(spark, monkeypatch):
+    """Texts that share half their words in one passage, none alike: pairs proposed grow with the texts, not their square."""
+    from vidsift.llm import common, simhash
+
+    rng, counts = random.Random(3), {}
+    template = words_of(rng, 60, 6000)
+    save = common.Scratch.save
+
+    def counted(self, df, name):
+        out = save(self, df, name)
+        counts[name] = counts.get(name, 0) + (out.count() if name in ("proposed", "likely") else 0)
+        return out
+
+    monkeypatch.setattr(common.Scratch, "save", counted)
+    for n in (300, 900):
+        counts.clear()
+        texts = {i: " ".join(template + [f"w{rng.randrange(10**6)}" for _ in range(60)]) for i in range(n)}
+        assert kept_near_copies(spark, texts) == set(texts)
+        assert counts["proposed"] <= 10 * n and counts["likely"] <= n
+
+
 def test_url_filter(spark):
     from vidsift.llm import urlfilter as U
 

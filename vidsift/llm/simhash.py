@@ -259,6 +259,53 @@ def _mixed_once(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
+PARITY = 2048
+_NARROW = 256
+
+
+def parities(sets: list[np.ndarray], bits: int = PARITY) -> list[bytes]:
+    """Of each shingle set a bit for each of ``bits`` cells: whether the set has an odd number of shingles there.
+
+    Shingles that two sets share cancel out, so these bits differ in at most as many places as the sets do.
+    """
+    out = []
+    for a in range(0, len(sets), 256):
+        some = sets[a : a + 256]
+        cell = (_mixed(np.concatenate(some)) >> np.uint64(64 - (bits.bit_length() - 1))).astype(np.int64)
+        cell += np.repeat(np.arange(len(some)), [len(x) for x in some]) * bits
+        odd = np.bincount(cell, minlength=len(some) * bits).astype(np.uint8) & 1
+        out += [x.tobytes() for x in np.packbits(odd.reshape(len(some), bits), axis=1, bitorder="little")]
+    return out
+
+
+class Sketches:
+    """Minima and parities of many sets side by side, to tell which of them can be alike.
+
+    Parities rule out for certain: sets of similarity s differ in at most (1 - s) / (1 + s) of the sum of their sizes.
+    A fold of them onto fewer cells, which keeps that bound, is looked at first. They say little of sets far larger than
+    PARITY; minima do: a pair of 0.8 agrees in fewer than LIKELY of the LANES bytes with a chance below 1e-8.
+    """
+
+    def __init__(self, rows: list[bytes], n: np.ndarray, similarity: float):
+        both = np.frombuffer(b"".join(rows), np.uint8).reshape(len(n), LANES + PARITY // 8)
+        self.minima, self.n = both[:, :LANES], n
+        self.parity = np.ascontiguousarray(both[:, LANES:]).view(np.uint64)
+        self.narrow = np.bitwise_xor.reduce(self.parity.reshape(len(n), -1, _NARROW // 64), axis=1)
+        self.similarity, self.least, self.apart = similarity, LIKELY * similarity / 0.8, (1 - similarity) / (1 + similarity)
+
+    def alike(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether sets x[i] and y[i], by place, can be alike. x and y are arrays of places; x may be a single place."""
+        x = np.broadcast_to(x, y.shape)
+        out = np.zeros(len(y), bool)
+        left = np.flatnonzero(np.minimum(self.n[x], self.n[y]) >= self.similarity * np.maximum(self.n[x], self.n[y]) - 1e-9)
+        for parity in (self.narrow, self.parity):
+            differ = np.bitwise_count(parity[x[left]] ^ parity[y[left]]).sum(axis=1, dtype=np.int64)
+            left = left[differ <= self.apart * (self.n[x[left]] + self.n[y[left]]) + 1e-9]
+        left = left[(self.minima[x[left]] == self.minima[y[left]]).sum(axis=1) >= self.least]
+        out[left] = True
+        return out
+
+
 def word_fingerprints(texts: pa.Array, tables: int = TABLES, shingle: int = 5) -> tuple[np.ndarray, list[np.ndarray], list[bytes]]:
     """Of each text: ``tables`` independent SimHashes of its words, its shingle set, a key of its words.
 
@@ -296,22 +343,18 @@ def jaccard(x: np.ndarray, y: np.ndarray) -> float:
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of nodes less those whose sizes or sketches are clearly too far apart. nodes: node, n, sketch.
-
-    A pair of similarity 0.8 agrees in fewer than LIKELY of the LANES bytes with a chance below 1e-8.
-    """
+    """Pairs (a, b) of nodes less those whose sizes or sketches are too far apart (Sketches). nodes: node, n, sketch."""
     of = lambda side: nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"))
     met = pairs.join(of("a"), "a").where("n_a > 0").join(of("b"), "b").where(F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - 1e-9)
-    least = LIKELY * similarity / 0.8
 
     def near(batches):
         for b in batches:
-            if b.num_rows:
-                x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(b.num_rows, -1) for c in ("s_a", "s_b"))
-                keep = pa.array((x == y).sum(axis=1) >= least)
+            if m := b.num_rows:
+                both = Sketches([*b.column("s_a").to_pylist(), *b.column("s_b").to_pylist()], np.concatenate([b.column(c).to_numpy() for c in ("n_a", "n_b")]), similarity)
+                keep = pa.array(both.alike(np.arange(m), np.arange(m, 2 * m)))
                 yield pa.record_batch([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
 
-    return met.select("a", "b", "s_a", "s_b").mapInArrow(near, "a long, b long")
+    return met.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(near, "a long, b long")
 
 
 def verified(texts: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -430,11 +473,49 @@ def prefix_buckets(work: Scratch, texts: DataFrame, shingle: int, similarity: fl
     return lists.select(F.xxhash64("digest").alias("bucket"), F.explode(F.arrays_zip("node", "n")).alias("x")).select("bucket", "x.node", "x.n")
 
 
+def proposals(first: int, end: int, similarity: float):
+    """A function over batches (bucket, node, n, root, sketch), sorted by bucket and node: pairs (a, b) that hubs propose.
+
+    Members first to end of a bucket, or all of a small one, are its hubs; each proposes the members after it that are
+    not in its group and can be alike by size and, where there are any, by sketch. A bucket with more hubs to come is
+    handed on as (bucket, null).
+    """
+
+    def propose(batches):
+        for bucket, node, n, root, sketch in _runs(batches, "bucket"):
+            out_a, out_b, left = [], [], []
+            for x, y in zip(*map(np.ndarray.tolist, _spans(bucket)), strict=True):
+                m = y - x
+                if (first and m <= SMALL) or m <= first + 1 or (root[x:y] == root[x]).all():
+                    continue
+                last = m if m <= SMALL else min(end, m)
+                if last < m - 1:
+                    left.append(int(bucket[x]))
+                held = Sketches(sketch[x:y].tolist(), n[x:y], similarity) if sketch[x] is not None else None
+                for i in range(x + first, x + last):
+                    fits = (root[i + 1 : y] != root[i]) & (np.minimum(n[i + 1 : y], n[i]) >= similarity * np.maximum(n[i + 1 : y], n[i]) - 1e-9)
+                    others = i + 1 + np.flatnonzero(fits)
+                    if held and len(others):
+                        others = others[held.alike(np.array(i - x), others - x)]
+                    if len(others):
+                        out_a.append(np.full(len(others), node[i]))
+                        out_b.append(node[others])
+            if out_a or left:
+                a, b = np.concatenate([*out_a, np.array(left, np.int64)]), np.concatenate([*out_b, np.zeros(len(left), np.int64)])
+                full = np.arange(len(a)) < len(a) - len(left)
+                yield pa.record_batch([pa.array(a), pa.array(b, mask=~full)], names=["a", "b"])
+        release()
+
+    return propose
+
+
 def settled(work: Scratch, texts: DataFrame, nodes: DataFrame, known: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """Roots (v, root) of the groups closed over all pairs of that similarity, given links ``known`` among them.
 
     Each round the next hubs of a bucket (all members of a small one) meet the members that are not yet in their
     group; hubs grow eightfold. A bucket is done when it is one group or all its possible pairs have been compared.
+    From the second round on, when few buckets are left, their rows carry the sketches, and only pairs that can be alike
+    leave the task.
     """
     links_ = known
     roots = work.save(components(work, links_), "roots")
@@ -442,39 +523,16 @@ def settled(work: Scratch, texts: DataFrame, nodes: DataFrame, known: DataFrame,
     compared, some, done, hubs = None, None, 0, 4
     parts = partitions(texts.sparkSession)
     while True:
-        rooted = buckets.join(roots.withColumnRenamed("v", "node"), "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
-        first, end = done, done + hubs
-
-        def propose(batches, first=first, end=end):
-            for bucket, node, n, root in _runs(batches, "bucket"):
-                out_a, out_b, left = [], [], []
-                for x, y in zip(*map(np.ndarray.tolist, _spans(bucket)), strict=True):
-                    m = y - x
-                    if (first and m <= SMALL) or m <= first + 1 or (root[x:y] == root[x]).all():
-                        continue
-                    last = m if m <= SMALL else min(end, m)
-                    if last < m - 1:
-                        left.append(int(bucket[x]))
-                    for i in range(x + first, x + last):
-                        fits = (root[i + 1 : y] != root[i]) & (np.minimum(n[i + 1 : y], n[i]) >= similarity * np.maximum(n[i + 1 : y], n[i]) - 1e-9)
-                        if fits.any():
-                            other = node[i + 1 : y][fits]
-                            out_a.append(np.full(len(other), node[i]))
-                            out_b.append(other)
-                if out_a or left:
-                    a, b = np.concatenate([*out_a, np.array(left, np.int64)]), np.concatenate([*out_b, np.zeros(len(left), np.int64)])
-                    full = np.arange(len(a)) < len(a) - len(left)
-                    yield pa.record_batch([pa.array(a), pa.array(b, mask=~full)], names=["a", "b"])
-            release()
-
+        sketched = buckets.withColumn("sketch", F.lit(None).cast("binary")) if not done else buckets.join(nodes.select("node", "sketch"), "node")
+        rooted = sketched.join(roots.withColumnRenamed("v", "node"), "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"), "sketch")
         dealt = rooted.repartition(parts, "bucket").sortWithinPartitions("bucket", "node")
-        said = work.save(dealt.mapInArrow(propose, "a long, b long").distinct(), "proposed")
+        said = work.save(dealt.mapInArrow(proposals(done, done + hubs, similarity), "a long, b long").distinct(), "proposed")
         pairs = said.where("b is not null")
         pairs = pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti")
         near = work.save(likely(pairs, nodes, similarity), "likely")
         compared = pairs if compared is None else compared.unionByName(pairs)
         more = said.where("b is null").select(F.col("a").alias("bucket"))
-        done, hubs = end, hubs * 8
+        done, hubs = done + hubs, hubs * 8
         going = not more.isEmpty()
         if not near.isEmpty():
             if some is None and going:
@@ -508,7 +566,7 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         for b in text_batches(batches, 1_000_000):
             bits, sets, keys = word_fingerprints(strings(b.column("text")), tables, shingle)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * tables, pa.int32()), pa.array(bits.reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column("uid"), lists, pa.array([len(x) for x in sets], pa.int64()), pa.array(sketches(sets), pa.binary()), pa.array(keys, pa.binary())], names=["uid", "fps", "n", "sketch", "key"])
+            yield pa.RecordBatch.from_arrays([b.column("uid"), lists, pa.array([len(x) for x in sets], pa.int64()), pa.array([m + p for m, p in zip(sketches(sets), parities(sets), strict=True)], pa.binary()), pa.array(keys, pa.binary())], names=["uid", "fps", "n", "sketch", "key"])
         release()
 
     all_texts = tagged.select(F.col(uid).alias("uid"), F.col(f"`{text}`").alias("text"))
