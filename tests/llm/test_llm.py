@@ -476,15 +476,17 @@ def test_parities_and_minima_lose_no_pair():
             own = base.copy()
             own[: int(share * size)] = rng.integers(0, 2**63, int(share * size), dtype=np.uint64)
             sets.append(np.unique(own))
-    rows = [m + p for m, p in zip(simhash.sketches(sets), simhash.parities(sets), strict=True)]
+    rows = simhash.whole_sketches(sets)
     for s in (0.5, 0.8, 0.95):
-        held = simhash.Sketches(rows, np.array([len(x) for x in sets]), s)
+        size = np.array([len(x) for x in sets])
+        held, narrow = simhash.Sketches(rows, size, s), simhash.Sketches([r[: simhash.NARROW // 8] for r in rows], size, s)
         for i, x in enumerate(sets):
-            alike = held.alike(np.array(i), np.arange(len(sets)))
+            alike, first = (h.alike(np.array(i), np.arange(len(sets))) for h in (held, narrow))
             for j, y in enumerate(sets):
                 apart = len(np.setxor1d(x, y))
-                assert np.bitwise_count(held.parity[i] ^ held.parity[j]).sum() <= apart
-                assert np.bitwise_count(held.narrow[i] ^ held.narrow[j]).sum() <= apart
+                assert len(held.parities) == 2 and len(narrow.parities) == 1 and first[j] >= alike[j]
+                for parity in held.parities:
+                    assert np.bitwise_count(parity[i] ^ parity[j]).sum() <= apart
                 if simhash.jaccard(x, y) >= s:
                     assert alike[j]
                 elif 0 < len(x) <= 1000 and simhash.jaccard(x, y) < s - 0.15:

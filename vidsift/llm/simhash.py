@@ -260,7 +260,7 @@ def _mixed_once(x: np.ndarray) -> np.ndarray:
 
 
 PARITY = 2048
-_NARROW = 256
+NARROW = 512
 
 
 def parities(sets: list[np.ndarray], bits: int = PARITY) -> list[bytes]:
@@ -278,19 +278,25 @@ def parities(sets: list[np.ndarray], bits: int = PARITY) -> list[bytes]:
     return out
 
 
+def whole_sketches(sets: list[np.ndarray]) -> list[bytes]:
+    """Of each shingle set its narrow parities, minima and parities, one after the other (Sketches)."""
+    return [b"".join(x) for x in zip(parities(sets, NARROW), sketches(sets), parities(sets), strict=True)]
+
+
 class Sketches:
     """Minima and parities of many sets side by side, to tell which of them can be alike.
 
     Parities rule out for certain: sets of similarity s differ in at most (1 - s) / (1 + s) of the sum of their sizes.
-    A fold of them onto fewer cells, which keeps that bound, is looked at first. They say little of sets far larger than
-    PARITY; minima do: a pair of 0.8 agrees in fewer than LIKELY of the LANES bytes with a chance below 1e-8.
+    Parities of NARROW cells, which keep that bound, are looked at first. They say little of sets far larger than their
+    cells; minima do: a pair of 0.8 agrees in fewer than LIKELY of the LANES bytes with a chance below 1e-8. Rows are
+    narrow parities, minima and PARITY parities, or narrow parities alone.
     """
 
     def __init__(self, rows: list[bytes], n: np.ndarray, similarity: float):
-        both = np.frombuffer(b"".join(rows), np.uint8).reshape(len(n), LANES + PARITY // 8)
-        self.minima, self.n = both[:, :LANES], n
-        self.parity = np.ascontiguousarray(both[:, LANES:]).view(np.uint64)
-        self.narrow = np.bitwise_xor.reduce(self.parity.reshape(len(n), -1, _NARROW // 64), axis=1)
+        both = np.frombuffer(b"".join(rows), np.uint8).reshape(len(n), -1)
+        self.n, cut = n, (NARROW // 8, NARROW // 8 + LANES)
+        self.parities = [np.ascontiguousarray(x).view(np.uint64) for x in (both[:, : cut[0]], both[:, cut[1] :]) if x.size]
+        self.minima = both[:, cut[0] : cut[1]]
         self.similarity, self.least, self.apart = similarity, LIKELY * similarity / 0.8, (1 - similarity) / (1 + similarity)
 
     def alike(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -298,10 +304,11 @@ class Sketches:
         x = np.broadcast_to(x, y.shape)
         out = np.zeros(len(y), bool)
         left = np.flatnonzero(np.minimum(self.n[x], self.n[y]) >= self.similarity * np.maximum(self.n[x], self.n[y]) - 1e-9)
-        for parity in (self.narrow, self.parity):
+        for parity in self.parities:
             differ = np.bitwise_count(parity[x[left]] ^ parity[y[left]]).sum(axis=1, dtype=np.int64)
             left = left[differ <= self.apart * (self.n[x[left]] + self.n[y[left]]) + 1e-9]
-        left = left[(self.minima[x[left]] == self.minima[y[left]]).sum(axis=1) >= self.least]
+        if self.minima.size:
+            left = left[(self.minima[x[left]] == self.minima[y[left]]).sum(axis=1) >= self.least]
         out[left] = True
         return out
 
@@ -477,7 +484,7 @@ def proposals(first: int, end: int, similarity: float):
     """A function over batches (bucket, node, n, root, sketch), sorted by bucket and node: pairs (a, b) that hubs propose.
 
     Members first to end of a bucket, or all of a small one, are its hubs; each proposes the members after it that are
-    not in its group and can be alike by size and, where there are any, by sketch. A bucket with more hubs to come is
+    not in its group and can be alike by size and by sketch. A bucket with more hubs to come is
     handed on as (bucket, null).
     """
 
@@ -491,11 +498,11 @@ def proposals(first: int, end: int, similarity: float):
                 last = m if m <= SMALL else min(end, m)
                 if last < m - 1:
                     left.append(int(bucket[x]))
-                held = Sketches(sketch[x:y].tolist(), n[x:y], similarity) if sketch[x] is not None else None
+                held = Sketches(sketch[x:y].tolist(), n[x:y], similarity)
                 for i in range(x + first, x + last):
                     fits = (root[i + 1 : y] != root[i]) & (np.minimum(n[i + 1 : y], n[i]) >= similarity * np.maximum(n[i + 1 : y], n[i]) - 1e-9)
                     others = i + 1 + np.flatnonzero(fits)
-                    if held and len(others):
+                    if len(others):
                         others = others[held.alike(np.array(i - x), others - x)]
                     if len(others):
                         out_a.append(np.full(len(others), node[i]))
@@ -514,8 +521,8 @@ def settled(work: Scratch, texts: DataFrame, nodes: DataFrame, known: DataFrame,
 
     Each round the next hubs of a bucket (all members of a small one) meet the members that are not yet in their
     group; hubs grow eightfold. A bucket is done when it is one group or all its possible pairs have been compared.
-    From the second round on, when few buckets are left, their rows carry the sketches, and only pairs that can be alike
-    leave the task.
+    Only pairs that can be alike by sketch leave the task: rows carry narrow parities in the first round, whole sketches
+    later, when few buckets are left.
     """
     links_ = known
     roots = work.save(components(work, links_), "roots")
@@ -523,7 +530,8 @@ def settled(work: Scratch, texts: DataFrame, nodes: DataFrame, known: DataFrame,
     compared, some, done, hubs = None, None, 0, 4
     parts = partitions(texts.sparkSession)
     while True:
-        sketched = buckets.withColumn("sketch", F.lit(None).cast("binary")) if not done else buckets.join(nodes.select("node", "sketch"), "node")
+        sketch = F.col("sketch") if done else F.substring("sketch", 1, NARROW // 8)
+        sketched = buckets.join(nodes.select("node", sketch.alias("sketch")), "node")
         rooted = sketched.join(roots.withColumnRenamed("v", "node"), "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"), "sketch")
         dealt = rooted.repartition(parts, "bucket").sortWithinPartitions("bucket", "node")
         said = work.save(dealt.mapInArrow(proposals(done, done + hubs, similarity), "a long, b long").distinct(), "proposed")
@@ -566,7 +574,7 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         for b in text_batches(batches, 1_000_000):
             bits, sets, keys = word_fingerprints(strings(b.column("text")), tables, shingle)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * tables, pa.int32()), pa.array(bits.reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column("uid"), lists, pa.array([len(x) for x in sets], pa.int64()), pa.array([m + p for m, p in zip(sketches(sets), parities(sets), strict=True)], pa.binary()), pa.array(keys, pa.binary())], names=["uid", "fps", "n", "sketch", "key"])
+            yield pa.RecordBatch.from_arrays([b.column("uid"), lists, pa.array([len(x) for x in sets], pa.int64()), pa.array(whole_sketches(sets), pa.binary()), pa.array(keys, pa.binary())], names=["uid", "fps", "n", "sketch", "key"])
         release()
 
     all_texts = tagged.select(F.col(uid).alias("uid"), F.col(f"`{text}`").alias("text"))
