@@ -514,6 +514,55 @@ def test_template_texts_propose_few_pairs(spark, monkeypatch):
         assert counts["proposed"] <= 10 * n and counts["likely"] <= n
 
 
+def test_buckets_of_a_lane_say_a_pair_once(spark):
+    """Alike texts that meet in many buckets: one row a pair and lane, buckets whole and in one lane, lanes bounded."""
+    import pyarrow as pa
+
+    from vidsift.llm import common, simhash
+
+    rng, schema = np.random.default_rng(7), ["lane", "bucket", "node", "n", "root", "sketch"]
+    sketch = simhash.whole_sketches([np.sort(rng.integers(0, 2**63, 300, dtype=np.uint64))])[0][: simhash.NARROW // 8]
+    rows = [(lane, 10 * lane + bucket, node, 300, node) for lane in (1, 2) for bucket in range(9) for node in range(40)]
+    batches = [pa.record_batch([*(pa.array(c) for c in zip(*rows[i : i + 100])), pa.array([sketch] * len(rows[i : i + 100]))], names=schema) for i in range(0, len(rows), 100)]
+    for hubs in (4, 40):
+        said = [(r["a"], r["b"]) for b in simhash.proposals(0, hubs, 0.8)(batches) for r in b.to_pylist()]
+        full = [p for p in said if p[1] is not None]
+        assert set(full) == {(a, b) for a in range(hubs) for b in range(a + 1, 40)} and len(full) <= 2 * len(set(full))
+        assert len(said) - len(full) == (18 if hubs == 4 else 0)
+
+    base = words_of(random.Random(2), 200, 6000)
+    texts = spark.createDataFrame([(i, " ".join([*base[:195], f"a{i}", *base[195:]])) for i in range(60)], "uid long, text string")
+    simhash.LANE_ROWS, rows = 300, simhash.LANE_ROWS
+    try:
+        buckets = simhash.prefix_buckets(common.Scratch(spark), texts, 5, 0.8)
+        held = [r.asDict() for r in buckets.collect()]
+    finally:
+        simhash.LANE_ROWS = rows
+    lanes = {r["bucket"]: set() for r in held}
+    for r in held:
+        lanes[r["bucket"]].add(r["lane"])
+    assert all(len(x) == 1 for x in lanes.values()) and len(held) == len({(r["bucket"], r["node"]) for r in held})
+
+
+def test_near_copies_over_several_lanes(spark, monkeypatch):
+    """Groups whose buckets are dealt over several lanes are whole: the same rows stay as by brute force."""
+    from vidsift.llm import simhash
+
+    rng, texts = random.Random(11), {}
+    for g in range(3):
+        base = words_of(rng, 220, 6000)
+        for i in range(70):
+            copy = list(base)
+            for at in rng.sample(range(len(copy)), rng.randrange(1, 6)):
+                copy[at] = f"n{rng.randrange(10**6)}"
+            texts[100 * g + i] = " ".join(copy)
+    want = near_copies_by_brute_force(texts)
+    assert 3 <= len(want) < 30
+    for lane_rows in (1, 150, 8192):
+        monkeypatch.setattr(simhash, "LANE_ROWS", lane_rows)
+        assert kept_near_copies(spark, texts) == want
+
+
 def test_url_filter(spark):
     from vidsift.llm import urlfilter as U
 

@@ -176,6 +176,7 @@ SAMPLE = 8_000
 COMMON = 3
 COMMON_AT_MOST = 100_000
 SMALL = 32
+LANE_ROWS = 8192
 _LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).reshape(-1)
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -434,10 +435,12 @@ def _spans(keys: np.ndarray, least: int = 2) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_buckets(work: Scratch, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """(bucket, node, n): texts that share a shingle of their prefixes, n being the size of a text's shingle set.
+    """(lane, bucket, node, n): texts that share a shingle of their prefixes, n being the size of a text's shingle set.
 
     Of two sets of that similarity each holds a common shingle among its first n - ceil(similarity n) + 1 in any order
     of all shingles (prefix filter), so every such pair shares a bucket. Rare shingles come first. Equal buckets are one.
+    Buckets of the same least node share a lane, as they hold much the same texts and would propose the same pairs; a
+    node of more than LANE_ROWS rows in its buckets has several lanes, of about LANE_ROWS rows each.
     """
     common, often = _common(texts, shingle)
     parts = partitions(texts.sparkSession)
@@ -477,19 +480,23 @@ def prefix_buckets(work: Scratch, texts: DataFrame, shingle: int, similarity: fl
 
     met = texts.mapInArrow(rows, "h long, node long, n long").repartition(parts, "h").sortWithinPartitions("h", "node")
     lists = work.save(met.mapInArrow(shared, "digest binary, node array<long>, n array<long>").dropDuplicates(["digest"]), "buckets")
-    return lists.select(F.xxhash64("digest").alias("bucket"), F.explode(F.arrays_zip("node", "n")).alias("x")).select("bucket", "x.node", "x.n")
+    headed = lists.withColumn("head", F.col("node")[0])
+    hot = headed.groupBy("head").agg(F.ceil(F.sum(F.size("node")) / LANE_ROWS).alias("lanes")).where("lanes > 1")
+    salt = F.when(F.col("lanes").isNotNull(), F.pmod(F.xxhash64("digest"), F.col("lanes"))).otherwise(F.lit(0))
+    laned = headed.join(hot, "head", "left").select(F.xxhash64("head", salt).alias("lane"), F.xxhash64("digest").alias("bucket"), F.arrays_zip("node", "n").alias("x"))
+    return laned.select("lane", "bucket", F.explode("x").alias("x")).select("lane", "bucket", "x.node", "x.n")
 
 
 def proposals(first: int, end: int, similarity: float):
-    """A function over batches (bucket, node, n, root, sketch), sorted by bucket and node: pairs (a, b) that hubs propose.
+    """A function over batches (lane, bucket, node, n, root, sketch), sorted by the first three: pairs (a, b) that hubs propose.
 
     Members first to end of a bucket, or all of a small one, are its hubs; each proposes the members after it that are
-    not in its group and can be alike by size and by sketch. A bucket with more hubs to come is
-    handed on as (bucket, null).
+    not in its group and can be alike by size and by sketch. Buckets of a lane say a pair once. A bucket with more hubs
+    to come is handed on as (bucket, null).
     """
 
     def propose(batches):
-        for bucket, node, n, root, sketch in _runs(batches, "bucket"):
+        for _, bucket, node, n, root, sketch in _runs(batches, "lane"):
             out_a, out_b, left = [], [], []
             for x, y in zip(*map(np.ndarray.tolist, _spans(bucket)), strict=True):
                 m = y - x
@@ -508,7 +515,11 @@ def proposals(first: int, end: int, similarity: float):
                         out_a.append(np.full(len(others), node[i]))
                         out_b.append(node[others])
             if out_a or left:
-                a, b = np.concatenate([*out_a, np.array(left, np.int64)]), np.concatenate([*out_b, np.zeros(len(left), np.int64)])
+                a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (out_a, out_b))
+                order = np.lexsort((b, a))
+                a, b = a[order], b[order]
+                new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
+                a, b = np.append(a[new], np.array(left, np.int64)), np.append(b[new], np.zeros(len(left), np.int64))
                 full = np.arange(len(a)) < len(a) - len(left)
                 yield pa.record_batch([pa.array(a), pa.array(b, mask=~full)], names=["a", "b"])
         release()
@@ -532,8 +543,8 @@ def settled(work: Scratch, texts: DataFrame, nodes: DataFrame, known: DataFrame,
     while True:
         sketch = F.col("sketch") if done else F.substring("sketch", 1, NARROW // 8)
         sketched = buckets.join(nodes.select("node", sketch.alias("sketch")), "node")
-        rooted = sketched.join(roots.withColumnRenamed("v", "node"), "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"), "sketch")
-        dealt = rooted.repartition(parts, "bucket").sortWithinPartitions("bucket", "node")
+        rooted = sketched.join(roots.withColumnRenamed("v", "node"), "node", "left").select("lane", "bucket", "node", "n", F.coalesce("root", "node").alias("root"), "sketch")
+        dealt = rooted.repartition(parts, "lane").sortWithinPartitions("lane", "bucket", "node")
         said = work.save(dealt.mapInArrow(proposals(done, done + hubs, similarity), "a long, b long").distinct(), "proposed")
         pairs = said.where("b is not null")
         pairs = pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti")
