@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators import overlaps as V
 from ..operators import relational as R
 from ..registry import query
 from ..session import cut, table
@@ -159,28 +160,22 @@ def j19_similar_pairs(spark, sf) -> DataFrame:
     """One row per document: its class (documents of its source with the same words; the least id) and how many other
     documents of the source have four fifths of the words in common with it, copies counted, none listed.
 
-    Classes meet on a rare shared word: of two sets with that overlap, each holds a common word among its rarest
-    n - ceil(0.8 n) + 1, so only those words are joined on (prefix filter), with sizes that can reach the overlap; the
-    whole sets then decide. Rows with one rare word are dealt over several tasks by a salt on one side.
+    Classes meet on a rare shared word (prefix filter), by hashes of their words; parity sketches rule out pairs exactly
+    (see operators/overlaps.py), and the whole sets decide what is left. Only prefixes, sketches and the words of pairs
+    that are left are shuffled, never every word.
     """
-    words = F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit("[a-z0-9]{2,}"), F.lit(0))))
-    d = table(spark, sf, "documents").select("doc_id", F.struct("source", words.alias("t")).alias("k")).withColumn("h", F.sha2(F.to_json("k"), 256))
-    classes = cut(d.groupBy("h").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n"), F.first("k").alias("k")))
-    full = classes.select("class_id", "n", "k.source", "k.t", F.size("k.t").alias("size")).where("size > 0")
-    each = full.select("class_id", "source", "size", F.explode("t").alias("w"))
-    often = each.groupBy("source", "w").agg(F.count("*").alias("often"))
-    by = Window.partitionBy("class_id").orderBy("often", "w")
-    e, o = each.alias("e"), often.alias("o")
-    met = e.join(o, F.col("e.source").eqNullSafe(F.col("o.source")) & (F.col("e.w") == F.col("o.w"))).select("e.*", "o.often")
-    prefix = cut(met.withColumn("rn", F.row_number().over(by)).where("rn <= size - ceil(0.8 * size) + 1").select("class_id", "source", "size", "w"))
-    salts = 4
-    x = prefix.withColumn("salt", F.pmod(F.xxhash64("class_id"), F.lit(salts)).cast("int")).alias("x")
-    y = prefix.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).alias("y")
-    fits = (F.col("x.salt") == F.col("y.salt")) & F.col("x.source").eqNullSafe(F.col("y.source")) & (F.col("x.w") == F.col("y.w")) & (F.col("x.class_id") < F.col("y.class_id")) & F.expr("5 * x.size >= 4 * y.size and 5 * y.size >= 4 * x.size")
-    pairs = x.join(y, fits).select(F.col("x.class_id").alias("a"), F.col("y.class_id").alias("b")).distinct()
-    side = lambda i: full.select(F.col("class_id").alias(i), F.col("t").alias(f"t{i}"), F.col("n").alias(f"n{i}"))
-    alike = F.size(F.array_intersect("ta", "tb")) * 5 >= F.size(F.array_union("ta", "tb")) * 4
-    linked = pairs.join(side("a"), "a").join(side("b"), "b").where(alike)
+    words = F.sort_array(F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit("[a-z0-9]{2,}"), F.lit(0))))
+    said = table(spark, sf, "documents").select("doc_id", "source", words.alias("t"))
+    d = cut(said.select("doc_id", F.unhex(F.sha2(F.to_json(F.struct("source", "t")), 256)).alias("h"), F.size("t").alias("size")))
+    classes = cut(d.groupBy("h").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n"), F.first("size").alias("size")))
+    full = classes.where("size > 0").select("class_id", "n")
+    hashed = said.select(F.col("doc_id").alias("class_id"), F.xxhash64("source").alias("of"), F.transform("t", lambda w: F.xxhash64(w)).alias("t"))
+    prefixes = cut(V.prefixes(hashed, "class_id", "of", "t", 4, 5).join(full.select("class_id"), "class_id", "left_semi"))
+    pairs = cut(V.candidates(prefixes, "class_id", 4, 5))
+    side = lambda i: said.join(full, F.col("doc_id") == F.col("class_id")).select(F.col("class_id").alias(i), F.struct("source", "t", "n").alias(f"k{i}"))
+    alike = F.col("ka.source").eqNullSafe(F.col("kb.source")) & (F.size(F.array_intersect("ka.t", "kb.t")) * 5 >= F.size(F.array_union("ka.t", "kb.t")) * 4)
+    held = lambda i: side(i).join(pairs.select(i).distinct(), i, "left_semi")
+    linked = pairs.join(held("a"), "a").join(held("b"), "b").where(alike).select("a", "b", F.col("ka.n").alias("na"), F.col("kb.n").alias("nb"))
     links = linked.select(F.explode(F.array(F.struct(F.col("a").alias("class_id"), F.col("nb").alias("n")), F.struct(F.col("b").alias("class_id"), F.col("na").alias("n")))).alias("x")).groupBy("x.class_id").agg(F.sum("x.n").alias("links"))
     counted = classes.select("h", "class_id", "n").join(links, "class_id", "left").select("h", "class_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
     return d.select("doc_id", "h").join(counted, "h").select("doc_id", "class_id", "links")
