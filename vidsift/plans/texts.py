@@ -180,7 +180,8 @@ def t37_sources(spark, sf) -> DataFrame:
 
 @query()
 def t38_primary_source(spark, sf) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", O.primary_source(F.col("text")).alias("primary_source"), F.to_json(O.source_labels(F.col("text"))).alias("ocr_sources"))
+    labelled = table(spark, sf, "documents").select("doc_id", O.source_labels(F.col("text")).alias("labels"))
+    return labelled.select("doc_id", O.primary_of(F.col("labels")).alias("primary_source"), F.to_json("labels").alias("ocr_sources"))
 
 
 @query()
@@ -196,9 +197,9 @@ def t27_garbage(spark, sf) -> DataFrame:
 
 @query()
 def t34_quality(spark, sf) -> DataFrame:
-    lines = X.text_lines(F.col("text"))
-    ratio = F.bround(F.try_divide(F.size(F.array_distinct(F.transform(lines, X.line_key))).cast("double"), F.size(lines)), 4)
-    d = table(spark, sf, "documents").select("doc_id", "text", F.coalesce(ratio, F.lit(0.0)).alias("ratio"), F.size(O.source_labels(F.col("text"))).alias("sources"), F.size(lines).alias("frames"))
+    d = table(spark, sf, "documents").select("doc_id", "text", X.text_lines(F.col("text")).alias("lines"))
+    ratio = F.bround(F.try_divide(F.size(F.array_distinct(F.transform("lines", X.line_key))).cast("double"), F.size("lines")), 4)
+    d = d.select("doc_id", "text", F.coalesce(ratio, F.lit(0.0)).alias("ratio"), F.size(O.source_labels(F.col("text"))).alias("sources"), F.size("lines").alias("frames"))
     return d.select("doc_id", O.quality_score(F.col("text"), F.col("text"), F.col("ratio"), F.col("sources"), F.col("frames"), F.lit(1)).alias("ocr_quality_score"))
 
 
