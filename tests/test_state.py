@@ -113,3 +113,34 @@ def test_a_page_is_handed_in_once_and_a_failed_batch_leaves_no_double(spark, tmp
     assert calls == [[1, 2], [3, 4], [3, 4], [5]]
     rows = spark.read.parquet(f"{folder}/rows").select("page", "item").collect()
     assert sorted(map(tuple, rows)) == sorted((p, p + i) for p in range(1, 6) for i in (0, 1))
+
+
+def test_many_units_take_one_call_and_one_state_value():
+    import pandas as pd
+
+    from vidsift.streaming import progress as P
+
+    class Value:
+        held, reads = None, 0
+
+        def get(self):
+            self.reads += 1
+            return self.held
+
+        def update(self, now):
+            self.held = now
+
+    value = Value()
+    handle = type("Handle", (), {"getValueState": lambda self, *_: value})()
+    p = P.Progress()
+    p.init(handle)
+    rows = log(random.Random(4), 50, 500)
+    for part in (rows[:250], rows[250:]):
+        x = pd.DataFrame(part, columns=["unit", "at", "event_id", "kind", "detail"])
+        made = pd.concat(p.handleInputRows((3,), iter([x]), None))
+        assert sorted(made["unit"]) == sorted(set(x["unit"]))
+    last = {r.unit: r for r in made.itertuples()}
+    for u in last:
+        status, cursor, pages, error, skipped = machine([r[1:] for r in rows if r[0] == u])
+        assert (last[u].status, last[u].pages, last[u].error, last[u].skipped) == (status, pages, error, skipped)
+    assert value.reads == 2
