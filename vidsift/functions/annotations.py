@@ -26,5 +26,10 @@ def page_texts(annotation: Column) -> Column:
 
 def reading_order(annotation: Column) -> Column:
     """The pages' texts without white space around them; without any the annotation's own text, '' for neither."""
-    rebuilt = F.nullif(F.array_join(page_texts(annotation), "\n\n"), F.lit(""))
-    return F.regexp_replace(F.coalesce(rebuilt, annotation["text"], F.lit("")), r"^\s+|\s+$", "")
+    return read_texts(page_texts(annotation), annotation["text"])
+
+
+def read_texts(texts: Column, whole: Column) -> Column:
+    """Pages' texts, made once by ``page_texts``, as one text."""
+    rebuilt = F.nullif(F.array_join(texts, "\n\n"), F.lit(""))
+    return F.btrim(F.coalesce(rebuilt, whole, F.lit("")), F.lit(" \t\n\x0b\f\r"))

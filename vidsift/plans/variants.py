@@ -91,4 +91,5 @@ def t58_nested_reading_order(spark, sf) -> DataFrame:
     pages = level(F.col("text"), "\n", "blocks", lambda p: level(p, r"\. ", "paragraphs", lambda b: level(b, ", ", "words", lambda q: F.transform(F.split(q, " "), symbols))))
     raw = table(spark, sf, "documents").select("doc_id", F.to_json(F.struct(pages.alias("pages"), F.col("text"))).alias("raw"))
     read = raw.select("doc_id", F.from_json("raw", A.ANNOTATION).alias("a"))
-    return read.select("doc_id", A.reading_order(F.col("a")).alias("read"), F.coalesce(F.size(A.page_texts(F.col("a"))), F.lit(0)).alias("pages"))
+    texts = read.select("doc_id", A.page_texts(F.col("a")).alias("texts"), F.col("a.text").alias("whole"))
+    return texts.select("doc_id", A.read_texts(F.col("texts"), F.col("whole")).alias("read"), F.coalesce(F.size("texts"), F.lit(0)).alias("pages"))
