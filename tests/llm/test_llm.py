@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -514,6 +515,50 @@ def test_template_texts_propose_few_pairs(spark, monkeypatch):
         assert counts["proposed"] <= 10 * n and counts["likely"] <= n
 
 
+def shuffled_bytes(spark):
+    """Bytes of the shuffle files that this session holds."""
+    folders = [x.getPath() for x in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    return sum(f.stat().st_size for d in folders for f in Path(d).glob("*/shuffle_*.data") if f.exists())
+
+
+def test_links_send_a_fingerprint_once_for_its_high_flips(spark):
+    """Fingerprints within two bits travel 21 times, not once for each of 65 variants, and the links stay whole."""
+    from vidsift.llm import common, simhash
+
+    rng, n = np.random.default_rng(4), 4000
+    base = rng.integers(-(2**63), 2**63 - 1, n // 2)
+    flips = rng.permuted(np.tile(np.arange(64), (n // 2, 1)), axis=1)[:, :2].astype(np.uint64)
+    near = (base.view(np.uint64) ^ (np.uint64(1) << flips[:, 0]) ^ (np.uint64(1) << flips[:, 1])).view(np.int64)
+    fps = spark.createDataFrame([(0, int(f)) for f in np.append(base, near)], "t int, fp long")
+    links = simhash.links(common.Scratch(spark), fps, 2)
+    before = shuffled_bytes(spark)
+    got = {frozenset((r.a, r.b)) for r in links.collect()}
+    assert shuffled_bytes(spark) - before < n * 65 * 8 * 2 // 3
+    assert {frozenset(x) for x in zip(base.tolist(), near.tolist(), strict=True)} <= got
+
+
+def test_near_copies_shuffle_no_texts_for_prefixes(spark, monkeypatch):
+    """Prefixes are cut from the texts where these lie: no exchange lies below that step."""
+    from vidsift.llm import common
+
+    rng, below = random.Random(6), []
+    texts = {i: " ".join(words_of(rng, 2000, 60000)) for i in range(100)}
+    texts |= {1000 + i: texts[i] + " more" for i in range(20)}
+    save = common.Scratch.save
+
+    def watched(self, df, name):
+        if name == "buckets":
+            lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+            (at,) = [i for i, x in enumerate(lines) if "MapInArrow rows(" in x]
+            deep = lambda x: len(re.match(r"[ :+*|-]*(\(\d+\) )?", x)[0])
+            below.extend(itertools.takewhile(lambda x: deep(x) > deep(lines[at]), lines[at + 1 :]))
+        return save(self, df, name)
+
+    monkeypatch.setattr(common.Scratch, "save", watched)
+    assert kept_near_copies(spark, texts) == set(range(100))
+    assert below and not any("Exchange" in x for x in below)
+
+
 def test_buckets_of_a_lane_say_a_pair_once(spark):
     """Alike texts that meet in many buckets: one row a pair and lane, buckets whole and in one lane, lanes bounded."""
     import pyarrow as pa

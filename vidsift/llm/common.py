@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 
@@ -47,6 +48,15 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def sweep(self) -> None:
+        """Let Spark delete the shuffles of tables that are written: it does so when the driver's garbage is collected.
+
+        Its listeners and scheduler let go of the last job a moment after its end, so one collection would miss that.
+        """
+        for _ in range(2):
+            time.sleep(0.4)
+            self.spark._jvm.System.gc()
+
     def drop(self) -> None:
         """Delete all tables of this scratch; collecting the driver's garbage lets Spark delete their shuffles."""
         jvm = self.spark._jvm

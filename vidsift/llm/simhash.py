@@ -27,6 +27,7 @@ from .common import Scratch, components, fresh, partitions, release, strings, te
 
 MASKS = np.array([0] + [1 << i for i in range(64)] + [(1 << i) | (1 << j) for half in (0, 32) for i in range(half, half + 32) for j in range(i + 1, half + 32)], dtype=np.uint64)
 SINGLE = 65
+HOME = 20
 SALTS = 16
 VARIANTS_A_BLOCK = 3_000_000
 VARIANTS_AT_ONCE = 1_000_000
@@ -72,11 +73,14 @@ def links(scratch: Scratch, fps: DataFrame, max_bits: int = 3) -> DataFrame:
     the table at most ``max_bits`` (0 to 3) bits apart. fps has t (int) and fp (long).
 
     Up to two bits, single flips meet, and all members of a bucket are that near. Each member links to the least
-    near one of its bucket and to the one before it.
+    near one of its bucket and to the one before it. Variants are dealt out by their lowest HOME bits then, so all flips
+    of higher bits go with the fingerprint itself: it is sent HOME + 1 times, and the task that gets it flips the rest.
     """
     if not 0 <= max_bits <= 3:
         raise ValueError("max_bits is 0 to 3")
     wide = len(MASKS) if max_bits == 3 else SINGLE
+    sent_with = SINGLE if wide > SINGLE else HOME + 1  # of the masks 0 to SINGLE - 1
+    dealt_by = np.uint64(2**64 - 1 if wide > SINGLE else 2**HOME - 1)
     fps = scratch.save(fps.select(F.col("t").cast("int").alias("t"), "fp").where("fp is not null").distinct(), "fps")
     n = fps.count()
     parts = max(16, -(-n * (wide + SINGLE) // 2 // VARIANTS_A_BLOCK))
@@ -90,10 +94,10 @@ def links(scratch: Scratch, fps: DataFrame, max_bits: int = 3) -> DataFrame:
             for at in range(0, len(every), step):
                 got, ts = every[at : at + step], tables[at : at + step]
                 odd = (np.bitwise_count(got) & 1 == 1) & (wide > SINGLE)
-                f = np.concatenate([np.repeat(got[~odd], SINGLE), np.repeat(got[odd], wide)])
-                t = np.concatenate([np.repeat(ts[~odd], SINGLE), np.repeat(ts[odd], wide)])
-                m = np.concatenate([np.tile(np.arange(SINGLE, dtype=np.uint16), int((~odd).sum())), np.tile(np.arange(wide, dtype=np.uint16), int(odd.sum()))])
-                v = (f ^ MASKS[m] ^ spread[t]) * np.uint64(0x9E3779B97F4A7C15)
+                f = np.concatenate([np.repeat(got[~odd], sent_with), np.repeat(got[odd], wide)])
+                t = np.concatenate([np.repeat(ts[~odd], sent_with), np.repeat(ts[odd], wide)])
+                m = np.concatenate([np.tile(np.arange(sent_with, dtype=np.uint16), int((~odd).sum())), np.tile(np.arange(wide, dtype=np.uint16), int(odd.sum()))])
+                v = ((f ^ MASKS[m]) & dealt_by ^ spread[t]) * np.uint64(0x9E3779B97F4A7C15)
                 pid = ((v >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.uint32)
                 order = np.argsort(pid.astype(np.uint16) if parts < 65536 else pid, kind="stable")
                 f, m, t, pid = f[order], m[order], t[order], pid[order]
@@ -114,15 +118,24 @@ def links(scratch: Scratch, fps: DataFrame, max_bits: int = 3) -> DataFrame:
         del held
         release()
 
+    def unfolded(f, m, t):
+        own, more = m == 0, np.arange(sent_with, SINGLE, dtype=np.uint16)
+        return np.append(f, np.repeat(f[own], len(more))), np.append(m, np.tile(more, int(own.sum()))), np.append(t, np.repeat(t[own], len(more)))
+
     def block(got):
         all_f, all_m, all_t = (np.frombuffer(b"".join(x[i] for x in got), kind) for i, kind in ((1, np.uint64), (2, np.uint16), (3, np.uint8)))
         got.clear()
-        slices = max(1, -(-len(all_f) // VARIANTS_AT_ONCE))
-        which = ((all_f ^ MASKS[all_m]) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(56)).astype(np.uint8) % min(slices, 256)
-        for part in range(min(slices, 256)):
-            pick = np.flatnonzero(which == part)
-            if len(pick):
-                yield in_buckets(all_f[pick], all_m[pick], all_t[pick])
+        variants = len(all_f) + int((all_m == 0).sum()) * (SINGLE - sent_with)
+        slices = min(256, max(1, -(-variants // VARIANTS_AT_ONCE)))
+        for part in range(slices):
+            picked = []
+            for at in range(0, len(all_f), 65536):
+                f, m, t = unfolded(*(x[at : at + 65536] for x in (all_f, all_m, all_t)))
+                pick = np.flatnonzero(((f ^ MASKS[m]) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(56)).astype(np.uint8) % slices == part)
+                picked.append((f[pick], m[pick], t[pick]))
+            f, m, t = map(np.concatenate, zip(*picked, strict=True))
+            if len(f):
+                yield in_buckets(f, m, t)
 
     def in_buckets(f, m, t):
         v = f ^ MASKS[m]
@@ -388,6 +401,11 @@ def verified(texts: DataFrame, pairs: DataFrame, shingle: int, similarity: float
     return dealt.mapInArrow(check, "a long, b long")
 
 
+def _of_nodes(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows (uid and others) of the nodes (node) that have any shingle (n)."""
+    return rows.join(nodes.where("n > 0").select(F.col("node").alias("uid")), "uid", "left_semi")
+
+
 def _common(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that a bounded sample of texts repeats, ascending, and their counts. They only set an order."""
     share = min(1.0, SAMPLE / max(1, texts.count()))
@@ -434,15 +452,16 @@ def _spans(keys: np.ndarray, least: int = 2) -> tuple[np.ndarray, np.ndarray]:
     return begin[many], end[many]
 
 
-def prefix_buckets(work: Scratch, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+def prefix_buckets(work: Scratch, texts: DataFrame, shingle: int, similarity: float, nodes: DataFrame | None = None) -> DataFrame:
     """(lane, bucket, node, n): texts that share a shingle of their prefixes, n being the size of a text's shingle set.
 
     Of two sets of that similarity each holds a common shingle among its first n - ceil(similarity n) + 1 in any order
     of all shingles (prefix filter), so every such pair shares a bucket. Rare shingles come first. Equal buckets are one.
     Buckets of the same least node share a lane, as they hold much the same texts and would propose the same pairs; a
-    node of more than LANE_ROWS rows in its buckets has several lanes, of about LANE_ROWS rows each.
+    node of more than LANE_ROWS rows in its buckets has several lanes, of about LANE_ROWS rows each. With ``nodes`` (node)
+    only those of the texts count; prefixes are cut before that join, so it shuffles no texts.
     """
-    common, often = _common(texts, shingle)
+    common, often = _common(texts if nodes is None else _of_nodes(texts, nodes), shingle)
     parts = partitions(texts.sparkSession)
 
     def rows(batches):
@@ -457,8 +476,9 @@ def prefix_buckets(work: Scratch, texts: DataFrame, shingle: int, similarity: fl
             order = np.lexsort((flat, count, owner)) if count.any() else np.arange(len(flat))
             flat, owner = flat[order], owner[order]
             rank = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
-            keep = rank < (size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1)[owner]
-            yield pa.record_batch([pa.array(flat[keep].view(np.int64)), b.column("uid").take(pa.array(owner[keep])), pa.array(size[owner[keep]])], names=["h", "node", "n"])
+            long = np.minimum(size, size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(long)), pa.int32()), pa.array(flat[rank < long[owner]].view(np.int64)))
+            yield pa.record_batch([b.column("uid"), pa.array(size), lists], names=["uid", "n", "h"])
         release()
 
     def shared(batches):
@@ -478,7 +498,9 @@ def prefix_buckets(work: Scratch, texts: DataFrame, shingle: int, similarity: fl
                 yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), *(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(c))) for c in (lists, sizes))], names=["digest", "node", "n"])
         release()
 
-    met = texts.mapInArrow(rows, "h long, node long, n long").repartition(parts, "h").sortWithinPartitions("h", "node")
+    prefixes = texts.mapInArrow(rows, "uid long, n long, h array<long>")
+    prefixes = prefixes if nodes is None else _of_nodes(prefixes, nodes)
+    met = prefixes.select(F.explode("h").alias("h"), F.col("uid").alias("node"), "n").repartition(parts, "h").sortWithinPartitions("h", "node")
     lists = work.save(met.mapInArrow(shared, "digest binary, node array<long>, n array<long>").dropDuplicates(["digest"]), "buckets")
     headed = lists.withColumn("head", F.col("node")[0])
     hot = headed.groupBy("head").agg(F.ceil(F.sum(F.size("node")) / LANE_ROWS).alias("lanes")).where("lanes > 1")
@@ -533,11 +555,12 @@ def settled(work: Scratch, texts: DataFrame, nodes: DataFrame, known: DataFrame,
     Each round the next hubs of a bucket (all members of a small one) meet the members that are not yet in their
     group; hubs grow eightfold. A bucket is done when it is one group or all its possible pairs have been compared.
     Only pairs that can be alike by sketch leave the task: rows carry narrow parities in the first round, whole sketches
-    later, when few buckets are left.
+    later, when few buckets are left. texts may hold more than the nodes.
     """
     links_ = known
     roots = work.save(components(work, links_), "roots")
-    buckets = prefix_buckets(work, texts, shingle, similarity)
+    buckets = prefix_buckets(work, texts, shingle, similarity, nodes)
+    work.sweep()
     compared, some, done, hubs = None, None, 0, 4
     parts = partitions(texts.sparkSession)
     while True:
@@ -546,6 +569,7 @@ def settled(work: Scratch, texts: DataFrame, nodes: DataFrame, known: DataFrame,
         rooted = sketched.join(roots.withColumnRenamed("v", "node"), "node", "left").select("lane", "bucket", "node", "n", F.coalesce("root", "node").alias("root"), "sketch")
         dealt = rooted.repartition(parts, "lane").sortWithinPartitions("lane", "bucket", "node")
         said = work.save(dealt.mapInArrow(proposals(done, done + hubs, similarity), "a long, b long").distinct(), "proposed")
+        work.sweep()
         pairs = said.where("b is not null")
         pairs = pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti")
         near = work.save(likely(pairs, nodes, similarity), "likely")
@@ -557,11 +581,13 @@ def settled(work: Scratch, texts: DataFrame, nodes: DataFrame, known: DataFrame,
             if some is None and going:
                 # later rounds read the texts of the buckets that are still open, not all
                 some = work.save(texts.join(buckets.join(more, "bucket", "left_semi").select(F.col("node").alias("uid")).distinct(), "uid", "left_semi"), "some")
+                work.sweep()
                 use = texts
             else:
                 use = texts if some is None else some
             links_ = links_.unionByName(work.save(verified(use, near, shingle, similarity), "true"))
             roots = work.save(components(work, links_), "roots")
+            work.sweep()
         if not going:
             return roots
         buckets = work.save(buckets.join(more, "bucket", "left_semi"), "open")
@@ -588,14 +614,15 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
             yield pa.RecordBatch.from_arrays([b.column("uid"), lists, pa.array([len(x) for x in sets], pa.int64()), pa.array(whole_sketches(sets), pa.binary()), pa.array(keys, pa.binary())], names=["uid", "fps", "n", "sketch", "key"])
         release()
 
-    all_texts = tagged.select(F.col(uid).alias("uid"), F.col(f"`{text}`").alias("text"))
-    marked = work.save(all_texts.mapInArrow(add, StructType([StructField("uid", LongType()), StructField("fps", ArrayType(LongType())), StructField("n", LongType()), StructField("sketch", BinaryType()), StructField("key", BinaryType())])), "marked")
+    texts = tagged.select(F.col(uid).alias("uid"), F.col(f"`{text}`").alias("text"))
+    marks_ = scratch.inner()
+    marked = marks_.save(texts.mapInArrow(add, StructType([StructField("uid", LongType()), StructField("fps", ArrayType(LongType())), StructField("n", LongType()), StructField("sketch", BinaryType()), StructField("key", BinaryType())])), "marked")
     ids = marked.select("uid", "key").join(tagged.select(F.col(uid).alias("uid"), F.col(f"`{doc_id}`").alias("id")), "uid")
     ids = work.save(ids, "ids")
     lead = F.min(F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("uid").alias("u")))
     firsts = ids.groupBy("key").agg(lead.alias("lead")).withColumn("node", F.col("lead.u"))
     nodes = work.save(firsts.join(marked.select(F.col("uid").alias("node"), "fps", "n", "sketch"), "node"), "nodes")
-    texts = all_texts.join(nodes.where("n > 0").select(F.col("node").alias("uid")), "uid", "left_semi")
+    marks_.drop()
     marks = nodes.where("n > 0").select("node", F.posexplode("fps").alias("t", "fp"))
     heads = work.save(marks.groupBy("t", "fp").agg(F.min("node").alias("head")), "heads")
     same = marks.join(heads, ["t", "fp"]).where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
@@ -603,7 +630,9 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     near = links(work, heads, max_bits).join(of("a", "x"), ["t", "a"]).join(of("b", "y"), ["t", "b"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     sized = nodes.select("node", "n", "sketch")
     pairs = work.save(likely(same.unionByName(near).where("a <> b").distinct(), sized, similarity), "candidates")
+    work.sweep()
     true = work.save(verified(texts, pairs, shingle, similarity), "true")
+    work.sweep()
     roots = settled(work, texts, sized, true, shingle, similarity)
     rooted = nodes.join(roots.withColumnRenamed("v", "node"), "node", "left").select("key", "lead", F.coalesce("root", "node").alias("root"))
     leads = rooted.groupBy("root").agg(F.min("lead")["u"].alias("keep"))
