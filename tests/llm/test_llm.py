@@ -533,7 +533,7 @@ def test_links_send_a_fingerprint_once_for_its_high_flips(spark):
     links = simhash.links(common.Scratch(spark), fps, 2)
     before = shuffled_bytes(spark)
     got = {frozenset((r.a, r.b)) for r in links.collect()}
-    assert shuffled_bytes(spark) - before < n * 65 * 8 * 2 // 3
+    assert 0 < shuffled_bytes(spark) - before < 200 * n  # 264 a fingerprint when all variants were sent
     assert {frozenset(x) for x in zip(base.tolist(), near.tolist(), strict=True)} <= got
 
 
