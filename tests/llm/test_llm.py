@@ -289,6 +289,51 @@ def test_token_shards(spark, docs, odd, none):
     assert T.encode_documents(none, path("word_bpe_49k.json")).count() == 0
 
 
+def test_token_pieces(tmp_path):
+    """The library is asked once for each different piece, and many pieces at a time; ids stay those of whole texts."""
+    import json
+    import random
+
+    from tokenizers import Tokenizer
+
+    from vidsift.llm import tokenbin as T
+
+    class Asked:
+        def __init__(self, t):
+            self.t, self.n = t, 0
+
+        def encode_batch_fast(self, part, **more):
+            self.n += len(part)
+            return self.t.encode_batch_fast(part, **more)
+
+    t = Tokenizer.from_file(path("word_bpe_49k.json"))
+    ids_of = lambda t, texts: sum((t.encode(x, add_special_tokens=False).ids for x in texts), [])
+    e = T.WordEncoder(path("word_bpe_49k.json"))
+    e.tokenizer = asked = Asked(e.tokenizer)
+    stems = [f"{a}{b}{c}" for a in "bcdfgklmnp" for b in ["a", "\u00e9", "\u00fc"] for c in "rstvwxzbcd"]
+    texts = [f"{w} {w.capitalize()}, ({w.upper()}) {w}... {w}!!" for w in stems]
+    n, ids = e.encode(pa.array(texts, pa.large_string()))
+    assert ids.tolist() == ids_of(t, texts) and n.sum() == len(ids)
+    assert len(e.keys) == len(stems) + 5 and asked.n < 10
+    e.encode(pa.array(texts, pa.large_string()))
+    assert asked.n < 10
+
+    parts = [*"aTsSrR\u00e9\u00c9\u00df\u00d7\u00f7'!<|>=_-09\x01\x1c\x7f\x85\u00a0\u0301\u0323\u0331\u0338\u0307\u017f\u212a\u65e5 \n", "'s", "'LL", "<|endoftext|>", "<|EndOfText|>", "</w>", "H\u0331", "<\u0338"]
+    draw = random.Random(3)
+    mixed = ["".join(draw.choices(parts, k=draw.randint(0, 12))) for _ in range(3000)] + [a + b + c for a in parts[:12] for b in parts for c in parts[-12:]]
+    with open(path("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["normalizer"]["normalizers"].pop()
+    cased = tmp_path / "cased.json"
+    cased.write_text(json.dumps(spec))
+    for at, plain in ((path("word_bpe_49k.json"), True), (str(cased), False)):
+        e, t = T.WordEncoder(at), Tokenizer.from_file(at)
+        n, ids = e.encode(pa.array(mixed, pa.large_string()))
+        assert e.plain == plain and ids.tolist() == ids_of(t, mixed)
+        assert n.tolist() == [len(t.encode(x, add_special_tokens=False).ids) for x in mixed]
+    assert [x.tolist() for x in e.encode(pa.array(["", " \n"], pa.large_string()))] == [[0, 0], []]
+
+
 def test_token_counts(docs, none):
     from tokenizers import Tokenizer
 
