@@ -735,6 +735,28 @@ def test_repeated_passages_that_no_neighbour_proves(spark, monkeypatch, group):
     assert passages_found(spark, texts) == want and len(want) > 40
 
 
+def test_repeated_passages_broadcast_no_exploded_table(spark, monkeypatch):
+    """Salted keys and lists of places are small as files and large as rows: the driver ran out of memory building them."""
+    from vidsift.llm import suffix
+
+    plans, save = [], suffix.Scratch.save
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+
+    def noted(self, df, name):
+        plans.append((name, plan(df)))
+        return save(self, df, name)
+
+    monkeypatch.setattr(suffix.Scratch, "save", noted)
+    rng = random.Random(31)
+    core = words_of(rng, 70, 5000)
+    texts = [(i, " ".join(words_of(rng, 20, 5000) + core)) for i in range(6)]
+    out = suffix.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string"))
+    plans.append(("result", plan(out)))
+    assert {n for n, p in plans if "Join" in p} == {"kept", "proved", "result"}
+    assert [n for n, p in plans if "Broadcast" in p] == []
+    assert out.count() == 6
+
+
 def test_top_k(spark):
     from vidsift.llm import topk
 

@@ -165,17 +165,18 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     found = scratch.save(d.mapInArrow(tidy(places), "key long, doc long, pos int"), "places")
     shared = found.groupBy("key").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count("*").alias("n")).where("a <> b")
     deal = F.ceil(F.col("n") / GROUP).cast("int").alias("deal")
-    # a key that very many places share is read by several tasks: places are salted by their text, shared keys repeated
+    # a key that very many places share is read by several tasks: places are salted by their text, shared keys repeated.
+    # Joins here are merges by hint: Spark sizes what a table's files explode or unpack to by the files, too low for a broadcast
     salt = F.pmod(F.xxhash64("doc", "pos"), F.lit(SALTS)).cast("int").alias("salt")
     wanted = scratch.save(shared.select("key", deal), "shared").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    kept = found.select("*", salt).join(wanted, ["key", "salt"]).groupBy("doc").agg(F.collect_set(F.struct("pos", "deal")).alias("at"))
+    kept = found.select("*", salt).join(wanted.hint("merge"), ["key", "salt"]).groupBy("doc").agg(F.collect_set(F.struct("pos", "deal")).alias("at"))
     kept = scratch.save(kept, "kept")
 
     def keyed(batches):
         for b in batches:
             yield b.append_column("doc", pa.array(_doc_keys(b, strings(b.column("text"))), pa.int64()))
 
-    met = d.mapInArrow(keyed, "doc_id long, text string, doc long").join(kept, "doc").dropDuplicates(["doc"])
+    met = d.mapInArrow(keyed, "doc_id long, text string, doc long").join(kept.hint("merge"), "doc").dropDuplicates(["doc"])
 
     def suffixes(batches):
         for b in text_batches(batches, 2_000_000):
@@ -262,7 +263,7 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     proved = scratch.save(dealt.mapInArrow(tidy(compare), "doc long, doc_id long, s int, e int, h long"), "proved")
     spread = proved.where("h is not null")
     met_elsewhere = spread.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.bool_or(F.col("doc").isNull()).alias("seen")).where("seen or a <> b").select("h")
-    late = spread.where("doc is not null").join(met_elsewhere, "h", "left_semi").select("doc", "doc_id", "s", "e")
+    late = spread.where("doc is not null").join(met_elsewhere.hint("merge"), "h", "left_semi").select("doc", "doc_id", "s", "e")
     spans = proved.where("h is null").select("doc", "doc_id", "s", "e")
     merged = spans.unionByName(late).groupBy("doc", "doc_id").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("spans"))
     grow = F.expr(
