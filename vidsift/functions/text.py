@@ -138,7 +138,7 @@ def word_set(c: Column, stop: tuple[str, ...] = ()) -> Column:
 def alpha_ratio(c: Column) -> Column:
     """Share of letters of any script, 0 for no text."""
     n = F.length(c)
-    return F.coalesce(F.try_divide(F.length(F.regexp_replace(c, r"\P{L}", "")).cast("double"), n), F.lit(0.0))
+    return F.coalesce(F.try_divide(F.length(F.regexp_replace(c, r"\P{L}+", "")).cast("double"), n), F.lit(0.0))
 
 
 def api_error_code(message: Column) -> Column:
